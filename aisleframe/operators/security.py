@@ -1,0 +1,70 @@
+"""Row and column access by role."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from aisleframe.plans.star import Star
+
+STORE_OPERATIONS, COMMERCIAL = "Store operations", "Commercial"
+STORE_FACTS = (
+    "fact_sales", "fact_store_day", "fact_stockout_risk", "fact_stockout_run", "stockout_store_week",
+    "fact_promo_event")
+NETWORK_ONLY = frozenset({"promo_family_summary", "stockout_bh_summary"})
+
+
+class RoleError(ValueError):
+    """A user with no role or with more than one."""
+
+
+def own_access(access: DataFrame, user: str) -> DataFrame:
+    return access.filter(F.col("user_principal_name") == user)
+
+
+def store_operations(star: Star, user: str) -> Star:
+    """Only the user's stores, in every related table; no unit cost, no network-wide results."""
+    access = own_access(star.tables["user_access"], user)
+    allowed = star.tables["dim_store"].join(access.select("store_key"), "store_key", "left_semi")
+    tables = dict(star.tables)
+    for fact in STORE_FACTS:
+        if fact in tables:
+            tables[fact] = tables[fact].join(allowed.select("store_key"), "store_key", "left_semi")
+    tables["dim_store"] = allowed
+    tables["user_access"] = access
+    tables["dim_item"] = tables["dim_item"].drop("unit_cost")
+    return replace(
+        star, tables=tables, denied_tables=star.denied_tables | NETWORK_ONLY,
+        denied_columns=star.denied_columns | {"unit_cost"})
+
+
+def commercial(star: Star) -> Star:
+    """All stores and columns, but not the access list."""
+    return replace(star, denied_tables=star.denied_tables | {"user_access"})
+
+
+def secure(star: Star, user: str, roles: dict[str, list[str]]) -> Star:
+    """The star as a user sees it. Exactly one role per user."""
+    held = [role for role, members in roles.items() if user in members]
+    if len(held) != 1:
+        raise RoleError(f"{user} holds {len(held)} roles; a query needs exactly one")
+    return store_operations(star, user) if held[0] == STORE_OPERATIONS else commercial(star)
+
+
+def access_matrix(star: Star, members: DataFrame) -> DataFrame:
+    """Per user (user, role): stores seen, own access rows, and whether unit cost is visible."""
+    stores, access = star.tables["dim_store"], star.tables["user_access"]
+    every_store = stores.agg(F.count(F.lit(1)).alias("n")).scalar()
+    scope = (
+        access.join(stores.select("store_key", F.lit(1).alias("known")), "store_key", "left")
+        .groupBy("user_principal_name", "store_key").agg(F.max("known").alias("known"), F.count(F.lit(1)).alias("n"))
+        .groupBy("user_principal_name").agg(F.sum("known").alias("stores"), F.sum("n").alias("access_rows"))
+    )
+    limited = F.col("role") == STORE_OPERATIONS
+    return members.join(scope, members["user"] == scope["user_principal_name"], "left").select(
+        "user", "role",
+        F.when(limited, F.coalesce("stores", F.lit(0))).otherwise(every_store).alias("stores"),
+        F.when(limited, F.coalesce("access_rows", F.lit(0))).otherwise(F.lit(0)).alias("access_rows"),
+        (~limited).alias("cost_visible"))
