@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Column names and types of the raw files and of the master data files.
 RAW_SCHEMAS = {
@@ -34,12 +33,13 @@ def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV file (or folder of them) with a header, read with exactly the declared columns.
 
     ``enforceSchema=false`` compares the header names, so a renamed, added or missing column fails instead of
-    shifting values; FAILFAST stops at a cell that is not of its type. An empty cell is NULL.
+    shifting values; FAILFAST stops at a cell that is not of its type. Without column pruning every cell is
+    parsed, so the file is held to its declaration even where a query needs few columns. An empty cell is NULL.
     """
-    # ids of large chains outgrow an int: the declared widths may be widened by the caller, never narrowed
     return (
-        spark.read.schema(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+        spark.read.schema(schema)
         .option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+        .option("columnPruning", False)
         .option("nullValue", "").option("emptyValue", "")
         .csv(path)
     )

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queries import layers
+from queries import figures, layers
 from queries.stage import shaped, shaped_sql, stage
 
-ENTRIES: dict[str, tuple] = {**layers.ENTRIES}
+ENTRIES: dict[str, tuple] = {**layers.ENTRIES, **figures.ENTRIES}
 
 
 def _runner(grain, build, spec) -> Callable[[SparkSession, str], DataFrame]:

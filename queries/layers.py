@@ -392,7 +392,7 @@ GOLD_CHECK_SQL = [
 ]
 for _i, _sql in enumerate(GOLD_CHECK_SQL, 1):
     _name = _sql.split("'")[1]
-    add(f"c{_i}_{_name}", MID, lambda s, i=_i: checks.gold_checks(_check_tables(s))[i - 1], CHECK_SPEC, _sql)
+    add(f"c{_i}_{_name}", MID, lambda s, n=_name: checks.gold_check(n, _check_tables(s)), CHECK_SPEC, _sql)
 
 
 def _master_for_checks(s: Stage) -> dict[str, DataFrame]:

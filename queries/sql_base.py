@@ -78,7 +78,7 @@ trade AS (
   GROUP BY a.store_nbr, a.date, a.receipts),
 look AS (
   SELECT a.store_nbr, a.item_nbr, a.date, a.units, a.return_units, a.on_promo,
-    sum(b.units) FILTER (b.on_promo IS DISTINCT FROM true) AS usual_units, count(*) FILTER (b.on_promo) AS promos_28,
+    sum(CASE WHEN b.on_promo THEN 0 ELSE b.units END) AS usual_units, count(*) FILTER (b.on_promo) AS promos_28,
     count(*) FILTER (b.on_promo AND b.date >= a.date - 7) AS promos_7
   FROM sales a LEFT JOIN sales b
     ON b.store_nbr = a.store_nbr AND b.item_nbr = a.item_nbr AND b.date < a.date AND b.date >= a.date - 28
