@@ -59,22 +59,37 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 class RawFiles:
-    """The raw files of one folder as build inputs."""
+    """The raw files of one folder as build inputs.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    Each file is taken in once, whole, as a typed Parquet table: a cell of the wrong type stops the build even in
+    a column that nothing reads, and later steps read columns instead of text.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, bronze: str, start_date: date | None = None):
+        self.spark, self.folder, self.bronze, self.start_date = spark, folder, bronze.rstrip("/"), start_date
+        self._taken: set[str] = set()
+
+    def _table(self, name: str) -> DataFrame:
+        path = f"{self.bronze}/{name}"
+        if name not in self._taken:
+            scanned = scan_raw(self.spark, self.folder, name)
+            if name == "train" and self.start_date is not None:
+                scanned = scanned.filter(F.col("date") >= F.lit(self.start_date))
+            scanned.write.mode("overwrite").parquet(path)
+            self._taken.add(name)
+        return self.spark.read.parquet(path)
 
     def train(self) -> DataFrame:
-        return scan_sales(self.spark, self.folder)
+        return self._table("train")
 
     def transactions(self) -> DataFrame:
-        return scan_raw(self.spark, self.folder, "transactions")
+        return self._table("transactions")
 
     def stores(self) -> DataFrame:
-        return scan_raw(self.spark, self.folder, "stores")
+        return self._table("stores")
 
     def items(self) -> DataFrame:
-        return scan_raw(self.spark, self.folder, "items")
+        return self._table("items")
 
     def holidays_events(self) -> DataFrame:
-        return scan_raw(self.spark, self.folder, "holidays_events")
+        return self._table("holidays_events")

@@ -7,8 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleframe.operators import security
-from aisleframe.plans import reports, timecalc
+from aisleframe.plans import reports, security, timecalc
 from aisleframe.plans.measures import evaluate
 from aisleframe.plans.star import AccessDenied
 from queries.layers import ACCESS, PAYBACK
