@@ -62,5 +62,8 @@ def stitch(parts: list[DataFrame], by: list[str]) -> DataFrame:
 def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", *extra: Column) -> DataFrame:
     """Equi-join in which NULL meets NULL. The result has the left side's keys; ``extra`` conditions must hold too."""
     other = right.withColumnsRenamed({c: f"_{c}" for c in on})
-    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
-    return left.join(other, [*match, *extra], how).drop(*[f"_{c}" for c in on])
+    can_be_null = {f.name for f in left.schema if f.nullable}
+    match = [
+        F.col(c).eqNullSafe(F.col(f"_{c}")) if c in can_be_null else F.col(c) == F.col(f"_{c}") for c in on]
+    joined = left.join(other, [*match, *extra], how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_{c}" for c in on])

@@ -18,7 +18,7 @@ from aisleframe.functions.columns import join_null_safe
 SCALE = 10_000  # values are compared at four decimals, as the report tables store them
 
 
-BUCKET_WIDTH = 16_384
+BUCKET_WIDTH = 4_096
 MAX_BROADCAST_GROUPS = 500_000
 
 
@@ -42,8 +42,9 @@ def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str,
     ``groups`` is the counted number of groups, where known: few of them are broadcast to the second pass.
     """
     freq = F.sum(weight) if weight else F.count(F.lit(1))
+    # filtered before, so the default is never used; it marks the column as never NULL for the join
     bucketed = df.filter(F.col(value).isNotNull()).withColumn(
-        "_bucket", F.floor(F.col(value) / F.lit(BUCKET_WIDTH)))
+        "_bucket", F.coalesce(F.floor(F.col(value) / F.lit(BUCKET_WIDTH)), F.lit(0).cast("bigint")))
     group = W.partitionBy(*(by or [F.lit(0)]))
     upto = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     buckets = (
@@ -51,21 +52,23 @@ def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str,
         .withColumn("_end", F.sum("_in_bucket").over(upto))
         .withColumn("n", F.sum("_in_bucket").over(group))
     )
+    start, end = F.col("_end") - F.col("_in_bucket"), F.col("_end")
     options = F.array(*[F.struct(F.lit(name).alias("name"), F.expr(rank).alias("rank")) for name, rank in ranks.items()])
+    inside = F.filter(options, lambda option: (option["rank"] > start) & (option["rank"] <= end))
     wanted = (
-        buckets.select(*by, "_bucket", (F.col("_end") - F.col("_in_bucket")).alias("_start"), "_end", F.inline(options))
-        .filter((F.col("rank") > F.col("_start")) & (F.col("rank") <= F.col("_end")))
-        .select(*by, "_bucket", "_start", "name", "rank")
+        buckets.select(*by, "_bucket", start.alias("_start"), inside.alias("_ranks"))
+        .filter(F.size("_ranks") > 0)
     )
     if groups is not None and groups <= MAX_BROADCAST_GROUPS:
         wanted = F.broadcast(wanted)
     near = (
-        join_null_safe(bucketed, wanted, [*by, "_bucket"])
-        .groupBy(*by, "name", "rank", "_start", F.col(value).alias("_value")).agg(freq.alias("_n"))
+        join_null_safe(bucketed, wanted.select(*by, "_bucket"), [*by, "_bucket"], "left_semi")
+        .groupBy(*by, "_bucket", F.col(value).alias("_value")).agg(freq.alias("_n"))
     )
-    running = W.partitionBy(*by, "name").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
+    running = W.partitionBy(*by, "_bucket").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
     return (
-        near.withColumn("_upto", F.col("_start") + F.sum("_n").over(running))
+        join_null_safe(near.withColumn("_upto", F.sum("_n").over(running)), wanted, [*by, "_bucket"])
+        .select(*by, "_value", (F.col("_start") + F.col("_upto")).alias("_upto"), F.inline("_ranks"))
         .filter(F.col("_upto") >= F.col("rank"))
         .groupBy(*by, "name").agg(F.min("_value").alias("value"))
     )

@@ -12,8 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aisleframe.config import BuildConfig
-from aisleframe.functions.columns import date_key, day_number, is_true
-from aisleframe.functions.ranks import exact_median, fixed4, step_up_cut
+from aisleframe.functions.columns import date_key, day_number, is_true, join_null_safe
+from aisleframe.functions.ranks import MAX_BROADCAST_GROUPS, exact_median, fixed4, step_up_cut
 
 PAIR = ["store_nbr", "item_nbr"]
 
@@ -194,51 +194,53 @@ def promo_events(fact: DataFrame, dates: DataFrame, items: DataFrame, cfg: Build
     )
 
 
-WORDS_PER_DIGEST, WORD_BITS = 8, 15
+# The minimal standard random generator: multiplicative, modulo a Mersenne prime.
+GENERATOR, MODULUS = 48_271, 2**31 - 1
 METRICS = ("uplift", "dip", "net")
 
 
 def poisson_steps() -> list[int]:
-    """Ends of the Poisson(1) distribution on the scale of a word: a word above the n-th end draws more than n."""
+    """Ends of the Poisson(1) distribution on the generator's scale: a number above the n-th end draws more than n."""
     ends, total = [], 0.0
     for count in range(8):
         total += math.exp(-1) / math.factorial(count)
-        ends.append(round(total * 2**WORD_BITS) - 1)
+        ends.append(round(total * MODULUS))
     return ends
 
 
+def generator_steps(count: int) -> list[int]:
+    """Factors from a seed to the first, second, ... number of its random stream."""
+    return [pow(GENERATOR, n, MODULUS) for n in range(1, count + 1)]
+
+
 def replicate_weights(events: DataFrame, replicates: int) -> DataFrame:
     """Events repeated per bootstrap replicate with a Poisson(1) weight; rows of weight 0 are left out.
 
-    The weight comes from a digest of the event's keys and the replicate's block, so a rerun or a retried
-    task draws the same sample. One digest serves eight replicates.
+    Each event has its own random stream, seeded by a digest of its keys; replicate r takes the stream's r-th
+    number. A rerun or a retried task therefore draws the same sample, at the cost of one digest per event.
     """
-    blocks = -(-replicates // WORDS_PER_DIGEST)
     keys = ["store_key", "item_key", "start_date_key"]
-    digest = F.md5(F.concat_ws(":", *keys, "block"))
-    halves = [F.conv(F.substring("digest", start, 15), 16, 10).cast("bigint").alias(f"half{i}")
-              for i, start in enumerate((1, 16))]
-    words = F.array(*[
-        F.shiftright(F.col(f"half{half}"), WORD_BITS * place).bitwiseAND(F.lit(2**WORD_BITS - 1)).cast("int")
-        for half in range(2) for place in range(4)])
-    weight = sum(((F.col("word") > end).cast("int") for end in poisson_steps()), F.lit(0))
+    digest = F.conv(F.substring(F.md5(F.concat_ws(":", *keys)), 1, 8), 16, 10).cast("bigint")
+    factors = F.array(*[F.lit(step).cast("bigint") for step in generator_steps(replicates)])
+    weight = sum(((F.col("number") > end).cast("int") for end in poisson_steps()), F.lit(0))
     others = [c for c in events.columns if c not in keys]
     # rows multiply by the number of replicates here, so even a small table is first spread over all tasks
     spread = events.repartition(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     return (
-        spread.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .select(*others, "block", digest.alias("digest"))
-        .select(*others, "block", *halves)
-        .select(*others, "block", F.posexplode(words).alias("slot", "word"))
-        .select(*others, (F.col("block") * WORDS_PER_DIGEST + F.col("slot")).alias("replicate"), weight.alias("weight"))
-        .filter((F.col("replicate") < replicates) & (F.col("weight") > 0))
+        spread.select(*others, (digest % (MODULUS - 1) + 1).alias("seed"))
+        .select(*others, "seed", F.posexplode(factors).alias("replicate", "factor"))
+        .select(*others, "replicate", (F.col("seed") * F.col("factor") % MODULUS).alias("number"))
+        .select(*others, "replicate", weight.alias("weight"))
+        .filter("weight > 0")
     )
 
 
 def _per_metric(events: DataFrame) -> DataFrame:
-    """family, metric, v (and what else is there): the three event values under each other, blanks left out."""
-    stacked = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in METRICS]))
-    others = [c for c in events.columns if c not in METRICS]
+    """The three event values under each other: ``series`` (three per family), v, and what else is there."""
+    stacked = F.inline(F.array(*[
+        F.struct((F.col("family_no") * len(METRICS) + i).alias("series"), F.col(m).alias("v"))
+        for i, m in enumerate(METRICS)]))
+    others = [c for c in events.columns if c not in (*METRICS, "family_no")]
     return events.select(*others, stacked).filter(F.col("v").isNotNull())
 
 
@@ -247,22 +249,31 @@ def promo_family_summary(events: DataFrame, cfg: BuildConfig) -> DataFrame:
 
     The interval's ends are the 2.5% and 97.5% points of the medians of the bootstrap replicates.
     """
-    values = events.select(
-        "family", "store_key", "item_key", "start_date_key",
+    # families are numbered, so the many replicate rows carry a small number instead of a name
+    families = events.select("family").distinct().withColumn(
+        "family_no", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("family")))
+    count = families.count()
+    series = count * len(METRICS)
+    numbers = F.broadcast(families) if series <= MAX_BROADCAST_GROUPS else families
+    values = join_null_safe(events, numbers, ["family"]).select(
+        F.coalesce("family_no", F.lit(0)).alias("family_no"), "store_key", "item_key", "start_date_key",
         fixed4(F.col("uplift")).alias("uplift"), fixed4(F.col("post_dip")).alias("dip"),
         fixed4(F.col("net_lift")).alias("net"))
-    known = _per_metric(values.select("family", *METRICS))
-    group = ["family", "metric"]
-    groups = values.select("family").distinct().count() * len(METRICS)
-    centre = exact_median(known, group, "v", "median", groups=groups)
-    sizes = known.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    drawn = _per_metric(replicate_weights(values, cfg.bootstrap_replicates))
-    medians = exact_median(drawn, [*group, "replicate"], "v", "m", weight="weight",
-                           groups=groups * cfg.bootstrap_replicates)
+    known = _per_metric(values.select("family_no", *METRICS))
+    centre = exact_median(known, ["series"], "v", "median", groups=series)
+    sizes = known.groupBy("series").agg(F.count(F.lit(1)).alias("n"))
+    drawn = replicate_weights(_per_metric(values), cfg.bootstrap_replicates)
+    medians = exact_median(drawn, ["series", "replicate"], "v", "m", weight="weight",
+                           groups=series * cfg.bootstrap_replicates)
     # at most one row per replicate in each group
-    ends = medians.groupBy(*group).agg(
+    ends = medians.groupBy("series").agg(
         F.percentile("m", F.lit(0.025)).alias("lo"), F.percentile("m", F.lit(0.975)).alias("hi"))
-    by_metric = sizes.join(centre, group, "left").join(ends, group, "left")
+    by_metric = (
+        sizes.join(centre, "series", "left").join(ends, "series", "left")
+        .withColumn("family_no", F.expr(f"series div {len(METRICS)}"))
+        .withColumn("metric", F.element_at(F.array(*map(F.lit, METRICS)), F.col("series") % len(METRICS) + 1))
+        .join(families, "family_no")
+    )
 
     def pick(metric: str, column: str) -> Column:
         return F.max(F.when(F.col("metric") == metric, F.col(column)))

@@ -25,9 +25,9 @@ DIGITS = {
     "basket_value": "4", "est_lost_units": "2", "est_lost_sales": "4", "est_lost_sales_7d": "4", "lost_units_runs": "2",
     "receipts": "i", "lfl_receipts": "i", "lfl_receipts_py": "i", "stockout_risk_items": "i", "flagged_runs": "i",
     "promo_events": "i", "families_paying_back": "i", "median_run_days": "1", "baseline_units": "3",
-    "promo_extra_units": "3", "max_chance_flags": "4", "median_uplift_pct": "5", "median_net_lift_pct": "5",
-    "family_net_lift_pct": "5", "family_net_lift_low_pct": "5", "family_net_lift_high_pct": "5", "family_uplift_pct": "5",
-    "family_dip_pct": "5",
+    "promo_extra_units": "3", "max_chance_flags": "4", "median_uplift_pct": "6", "median_net_lift_pct": "6",
+    "family_net_lift_pct": "8", "family_net_lift_low_pct": "8", "family_net_lift_high_pct": "8", "family_uplift_pct": "8",
+    "family_dip_pct": "8",
 }
 DAY = date(2001, 6, 29)
 

@@ -502,13 +502,12 @@ vals AS (
     SELECT family, store_key, item_key, start_date, 'uplift' AS metric, uplift AS v FROM events_done UNION ALL
     SELECT family, store_key, item_key, start_date, 'dip', post_dip FROM events_done UNION ALL
     SELECT family, store_key, item_key, start_date, 'net', net_lift FROM events_done) WHERE v IS NOT NULL),
-digests AS (
-  SELECT store_key, item_key, k, block, md5(store_key || ':' || item_key || ':' || k || ':' || block) AS h
-  FROM (SELECT DISTINCT store_key, item_key, k FROM vals), range(25) b(block)),
-drawn AS (
-  SELECT store_key, item_key, k, block * 8 + half * 4 + place AS replicate,
-    (('0x' || substr(h, (1 + half * 15)::INT, 15))::BIGINT >> (15 * place)::INT) & 32767 AS word
-  FROM digests, range(2) a(half), range(4) b(place)),
+seeds AS (
+  SELECT store_key, item_key, k,
+    ('0x' || md5(store_key || ':' || item_key || ':' || k)[:8])::BIGINT % {deepdive.MODULUS - 1} + 1 AS seed
+  FROM (SELECT DISTINCT store_key, item_key, k FROM vals)),
+steps AS (SELECT unnest({deepdive.generator_steps(200)}) AS factor, unnest(range(200)) AS replicate),
+drawn AS (SELECT store_key, item_key, k, replicate, seed * factor % {deepdive.MODULUS} AS word FROM seeds, steps),
 weighted AS (
   SELECT family, metric, replicate, v, sum({' + '.join(f'(word > {e})::INT' for e in _ends)}) AS w
   FROM vals JOIN drawn USING (store_key, item_key, k) GROUP BY ALL),
@@ -529,5 +528,5 @@ payback AS (
   FROM (FROM summed WHERE metric = 'uplift') u LEFT JOIN (FROM summed WHERE metric = 'dip') d USING (family)
   LEFT JOIN (FROM summed WHERE metric = 'net') e USING (family))"""
 add("x8_promo_family_summary", MID, lambda s: deepdive.promo_family_summary(s.t("fact_promo_event"), s.cfg),
-    "family:s n_events:i uplift_median:5 uplift_lo:5 uplift_hi:5 n_dip_events:i dip_median:5 dip_lo:5 dip_hi:5 "
-    "n_net_events:i net_median:5 net_lo:5 net_hi:5", "SELECT * FROM payback", PAYBACK)
+    "family:s n_events:i uplift_median:8 uplift_lo:8 uplift_hi:8 n_dip_events:i dip_median:8 dip_lo:8 dip_hi:8 "
+    "n_net_events:i net_median:8 net_lo:8 net_hi:8", "SELECT * FROM payback", PAYBACK)
