@@ -54,12 +54,14 @@ def scoped_access(access: DataFrame, stores: DataFrame) -> DataFrame:
         "user_principal_name", "store_key")
 
 
-def labels(stores: DataFrame, dates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Display labels: "Store 7 (Quito)" and "Feb 2016"."""
-    return (
-        stores.withColumn("store_name", F.format_string("Store %d (%s)", "store_nbr", "city")),
-        dates.withColumn("year_month", F.date_format("date", "MMM yyyy")),
-    )
+def store_label(stores: DataFrame) -> DataFrame:
+    """Adds "Store 7 (Quito)"."""
+    return stores.withColumn("store_name", F.format_string("Store %d (%s)", "store_nbr", "city"))
+
+
+def month_label(dates: DataFrame) -> DataFrame:
+    """Adds "Feb 2016"."""
+    return dates.withColumn("year_month", F.date_format("date", "MMM yyyy"))
 
 
 # City names the gazetteer spells differently.

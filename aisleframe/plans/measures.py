@@ -418,14 +418,8 @@ def attach(rows: DataFrame, figures: DataFrame, on: list[str]) -> DataFrame:
     return join_null_safe(rows, figures, on, "left")
 
 
-def evaluate(star: Star, by: list[str], measures: list[str], cells: Cells | None = None) -> DataFrame:
-    """The measures for each group: ``by`` columns + one column per measure, rows with all blank left out.
-
-    ``cells`` replaces the date cells that follow from ``by`` and the selection, as a time calculation does.
-    """
-    group = Grouping.of(by)
-    if cells is None:
-        cells = star.cells(by)
+def _parts(star: Star, group: Grouping, cells: Cells | None, measures: list[str]) -> DataFrame:
+    """The parts the measures need, side by side for each group."""
     needs: dict[str, list[str]] = {}
     for name in measures:
         for block, parts in MEASURES[name].needs.items():
@@ -446,9 +440,48 @@ def evaluate(star: Star, by: list[str], measures: list[str], cells: Cells | None
         raise ValueError("None of these measures has items; add one that has, or group without items")
     else:
         result = stitch(coarse_parts, coarse)
+    return result
+
+
+def evaluate(star: Star, by: list[str], measures: list[str], cells: Cells | None = None) -> DataFrame:
+    """The measures for each group: ``by`` columns + one column per measure, rows with all blank left out.
+
+    ``cells`` replaces the date cells that follow from ``by`` and the selection, as a time calculation does.
+    """
+    group = Grouping.of(by)
+    if cells is None:
+        cells = star.cells(by)
+    result = _parts(star, group, cells, measures)
+    return _finished(result, measures, cells, group, by)
+
+
+def _finished(result: DataFrame, measures: list[str], cells: Cells | None, group: Grouping, by: list[str],
+              *more: str) -> DataFrame:
     renamed = [C(f"c_{n}").alias(n) for n in cells.names] if cells else []
     values = [MEASURES[m].value().alias(m) for m in measures]
-    out = result.select(*renamed, *group.store, *group.item, *values)
-    if by or renamed:
-        out = out.filter(~all_blank(measures))
-    return out
+    out = result.select(*renamed, *group.store, *group.item, *values, *more)
+    return out.filter(~all_blank(measures)) if by or renamed else out
+
+
+# blocks whose parts are sums over fact rows: the parts of a coarser group are the sums of the finer ones
+ADDITIVE = {"sales", "day", "risk", "lfl_sales", "lfl_receipts", "target", "store_week", "event_count"}
+
+
+def evaluate_with_total(star: Star, by: list[str], measures: list[str]) -> DataFrame:
+    """Group rows and the total row (``is_total``), the measures evaluated at each.
+
+    Where every part is a sum and all rows look at the same dates, the total's parts are added up from the group
+    rows and only the measures' expressions are evaluated again; otherwise the total is evaluated on its own.
+    """
+    group = Grouping.of(by)
+    blocks = {block for name in measures for block in MEASURES[name].needs}
+    if group.date or group.item or not blocks <= ADDITIVE:
+        rows = evaluate(star, by, measures).withColumn("is_total", F.lit(False))
+        total = evaluate(star, [], measures).withColumn("is_total", F.lit(True))
+        return rows.unionByName(total, allowMissingColumns=True)
+    cells = star.cells(by)
+    result = _parts(star, group, cells, measures)
+    figures = [c for c in result.columns if c not in by]
+    levels = result.groupingSets([[C(c) for c in by], []], *by).agg(
+        *[F.sum(c).alias(c) for c in figures], F.grouping_id().alias("level"))
+    return _finished(levels.withColumn("is_total", C("level") > 0), measures, cells, group, by, "is_total")

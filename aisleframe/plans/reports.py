@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aisleframe.functions.columns import all_blank
 from aisleframe.plans import timecalc
-from aisleframe.plans.measures import evaluate
+from aisleframe.plans.measures import evaluate, evaluate_with_total
 from aisleframe.plans.star import Star
 
 NETWORK = ["sales_value", "sales_vs_target_pct", "lfl_growth_pct", "lfl_footfall_growth_pct", "lfl_basket_growth_pct"]
@@ -18,13 +18,6 @@ MONTHS = ["year", "month_num"]
 DAYS = ["year", "month_num", "date"]
 
 
-def with_total(star: Star, by: list[str], measures: list[str]) -> DataFrame:
-    """Group rows plus the total row. The total is evaluated at the total, with blank group columns."""
-    rows = evaluate(star, by, measures).withColumn("is_total", F.lit(False))
-    total = evaluate(star, [], measures).withColumn("is_total", F.lit(True))
-    return rows.unionByName(total, allowMissingColumns=True)
-
-
 def show_as(star: Star, by: list[str], measures: list[str], items: list[str]) -> DataFrame:
     """The measures under several time calculations, one row per group and calculation.
 
@@ -100,7 +93,7 @@ def network_kpis(star: Star) -> DataFrame:
 
 
 def region_table(star: Star) -> DataFrame:
-    return with_total(star, ["region"], NETWORK).orderBy("is_total", F.desc("sales_value"))
+    return evaluate_with_total(star, ["region"], NETWORK).orderBy("is_total", F.desc("sales_value"))
 
 
 def region_vs_target(star: Star) -> DataFrame:

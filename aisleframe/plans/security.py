@@ -26,18 +26,21 @@ def own_access(access: DataFrame, user: str) -> DataFrame:
 
 def store_operations(star: Star, user: str) -> Star:
     """Only the user's stores, in every related table; no unit cost, no network-wide results."""
-    access = own_access(star.tables["user_access"], user)
-    allowed = star.tables["dim_store"].join(access.select("store_key"), "store_key", "left_semi")
-    tables = dict(star.tables)
-    for fact in STORE_FACTS:
-        if fact in tables:
-            tables[fact] = tables[fact].join(allowed.select("store_key"), "store_key", "left_semi")
-    tables["dim_store"] = allowed
-    tables["user_access"] = access
-    tables["dim_item"] = tables["dim_item"].drop("unit_cost")
+    def access() -> DataFrame:
+        return own_access(star.table("user_access"), user)
+
+    def allowed() -> DataFrame:
+        return star.table("dim_store").join(access().select("store_key"), "store_key", "left_semi")
+
+    def visible(fact: str):
+        return lambda: star.table(fact).join(access().select("store_key"), "store_key", "left_semi").join(
+            star.table("dim_store").select("store_key"), "store_key", "left_semi")
+
+    own = {fact: visible(fact) for fact in STORE_FACTS if fact in star.sources}
+    limited = star.with_tables(
+        **own, dim_store=allowed, user_access=access, dim_item=lambda: star.table("dim_item").drop("unit_cost"))
     return replace(
-        star, tables=tables, denied_tables=star.denied_tables | NETWORK_ONLY,
-        denied_columns=star.denied_columns | {"unit_cost"})
+        limited, denied_tables=star.denied_tables | NETWORK_ONLY, denied_columns=star.denied_columns | {"unit_cost"})
 
 
 def commercial(star: Star) -> Star:
@@ -55,7 +58,7 @@ def secure(star: Star, user: str, roles: dict[str, list[str]]) -> Star:
 
 def access_matrix(star: Star, members: DataFrame) -> DataFrame:
     """Per user (user, role): stores seen, own access rows, and whether unit cost is visible."""
-    stores, access = star.tables["dim_store"], star.tables["user_access"]
+    stores, access = star.table("dim_store"), star.table("user_access")
     every_store = stores.agg(F.count(F.lit(1)).alias("n")).scalar()
     scope = (
         access.join(stores.select("store_key", F.lit(1).alias("known")), "store_key", "left")

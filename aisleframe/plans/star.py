@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import date
 
@@ -49,9 +50,12 @@ class Cells:
 
 @dataclass(frozen=True)
 class Star:
-    """Conformed tables plus the selection on the three dimensions."""
+    """Conformed tables plus the selection on the three dimensions.
 
-    tables: dict[str, DataFrame]
+    ``sources`` maps a table's name to what opens it, so a report only builds and reads the tables it uses.
+    """
+
+    sources: dict[str, Callable[[], DataFrame]]
     data_start: date
     data_end: date
     date_filter: Column | None = None
@@ -61,10 +65,20 @@ class Star:
     denied_columns: frozenset[str] = field(default_factory=frozenset)
 
     @classmethod
-    def of(cls, tables: dict[str, DataFrame]) -> "Star":
-        stores, dates = conform.labels(tables["dim_store"], tables["dim_date"])
-        ends = dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-        return cls({**tables, "dim_store": stores, "dim_date": dates}, ends["lo"], ends["hi"])
+    def of(cls, sources: dict[str, Callable[[], DataFrame]]) -> "Star":
+        named = {
+            **sources,
+            "dim_store": lambda: conform.store_label(sources["dim_store"]()),
+            "dim_date": lambda: conform.month_label(sources["dim_date"]()),
+        }
+        ends = sources["dim_date"]().agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+        return cls(named, ends["lo"], ends["hi"])
+
+    def with_tables(self, **sources: Callable[[], DataFrame]) -> "Star":
+        return replace(self, sources={**self.sources, **sources})
+
+    def table(self, name: str) -> DataFrame:
+        return self.sources[name]()
 
     # --- selection (slicers: conditions on one dimension each, all must hold) ---
 
@@ -80,7 +94,7 @@ class Star:
 
     @property
     def calendar(self) -> DataFrame:
-        return self.tables["dim_date"]
+        return self.table("dim_date")
 
     @property
     def dates(self) -> DataFrame:
@@ -88,18 +102,18 @@ class Star:
 
     @property
     def stores(self) -> DataFrame:
-        stores = self.tables["dim_store"]
+        stores = self.table("dim_store")
         return stores if self.store_filter is None else stores.filter(self.store_filter)
 
     @property
     def items(self) -> DataFrame:
-        items = self.tables["dim_item"]
+        items = self.table("dim_item")
         return items if self.item_filter is None else items.filter(self.item_filter)
 
     def fact(self, name: str) -> DataFrame:
         if name in self.denied_tables:
-            return self.tables[name].filter(F.lit(False))
-        return self.tables[name]
+            return self.table(name).filter(F.lit(False))
+        return self.table(name)
 
     @property
     def day_count(self) -> int:

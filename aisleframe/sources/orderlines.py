@@ -55,17 +55,17 @@ class OrderLineFeed:
     def by_brand(self) -> bool:
         return self.grain == "nation_brand"
 
-    def lines(self) -> DataFrame:
-        """Order lines with date, store and item number."""
+    def lines(self, with_items: bool = True) -> DataFrame:
+        """Order lines with date, store and (where asked for) item number."""
         lines = self.raw("lineitem").withColumn("date", F.to_date("l_shipdate"))
         if not self.by_brand:
             return lines.withColumn("store_nbr", F.col("l_suppkey")).withColumn("item_nbr", F.col("l_partkey"))
         stores = self.raw("supplier").select("s_suppkey", (F.col("s_nationkey") + 1).cast("bigint").alias("store_nbr"))
+        placed = lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+        if not with_items:
+            return placed
         items = self.raw("part").select("p_partkey", brand_number().alias("item_nbr"))
-        return (
-            lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(items, F.col("l_partkey") == F.col("p_partkey"))
-        )
+        return placed.join(items, F.col("l_partkey") == F.col("p_partkey"))
 
     def train(self) -> DataFrame:
         returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -77,7 +77,7 @@ class OrderLineFeed:
 
     def transactions(self) -> DataFrame:
         return (
-            self.lines().groupBy("date", "store_nbr")
+            self.lines(with_items=False).groupBy("date", "store_nbr")
             .agg(F.countDistinct("l_orderkey").cast("bigint").alias("transactions"))
         )
 

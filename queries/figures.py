@@ -12,7 +12,7 @@ from aisleframe.plans.measures import evaluate
 from aisleframe.plans.star import AccessDenied
 from queries.layers import ACCESS, PAYBACK
 from queries.sql_base import query
-from queries.stage import DEEP_TABLES, FINE, MID, RISK_TABLES, Stage
+from queries.stage import DEEP_TABLES, FINE, MID, Stage
 
 ENTRIES: dict[str, tuple] = {}
 KINDS = {
@@ -106,14 +106,14 @@ def network_sql(by: list[str], tag: str = "") -> tuple[str, str]:
 # --- M: measures -------------------------------------------------------------------------------------------------
 
 
-def measure(number, name, grain, by, sql, extra="", deep=()):
-    add(f"m{number}_{name}", grain, lambda s: evaluate(s.star(*deep), by, [name]), [*by, name], sql, extra)
+def measure(number, name, grain, by, sql, extra=""):
+    add(f"m{number}_{name}", grain, lambda s: evaluate(s.star, by, [name]), [*by, name], sql, extra)
 
 
-def simple(number, name, grain, by, expression, source, deep=(), extra=""):
+def simple(number, name, grain, by, expression, source, extra=""):
     measure(number, name, grain, by,
             f"SELECT * FROM (SELECT {comma(*by)}{expression} AS {name} FROM {source} {grouped(by)}) WHERE {name} IS NOT NULL"
-            if by else f"SELECT {expression} AS {name} FROM {source}", extra, deep)
+            if by else f"SELECT {expression} AS {name} FROM {source}", extra)
 
 
 UPLIFT = "sum(units - baseline) FILTER (on_promo AND baseline > 0) / sum(baseline) FILTER (on_promo AND baseline > 0)"
@@ -149,39 +149,38 @@ measure(20, "lfl_basket_growth_pct", FINE, LFL_BY,
              FROM ls JOIN lr USING (year, region)) WHERE a IS NOT NULL AND b IS NOT NULL""", _lfl_s + "," + _lfl_r)
 simple(21, "avg_rain", FINE, ["region", "year"], "avg(rain_mm)", "D")
 simple(22, "avg_max_temp", FINE, ["city"], "avg(temp_max_c)", "D")
-simple(23, "stockout_risk_items", MID, ["family", "year"], "count(DISTINCT (store_key, item_key))", "R", RISK_TABLES)
-simple(24, "est_lost_units", MID, ["store_name", "family"], "sum(expected_units)", "R", RISK_TABLES)
-simple(25, "est_lost_sales", MID, ["item_nbr"], "sum(lost)", "R", RISK_TABLES)
+simple(23, "stockout_risk_items", MID, ["family", "year"], "count(DISTINCT (store_key, item_key))", "R")
+simple(24, "est_lost_units", MID, ["store_name", "family"], "sum(expected_units)", "R")
+simple(25, "est_lost_sales", MID, ["item_nbr"], "sum(lost)", "R")
 measure(26, "est_lost_sales_7d", MID, ["year", "month_num", "region"],
         """SELECT k.year, k.month_num, region, sum(lost) AS est_lost_sales_7d
            FROM (SELECT year, month_num, max(date) AS last FROM cal GROUP BY ALL) k JOIN R ON R.date > last - 7 AND R.date <= last
-           GROUP BY ALL""", "", RISK_TABLES)
+           GROUP BY ALL""", "")
 FLAGGED = """
 FR AS (SELECT f.*, store_name, region, family, item.item_nbr AS item, year FROM flagged f JOIN store ON store.store_key = f.store_nbr
        JOIN item ON item.item_nbr = f.item_nbr JOIN cal ON cal.date = f.start_date WHERE is_flagged)"""
-simple(27, "flagged_runs", MID, ["store_name", "year"], "count(*)", "FR", DEEP_TABLES[:1], FLAGGED)
-simple(28, "lost_units_runs", MID, ["family"], "sum(expected_lost_units)", "FR", DEEP_TABLES[:1], FLAGGED)
-simple(29, "median_run_days", MID, ["family", "region"], "median(run_days)", "FR", DEEP_TABLES[:1], FLAGGED)
-simple(30, "stockout_rate_pct", MID, ["region"], "sum(flagged_days) / sum(item_days)", "week JOIN store USING (store_key)",
-       DEEP_TABLES[1:2])
+simple(27, "flagged_runs", MID, ["store_name", "year"], "count(*)", "FR", FLAGGED)
+simple(28, "lost_units_runs", MID, ["family"], "sum(expected_lost_units)", "FR", FLAGGED)
+simple(29, "median_run_days", MID, ["family", "region"], "median(run_days)", "FR", FLAGGED)
+simple(30, "stockout_rate_pct", MID, ["region"], "sum(flagged_days) / sum(item_days)", "week JOIN store USING (store_key)")
 EVENTS = """
 E AS (SELECT e.*, region, store_name, year, round(uplift, 4) AS u4, round(net_lift, 4) AS n4 FROM events_done e
       JOIN store USING (store_key) JOIN cal ON cal.date = e.start_date)"""
-simple(31, "promo_events", MID, ["family", "year"], "count(*)", "E", DEEP_TABLES[3:4], EVENTS)
-simple(32, "median_uplift_pct", MID, ["family", "region"], "median(u4)", "E", DEEP_TABLES[3:4], EVENTS)
-simple(33, "median_net_lift_pct", MID, ["store_name"], "median(n4)", "E", DEEP_TABLES[3:4], EVENTS)
+simple(31, "promo_events", MID, ["family", "year"], "count(*)", "E", EVENTS)
+simple(32, "median_uplift_pct", MID, ["family", "region"], "median(u4)", "E", EVENTS)
+simple(33, "median_net_lift_pct", MID, ["store_name"], "median(n4)", "E", EVENTS)
 PAYBACK_COLUMNS = {
     34: ("family_net_lift_pct", "net_median"), 35: ("family_net_lift_low_pct", "net_lo"),
     36: ("family_net_lift_high_pct", "net_hi"), 37: ("family_uplift_pct", "uplift_median"), 38: ("family_dip_pct", "dip_median")}
 for _n, (_name, _col) in PAYBACK_COLUMNS.items():
-    measure(_n, _name, MID, ["family"], f"SELECT family, {_col} AS {_name} FROM payback WHERE {_col} IS NOT NULL", PAYBACK, DEEP_TABLES[4:])
+    measure(_n, _name, MID, ["family"], f"SELECT family, {_col} AS {_name} FROM payback WHERE {_col} IS NOT NULL", PAYBACK)
 measure(39, "families_paying_back", MID, [], "SELECT nullif(count(*) FILTER (net_lo > 0), 0) AS families_paying_back FROM payback",
-        PAYBACK, DEEP_TABLES[4:])
+        PAYBACK)
 measure(40, "nb_flag_rate_pct", MID, [], "SELECT count(*) FILTER (p_value <= cutoff) / count(*) AS nb_flag_rate_pct FROM tested, cut",
-        "", DEEP_TABLES[2:3])
+        "")
 measure(41, "poisson_flag_rate_pct", MID, [],
-        "SELECT count(*) FILTER (p_poisson <= poisson_cutoff) / count(*) AS poisson_flag_rate_pct FROM tested, cut", "", DEEP_TABLES[2:3])
-measure(42, "max_chance_flags", MID, [], "SELECT cutoff * m AS max_chance_flags FROM cut", "", DEEP_TABLES[2:3])
+        "SELECT count(*) FILTER (p_poisson <= poisson_cutoff) / count(*) AS poisson_flag_rate_pct FROM tested, cut", "")
+measure(42, "max_chance_flags", MID, [], "SELECT cutoff * m AS max_chance_flags FROM cut", "")
 
 
 # --- T: time calculations ------------------------------------------------------------------------------------------
@@ -206,8 +205,8 @@ def over_cells(cells: str, label: str, figure: str = "sum(value)", name: str = "
       FROM {cells} c JOIN {rows} USING (date) GROUP BY ky, km{''.join(f', {m}' for m in more)}"""
 
 
-def timed(key, items, sql, name="sales_value", by=("year", "month_num"), grain=FINE, deep=()):
-    add(key, grain, lambda s: reports.show_as(s.star(*deep), list(by), [name], items), [*by, "show_as", name], sql, CELL_SETS)
+def timed(key, items, sql, name="sales_value", by=("year", "month_num"), grain=FINE):
+    add(key, grain, lambda s: reports.show_as(s.star, list(by), [name], items), [*by, "show_as", name], sql, CELL_SETS)
 
 
 timed("t1_actual", [timecalc.ACTUAL], over_cells("mc", "Actual"))
@@ -219,12 +218,12 @@ PAIR = f"""
 this_year AS ({over_cells('mc', 'Actual', MARGIN, 'a', more=['region'])}),
 last_year AS ({over_cells('py', 'PY', MARGIN, 'b', more=['region'])})"""
 add("t6_yoy_delta", FINE,
-    lambda s: reports.show_as(s.star(), ["year", "month_num", "region"], ["gross_margin_pct"], [timecalc.YOY_DELTA]),
+    lambda s: reports.show_as(s.star, ["year", "month_num", "region"], ["gross_margin_pct"], [timecalc.YOY_DELTA]),
     ["year", "month_num", "region", "show_as", "gross_margin_pct"],
     "SELECT year, month_num, region, 'YoY Δ' AS show_as, a - b AS gross_margin_pct FROM this_year JOIN last_year USING (year, month_num, region)",
     CELL_SETS + "," + PAIR)
 add("t7_yoy_pct", FINE,
-    lambda s: reports.show_as(s.star(), ["year", "month_num", "region"], ["gross_margin_pct"], [timecalc.YOY_PCT]),
+    lambda s: reports.show_as(s.star, ["year", "month_num", "region"], ["gross_margin_pct"], [timecalc.YOY_PCT]),
     ["year", "month_num", "region", "show_as", "gross_margin_pct"],
     "SELECT year, month_num, region, 'YoY %' AS show_as, (a - b) / b AS gross_margin_pct FROM this_year JOIN last_year USING (year, month_num, region)",
     CELL_SETS + "," + PAIR)
@@ -232,7 +231,7 @@ timed("t8_show_as_pivot", [timecalc.ACTUAL, timecalc.MTD, timecalc.YTD, timecalc
       " UNION ALL ".join(over_cells(c, l) for c, l in
                          (("mc", "Actual"), ("mtd", "MTD"), ("ytd", "YTD"), ("py", "PY"), ("pyytd", "PY YTD"))))
 add("t8_receipts_by_day_ytd", FINE,
-    lambda s: reports.show_as(s.star(), ["date"], ["receipts"], [timecalc.ACTUAL, timecalc.MTD, timecalc.YTD, timecalc.PY]),
+    lambda s: reports.show_as(s.star, ["date"], ["receipts"], [timecalc.ACTUAL, timecalc.MTD, timecalc.YTD, timecalc.PY]),
     ["date", "show_as", "receipts"], """
 SELECT date, 'Actual' AS show_as, n AS receipts FROM daysum WHERE n IS NOT NULL
 UNION ALL SELECT date, 'MTD', sum(n) OVER (PARTITION BY year(date), month(date) ORDER BY date) FROM daysum
@@ -243,13 +242,13 @@ UNION ALL SELECT cal.date, 'PY', n FROM cal JOIN daysum ON daysum.date = (cal.da
   WHERE n IS NOT NULL AND daysum.date <= (SELECT (hi - INTERVAL 1 YEAR)::DATE FROM ends)""",
     "daysum AS (SELECT cal.date, sum(receipts) AS n FROM cal LEFT JOIN D USING (date) GROUP BY ALL)")
 add("t9_last_n_days", MID,
-    lambda s: evaluate(s.star(*RISK_TABLES), ["year", "month_num", "family"], ["est_lost_sales_7d"]),
+    lambda s: evaluate(s.star, ["year", "month_num", "family"], ["est_lost_sales_7d"]),
     ["year", "month_num", "family", "est_lost_sales_7d"],
     """SELECT k.year, k.month_num, family, sum(lost) AS est_lost_sales_7d
        FROM (SELECT year, month_num, max(date) AS last FROM cal GROUP BY ALL) k JOIN R ON R.date > last - 7 AND R.date <= last
        GROUP BY ALL""")
 LEVELS = ["year", "quarter", "month_num", "date"]
-add("t10_calendar_hierarchy", FINE, lambda s: reports.drill(s.star(), ["units", "gross_margin_pct"]),
+add("t10_calendar_hierarchy", FINE, lambda s: reports.drill(s.star, ["units", "gross_margin_pct"]),
     [*LEVELS, "depth", "units", "gross_margin_pct"],
     " UNION ALL ".join(
         f"SELECT {', '.join(c if i < d else f'NULL AS {c}' for i, c in enumerate(LEVELS))}, {d} AS depth, sum(units) AS units, "
@@ -258,8 +257,8 @@ add("t10_calendar_hierarchy", FINE, lambda s: reports.drill(s.star(), ["units",
 # --- Q: reports --------------------------------------------------------------------------------------------------------
 
 
-def report(key, grain, build, columns, sql, extra="", deep=()):
-    add(key, grain, lambda s: build(s.star(*deep)), columns, sql, extra)
+def report(key, grain, build, columns, sql, extra=""):
+    add(key, grain, lambda s: build(s.star), columns, sql, extra)
 
 
 _select, _extra = network_sql([])
@@ -298,21 +297,21 @@ report("q10_daily_vs_target", FINE, reports.daily_vs_target, ["year", "month_num
           WHERE sales_value IS NOT NULL OR target IS NOT NULL""")
 LOST = "sum(expected_units) AS est_lost_units, sum(lost) AS est_lost_sales"
 report("q11_fresh_at_risk", MID, reports.fresh_at_risk, ["item_nbr", "family", "est_lost_units", "est_lost_sales"],
-       f"SELECT item_nbr, family, {LOST} FROM R WHERE is_perishable GROUP BY ALL", deep=RISK_TABLES)
+       f"SELECT item_nbr, family, {LOST} FROM R WHERE is_perishable GROUP BY ALL")
 report("q12_fresh_kpis", MID, reports.fresh_kpis,
        ["fresh_share_pct", "stockout_risk_items", "est_lost_units", "est_lost_sales"],
        f"""SELECT (SELECT sum(value) FILTER (is_perishable) / sum(value) FROM S) AS fresh_share_pct,
-             count(DISTINCT (store_key, item_key)) AS stockout_risk_items, {LOST} FROM R""", deep=RISK_TABLES)
+             count(DISTINCT (store_key, item_key)) AS stockout_risk_items, {LOST} FROM R""")
 report("q13_items_at_risk", MID, reports.items_at_risk, ["store_name", "item_nbr", "family", "est_lost_units", "est_lost_sales"],
        f"""SELECT * FROM (SELECT store_name, item_nbr, family, {LOST} FROM R WHERE is_perishable GROUP BY ALL)
-           QUALIFY rank() OVER (ORDER BY est_lost_sales DESC) <= 50""", deep=RISK_TABLES)
+           QUALIFY rank() OVER (ORDER BY est_lost_sales DESC) <= 50""")
 report("q14_lost_sales_by_family", MID, reports.lost_sales_by_family, ["family", "est_lost_sales"],
-       "SELECT family, sum(lost) AS est_lost_sales FROM R WHERE is_perishable GROUP BY 1", deep=RISK_TABLES)
+       "SELECT family, sum(lost) AS est_lost_sales FROM R WHERE is_perishable GROUP BY 1")
 report("q15_lost_sales_trend", MID, reports.lost_sales_trend, ["year", "month_num", "date", "show_as", "est_lost_sales"],
        """SELECT year, month_num, date, 'Actual' AS show_as, v AS est_lost_sales FROM cal JOIN lost_day USING (date)
           UNION ALL SELECT year, month_num, cal.date, 'PY', v FROM cal JOIN lost_day x ON x.date = (cal.date - INTERVAL 1 YEAR)::DATE
           WHERE x.date <= (SELECT (hi - INTERVAL 1 YEAR)::DATE FROM ends)""",
-       "lost_day AS (SELECT date, sum(lost) AS v FROM R WHERE is_perishable GROUP BY 1)", RISK_TABLES)
+       "lost_day AS (SELECT date, sum(lost) AS v FROM R WHERE is_perishable GROUP BY 1)")
 report("q16_promotion_kpis", MID, reports.promotion_kpis, ["promo_uplift_pct", "post_promo_dip_pct", "units", "gross_margin_pct"],
        f"SELECT {UPLIFT} AS promo_uplift_pct, {DIP} AS post_promo_dip_pct, sum(units) AS units, {MARGIN} AS gross_margin_pct FROM P")
 report("q17_promotions_by_family", MID, reports.promotions_by_family, ["family", "promo_uplift_pct", "post_promo_dip_pct", "gross_margin_pct"],
@@ -348,29 +347,29 @@ ENTRIES["q23_store_today_yoy"] = (
     *ENTRIES["q23_store_today_yoy"][:2], "store_name:s show_as:s receipts:6 basket_value:4", ENTRIES["q23_store_today_yoy"][3])
 report("q24_fresh_last_7_days", MID, lambda star: reports.fresh_last_7_days(star, DAY), ["item_nbr", "family", "est_lost_sales_7d"],
        f"""SELECT item_nbr, family, sum(lost) AS est_lost_sales_7d FROM R
-           WHERE is_perishable AND date > DATE '{DAY}' - 7 AND date <= DATE '{DAY}' GROUP BY ALL""", deep=RISK_TABLES)
+           WHERE is_perishable AND date > DATE '{DAY}' - 7 AND date <= DATE '{DAY}' GROUP BY ALL""")
 report("q25_payback_by_family", MID, reports.payback_by_family,
        ["family", *(n for n, _ in PAYBACK_COLUMNS.values())],
-       f"SELECT family, {', '.join(f'{c} AS {n}' for n, c in PAYBACK_COLUMNS.values())} FROM payback", PAYBACK, DEEP_TABLES[4:])
+       f"SELECT family, {', '.join(f'{c} AS {n}' for n, c in PAYBACK_COLUMNS.values())} FROM payback", PAYBACK)
 report("q26_stockout_rate_by_store", MID, reports.stockout_rate_by_store,
        ["store_name", "stockout_rate_pct", "flagged_runs", "median_run_days"],
        """SELECT store_name, stockout_rate_pct, flagged_runs, median_run_days
           FROM (SELECT store_name, sum(flagged_days) / sum(item_days) AS stockout_rate_pct FROM week JOIN store USING (store_key) GROUP BY 1)
           LEFT JOIN (SELECT store_name, count(*) AS flagged_runs, median(run_days) AS median_run_days FROM FR GROUP BY 1) USING (store_name)""",
-       FLAGGED, DEEP_TABLES[:2])
+       FLAGGED)
 report("q27_stockout_rate_trend", MID, reports.stockout_rate_trend, ["year", "month_num", "date", "stockout_rate_pct"],
        """SELECT year, month_num, date, sum(flagged_days) / sum(item_days) AS stockout_rate_pct
-          FROM week JOIN cal ON date = week_start GROUP BY ALL""", deep=DEEP_TABLES[1:2])
+          FROM week JOIN cal ON date = week_start GROUP BY ALL""")
 report("q28_deep_dive_kpis", MID, reports.deep_dive_kpis,
        ["stockout_rate_pct", "lost_units_runs", "median_net_lift_pct", "families_paying_back"],
        """SELECT (SELECT sum(flagged_days) / sum(item_days) FROM week) AS stockout_rate_pct,
             (SELECT sum(expected_lost_units) FROM flagged WHERE is_flagged) AS lost_units_runs,
             (SELECT median(round(net_lift, 4)) FROM events_done) AS median_net_lift_pct,
-            (SELECT nullif(count(*) FILTER (net_lo > 0), 0) FROM payback) AS families_paying_back""", PAYBACK, DEEP_TABLES)
+            (SELECT nullif(count(*) FILTER (net_lo > 0), 0) FROM payback) AS families_paying_back""", PAYBACK)
 _slice = "year IN (1999, 2000) AND region IN ('ASIA', 'EUROPE') AND type IN ('A', 'C')"
 add("q29_slicer_filters", FINE,
     lambda s: evaluate(
-        reports.sliced(s.star(), years=[1999, 2000], regions=["ASIA", "EUROPE"], store_types=["A", "C"], families=["PROMO", "SMALL"]),
+        reports.sliced(s.star, years=[1999, 2000], regions=["ASIA", "EUROPE"], store_types=["A", "C"], families=["PROMO", "SMALL"]),
         ["year", "region"], ["sales_value", "receipts", "basket_value", "sales_vs_target_pct"]),
     ["year", "region", "sales_value", "receipts", "basket_value", "sales_vs_target_pct"],
     f"""SELECT year, region, sales_value, receipts, sales_value / receipts AS basket_value, sales_vs_target_pct
@@ -389,7 +388,7 @@ SEEN = f"seen AS (SELECT store_key FROM access WHERE upn = '{REGIONAL}')"
 
 
 def _seen(s: Stage, user: str = REGIONAL):
-    return security.secure(s.star(), user, ROLES)
+    return security.secure(s.star, user, ROLES)
 
 
 add("a1_dynamic_row_filter", FINE,
@@ -405,7 +404,7 @@ add("a2_own_access_rows", FINE, lambda s: _seen(s).fact("user_access"), [],
 
 
 def _denied(s: Stage) -> DataFrame:
-    star = s.star("promo_family_summary", "stockout_bh_summary")
+    star = s.star
     rows = []
     for user in (REGIONAL, HEAD):
         seen = security.secure(star, user, ROLES)
@@ -452,7 +451,7 @@ UNION ALL SELECT '{HEAD}', 'cost_value', (SELECT sum(cost) FROM S), false""", AC
 def _matrix(s: Stage) -> DataFrame:
     members = s.spark.createDataFrame(
         [(user, role) for role, users in ROLES.items() for user in users], "user string, role string")
-    return security.access_matrix(s.star(), members)
+    return security.access_matrix(s.star, members)
 
 
 add("a6_access_matrix", FINE, _matrix, [], f"""

@@ -304,9 +304,9 @@ add("d4_user_access", FINE, lambda s: conform.scoped_access(s.t("user_access"),
 
 
 def _labels(s: Stage) -> DataFrame:
-    stores, dates = conform.labels(s.t("dim_store"), s.t("dim_date"))
-    named = stores.select(F.lit("store").alias("kind"), F.col("store_name").alias("label"))
-    return named.unionByName(dates.select(F.lit("month").alias("kind"), F.col("year_month").alias("label")).distinct())
+    named = conform.store_label(s.t("dim_store")).select(F.lit("store").alias("kind"), F.col("store_name").alias("label"))
+    months = conform.month_label(s.t("dim_date")).select(F.lit("month").alias("kind"), F.col("year_month").alias("label"))
+    return named.unionByName(months.distinct())
 
 
 add("d5_labels", FINE, _labels, "kind:s label:s",

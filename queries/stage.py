@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,15 +41,11 @@ class Stage:
         self._scratch += 1
         return f"{self.folder}/scratch/{name}-{self._scratch}"
 
-    def star(self, *deep: str) -> Star:
-        """The star with the deep tables a query asks for; others are not built."""
-        star = self.plain_star
-        return Star(
-            {**star.tables, **self.warehouse.tables(*deep)}, star.data_start, star.data_end) if deep else star
-
     @cached_property
-    def plain_star(self) -> Star:
-        return Star.of(self.warehouse.tables(*STAR_TABLES))
+    def star(self) -> Star:
+        """The star over the written tables; each is built when a query first uses it."""
+        names = (*STAR_TABLES, *RISK_TABLES, *DEEP_TABLES)
+        return Star.of({name: partial(self.warehouse.table, name) for name in names})
 
 
 _stages: dict[tuple, Stage] = {}
