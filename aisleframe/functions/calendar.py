@@ -7,6 +7,7 @@ Cell frames are bounded by the calendar table, never by the facts.
 
 from __future__ import annotations
 
+from calendar import monthrange
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -15,17 +16,12 @@ from pyspark.sql import functions as F
 
 def months_before(day: date, months: int) -> date:
     """The same day some months earlier, clipped to the month's length."""
-    index = day.year * 12 + day.month - 1 - months
-    year, month = divmod(index, 12)
-    month += 1
-    for candidate in (day.day, 30, 29, 28):
-        if candidate > day.day:
-            continue
-        try:
-            return date(year, month, candidate)
-        except ValueError:
-            continue
-    raise ValueError(day)
+    year, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    return date(year, month + 1, min(day.day, monthrange(year, month + 1)[1]))
+
+
+def month_end(day: date) -> date:
+    return day.replace(day=monthrange(day.year, day.month)[1])
 
 
 def to_date(cells: DataFrame, cell_cols: list[str], dates: DataFrame, trunc_to: str) -> DataFrame:
@@ -46,7 +42,7 @@ def prior_year(cells: DataFrame, cell_cols: list[str], dates: DataFrame, data_en
     shifted = cells.select(*cell_cols, F.add_months("date", -12).alias("date"))
     month_ends = dates.groupBy(F.trunc("date", "MM").alias("_month")).agg(F.max("date").alias("_month_end"))
     tails = (
-        cells.join(F.broadcast(month_ends), F.trunc(cells["date"], "MM") == F.col("_month"))
+        cells.join(month_ends, F.trunc(cells["date"], "MM") == F.col("_month"))
         .groupBy(*cell_cols, "_month_end")
         .agg(F.count_if(F.col("date") >= F.date_sub("_month_end", 1)).alias("_last_two"))
         .filter(F.col("_last_two") == 2)

@@ -8,7 +8,7 @@ of rows, because ratios, medians and like-for-like figures do not add up.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -94,7 +94,7 @@ def _join_cells(rows: DataFrame, cells: Cells | None, key: str, *extra: str) ->
     frame = cells.keyed(*extra)
     if key != "date_key":
         frame = frame.withColumnRenamed("date_key", key)
-    return rows.join(frame, key)
+    return cells.narrowed(rows, key).join(frame, key)
 
 
 def _join_stores(rows: DataFrame, star: Star, columns: tuple[str, ...]) -> DataFrame:
@@ -146,7 +146,8 @@ def _additive(star: Star, fact: str, library: dict, group: Grouping, cells: Cell
     sums = [library[p]().alias(p) for p in parts]
     if cells is not None and cells.per_date > 1:
         # a date lies in many cells: add up per date before the dates are repeated
-        daily = _fact_rows(star, fact, group, None, columns, item=item).groupBy("date_key", *dims).agg(*sums)
+        rows = _fact_rows(star, fact, group, None, columns, item=item)
+        daily = cells.narrowed(rows, "date_key").groupBy("date_key", *dims).agg(*sums)
         return _join_cells(daily, cells, "date_key").groupBy(*cells.columns, *dims).agg(
             *[F.sum(p).alias(p) for p in parts])
     rows = _fact_rows(star, fact, group, cells, columns, item=item)
@@ -188,14 +189,14 @@ def lfl_cells(star: Star, cells: Cells) -> Cells:
     to count in the cell: twelve months before the cell's first comparable calendar date.
     """
     first = months_before(star.data_start, -12)
-    now = Cells(cells.frame.filter(C("date") >= F.lit(first)), cells.names, cells.rows, cells.per_date)
+    now = replace(cells, frame=cells.frame.filter(C("date") >= F.lit(first)))
     before = timecalc.prior_year(star, now)
     both = now.frame.select("date", *cells.columns, F.lit(0).alias("shift")).unionByName(
         before.frame.select("date", *cells.columns, F.lit(1).alias("shift")))
     of_cell = W.partitionBy(*(cells.columns or [F.lit(0)]))
     start = F.min(F.when(C("shift") == 0, C("date"))).over(of_cell)
     frame = both.withColumn("opened_by", F.add_months(start, -12))
-    return Cells(frame, cells.names, now.rows + before.rows, cells.per_date * 2)
+    return Cells(frame, cells.names, now.rows + before.rows, cells.per_date * 2, timecalc.joint_span(now, before))
 
 
 def _lfl(star: Star, group: Grouping, cells: Cells | None, fact: str, amount: Column, needs: set[str],

@@ -30,13 +30,15 @@ class Cells:
     """Which dates each date cell of a report looks at: one row per cell and date.
 
     ``names`` are the cell's columns, kept with the prefix ``c_`` in ``frame`` so that a cell named by date and
-    the dates it looks at stay apart. ``per_date`` is an upper bound of the cells one date can belong to.
+    the dates it looks at stay apart. ``per_date`` is an upper bound of the cells one date can belong to, and
+    ``span`` holds the first and last date looked at where a selection narrows them.
     """
 
     frame: DataFrame
     names: tuple[str, ...]
     rows: int
     per_date: int = 1
+    span: tuple[date, date] | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -47,6 +49,13 @@ class Cells:
         keyed = self.frame.select(*self.columns, date_key("date").alias("date_key"), *extra)
         return F.broadcast(keyed) if self.rows <= MAX_BROADCAST_CELLS else keyed
 
+    def narrowed(self, rows: DataFrame, key: str) -> DataFrame:
+        """Fact rows inside the span, as a constant range that the scan can use to skip row groups."""
+        if self.span is None:
+            return rows
+        lo, hi = (int(day.strftime("%Y%m%d")) for day in self.span)
+        return rows.filter(F.col(key).between(lo, hi))
+
 
 @dataclass(frozen=True)
 class Star:
@@ -128,4 +137,10 @@ class Star:
 
     def all_cells(self, names: tuple[str, ...] = ()) -> Cells:
         frame = self.dates.select("date", *[F.col(n).alias(f"c_{n}") for n in names])
-        return Cells(frame, names, self.day_count)
+        return Cells(frame, names, self.day_count, span=self._span())
+
+    def _span(self) -> tuple[date, date] | None:
+        if self.date_filter is None:
+            return None
+        ends = self.dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+        return (ends["lo"], ends["hi"]) if ends["lo"] else None

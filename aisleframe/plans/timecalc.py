@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -19,18 +20,27 @@ PERIODS = {"MM": 31, "YEAR": 366}
 def to_date(star: Star, cells: Cells, unit: str) -> Cells:
     frame = calendar.to_date(cells.frame, cells.columns, star.calendar, unit)
     finest = 1 if not cells.names else PERIODS[unit]
-    return replace(cells, frame=frame, rows=cells.rows * finest, per_date=cells.per_date * finest)
+    span = cells.span and (cells.span[0].replace(day=1, **({"month": 1} if unit == "YEAR" else {})), cells.span[1])
+    return replace(cells, frame=frame, rows=cells.rows * finest, per_date=cells.per_date * finest, span=span)
 
 
 def prior_year(star: Star, cells: Cells) -> Cells:
     frame = calendar.prior_year(cells.frame, cells.columns, star.calendar, star.data_end)
     # 28 February takes the 29th along
-    return replace(cells, frame=frame, rows=cells.rows + cells.rows // 28 + 31)
+    span = cells.span and (
+        calendar.months_before(cells.span[0], 12), calendar.month_end(calendar.months_before(cells.span[1], 12)))
+    return replace(cells, frame=frame, rows=cells.rows + cells.rows // 28 + 31, span=span)
 
 
 def last_days(star: Star, cells: Cells, days: int) -> Cells:
     frame = calendar.last_days(cells.frame, cells.columns, star.calendar, days)
-    return replace(cells, frame=frame, rows=cells.rows * days, per_date=cells.per_date * days)
+    span = cells.span and (cells.span[0] - timedelta(days=days - 1), cells.span[1])
+    return replace(cells, frame=frame, rows=cells.rows * days, per_date=cells.per_date * days, span=span)
+
+
+def joint_span(*cells: Cells):
+    spans = [c.span for c in cells]
+    return None if None in spans else (min(s[0] for s in spans), max(s[1] for s in spans))
 
 
 def apply(star: Star, cells: Cells, item: str) -> Cells:
@@ -55,4 +65,4 @@ def side_by_side(star: Star, cells: Cells, items: list[str]) -> Cells:
         m.frame.select("date", *cells.columns, F.lit(item).alias("c_show_as")) for m, item in zip(moved, items)]
     return Cells(
         reduce(lambda a, b: a.unionByName(b), frames), (*cells.names, "show_as"),
-        sum(m.rows for m in moved), sum(m.per_date for m in moved))
+        sum(m.rows for m in moved), sum(m.per_date for m in moved), joint_span(*moved))
