@@ -31,19 +31,21 @@ def show_as(star: Star, by: list[str], measures: list[str], items: list[str]) ->
     if not compare:
         return rows
     rows_by = [c for c in rows.columns if c not in measures and c != "show_as"]
-    pair = rows.groupBy(*rows_by).agg(*[
-        F.max(F.when(F.col("show_as") == item, F.col(m))).alias(f"{tag}_{m}")
-        for m in measures for item, tag in ((timecalc.ACTUAL, "now"), (timecalc.PY, "py"))])
-    results = [rows.filter(F.col("show_as").isin(*moved))] if moved else []
-    for item in compare:
-        results.append(
-            pair.select(*rows_by, F.lit(item).alias("show_as"), *[_compare(m, item).alias(m) for m in measures])
-            .filter(~all_blank(measures)))
-    return reduce(lambda a, b: a.unionByName(b), results)
-
-
-def _compare(measure: str, item: str) -> Column:
-    now, before = F.col(f"now_{measure}").cast("double"), F.col(f"py_{measure}").cast("double")
+    tags = {item: f"i{i}" for i, item in enumerate(base)}
+    wide = rows.groupBy(*rows_by).agg(*[
+        F.max(F.when(F.col("show_as") == item, F.col(m))).alias(f"{tag}_{m}") for m in measures for item, tag in tags.items()])
+
+    def line(item: str) -> Column:
+        values = [
+            _compare(f"{tags[timecalc.ACTUAL]}_{m}", f"{tags[timecalc.PY]}_{m}", item) if item in compare
+            else F.col(f"{tags[item]}_{m}").cast("double") for m in measures]
+        return F.struct(F.lit(item).alias("show_as"), *[v.alias(m) for v, m in zip(values, measures)])
+
+    return wide.select(*rows_by, F.inline(F.array(*[line(item) for item in items]))).filter(~all_blank(measures))
+
+
+def _compare(now_name: str, before_name: str, item: str) -> Column:
+    now, before = F.col(now_name).cast("double"), F.col(before_name).cast("double")
     if item == timecalc.YOY_DELTA:
         return now - before
     # a missing prior period leaves the quotient blank; a missing current one too
