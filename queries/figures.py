@@ -164,7 +164,7 @@ simple(28, "lost_units_runs", MID, ["family"], "sum(expected_lost_units)", "FR",
 simple(29, "median_run_days", MID, ["family", "region"], "median(run_days)", "FR", FLAGGED)
 simple(30, "stockout_rate_pct", MID, ["region"], "sum(flagged_days) / sum(item_days)", "week JOIN store USING (store_key)")
 EVENTS = """
-E AS (SELECT e.*, region, store_name, year, round(uplift, 4) AS u4, round(net_lift, 4) AS n4 FROM events_done e
+E AS (SELECT e.*, region, store_name, year, floor(uplift * 10000 + 0.5 + 1e-6) / 10000 AS u4, floor(net_lift * 10000 + 0.5 + 1e-6) / 10000 AS n4 FROM events_done e
       JOIN store USING (store_key) JOIN cal ON cal.date = e.start_date)"""
 simple(31, "promo_events", MID, ["family", "year"], "count(*)", "E", EVENTS)
 simple(32, "median_uplift_pct", MID, ["family", "region"], "median(u4)", "E", EVENTS)
@@ -364,7 +364,7 @@ report("q28_deep_dive_kpis", MID, reports.deep_dive_kpis,
        ["stockout_rate_pct", "lost_units_runs", "median_net_lift_pct", "families_paying_back"],
        """SELECT (SELECT sum(flagged_days) / sum(item_days) FROM week) AS stockout_rate_pct,
             (SELECT sum(expected_lost_units) FROM flagged WHERE is_flagged) AS lost_units_runs,
-            (SELECT median(round(net_lift, 4)) FROM events_done) AS median_net_lift_pct,
+            (SELECT median(floor(net_lift * 10000 + 0.5 + 1e-6) / 10000) FROM events_done) AS median_net_lift_pct,
             (SELECT nullif(count(*) FILTER (net_lo > 0), 0) FROM payback) AS families_paying_back""", PAYBACK)
 _slice = "year IN (1999, 2000) AND region IN ('ASIA', 'EUROPE') AND type IN ('A', 'C')"
 add("q29_slicer_filters", FINE,

@@ -492,13 +492,13 @@ def _events(s: Stage) -> DataFrame:
 
 
 add("x6_promo_events", MID, _events,
-    EVENT_KEYS + " promo_units:2 baseline_units:4 uplift:6 post_units:2 post_expected_units:4 post_dip:6 net_lift:6", EVENT_SQL)
+    EVENT_KEYS + " promo_units:2 baseline_units:4 uplift:8 post_units:2 post_expected_units:4 post_dip:8 net_lift:8", EVENT_SQL)
 add("x7_payday_holiday_flag", MID, _events, EVENT_KEYS + " touches_payday_or_holiday:b", EVENT_SQL)
 
 _ends = deepdive.poisson_steps()
 PAYBACK = f"""
 vals AS (
-  SELECT family, store_key, item_key, strftime(start_date, '%Y%m%d') AS k, metric, round(v * 10000)::BIGINT AS v FROM (
+  SELECT family, store_key, item_key, strftime(start_date, '%Y%m%d') AS k, metric, floor(v * 10000 + 0.5 + 1e-6)::BIGINT AS v FROM (
     SELECT family, store_key, item_key, start_date, 'uplift' AS metric, uplift AS v FROM events_done UNION ALL
     SELECT family, store_key, item_key, start_date, 'dip', post_dip FROM events_done UNION ALL
     SELECT family, store_key, item_key, start_date, 'net', net_lift FROM events_done) WHERE v IS NOT NULL),
