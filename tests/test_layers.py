@@ -167,3 +167,10 @@ def test_contract_read_pushes_filter_and_columns(spark, full):
     plan = tables.read_flagged_runs(spark, full.folder)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(is_flagged), EqualTo(is_flagged,true)]" in plan
     assert "p_value" not in plan.split("ReadSchema")[1]
+
+
+def test_configuration_defaults():
+    full, sample = BuildConfig(), sample_config()
+    assert (full.start_date, full.stockout_from, full.lookback_days) == (date(1900, 1, 1), date(2016, 1, 1), 28)
+    assert (full.min_expected_units, full.min_receipts_share, full.post_promo_days) == (3.0, 0.5, 7)
+    assert not full.sample and sample.sample and sample.start_date == date(2016, 1, 1)
