@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aisleframe.llm import sql
+from aisleframe.llm.ngram_join import near_duplicate_groups
 from aisleframe.llm.substring_dedup import remove_repeats
 
 
@@ -14,13 +15,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
+    "op5_ngram_jaccard": sql.NGRAM_JACCARD,
     "op10_substring_dedup": sql.SUBSTRING_DEDUP,
 }

@@ -16,3 +16,17 @@ cut AS (SELECT doc_id, len(ws) AS n_words,
   FROM w LEFT JOIN gone USING (doc_id))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_words - len(kept) AS BIGINT) AS n_removed,
   sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM cut"""
+
+NGRAM_JACCARD = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS_LOWER} AS ws FROM documents),
+grams AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+both_in AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_in JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, other) AS (SELECT a, b FROM ways UNION SELECT r.node, w.b FROM reach r JOIN ways w ON r.other = w.a),
+root AS (SELECT node, min(other) AS other FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(root.other, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root ON root.node = d.doc_id"""
