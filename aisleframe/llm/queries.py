@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aisleframe.llm import sql
 from aisleframe.llm.ngram_join import near_duplicate_groups
+from aisleframe.llm.quality import quality_verdicts
 from aisleframe.llm.substring_dedup import remove_repeats
 
 
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +29,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op10_substring_dedup": op10_substring_dedup,
 }
