@@ -164,10 +164,11 @@ def _with_groups(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
     return entries.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
 
+# Grouped sides of joins are written first: a join of two plain shuffles is one whose hot keys Spark can split.
 def _open(entries: DataFrame) -> DataFrame:
     """Entries of the grams that still join classes of different groups."""
     apart = entries.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("gram")
-    return entries.join(apart, "gram")
+    return entries.join(stash(apart), "gram")
 
 
 def _grouped(entries: DataFrame, pieces: DataFrame, percent: int, rounds: int) -> DataFrame | None:
@@ -178,6 +179,7 @@ def _grouped(entries: DataFrame, pieces: DataFrame, percent: int, rounds: int) -
         if not entries.limit(1).count():
             return groups
         pivots = entries.groupBy("gram").agg(F.min(F.struct(F.xxhash64("cls", F.lit(r)).alias("o"), "cls", "n", "root")).alias("p"))
+        pivots = stash(pivots)
         pairs = entries.join(pivots, "gram").filter("root != p.root").select(
             F.col("cls").alias("a"), F.col("p.cls").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
         pairs = _ordered(pairs, percent)
@@ -223,7 +225,7 @@ def near_duplicate_groups(
         moved = moved.dropDuplicates(["row_key"]).select(F.col("row_key").alias("cls"), F.col("prefix").alias("new"))
         prefixes = classes.join(moved, "cls", "left").select("cls", "n", F.explode(F.coalesce("new", "prefix")).alias("gram"))
     prefixes = stash(prefixes)
-    shared = prefixes.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram")
+    shared = stash(prefixes.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"))
     entries = cut(prefixes.join(shared, "gram"))
     needed = entries.select(F.col("cls").alias("row_key")).distinct()
     pieces = stash(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aisleframe.llm import sql
+from aisleframe.llm.lm_score import score_texts
 from aisleframe.llm.ngram_join import near_duplicate_groups
 from aisleframe.llm.quality import quality_verdicts
 from aisleframe.llm.substring_dedup import remove_repeats
@@ -24,6 +25,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
@@ -31,6 +36,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op8_lm_score": op8_lm_score,
     "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
