@@ -197,7 +197,7 @@ def _main(nodes: list[Node]) -> Node:
         up = up.parent
     body = max((n for n in nodes if n.density >= threshold), key=lambda n: n.total, default=whole)
     # a paragraph's inline tags are dense too: the body is the smallest sectioning element around the best node
-    while body.parent is not None and (body.name not in BLOCKS or body.name in ("p", "li", "ul", "ol", "blockquote", "pre", "tr", "td", "table", "tbody")):
+    while body.parent is not None and (body.name not in BLOCKS or body.name in ("p", "li", "ul", "ol", "blockquote", "pre", "tr", "table", "tbody")):
         body = body.parent
     around = body
     while around is not None and around.name not in ("article", "main"):

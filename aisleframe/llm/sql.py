@@ -30,3 +30,37 @@ reach(node, other) AS (SELECT a, b FROM ways UNION SELECT r.node, w.b FROM reach
 root AS (SELECT node, min(other) AS other FROM reach GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(root.other, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root ON root.node = d.doc_id"""
+
+URL_FILTER = r"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+hp AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rules(rh, rp, says) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (SELECT page_id, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(says, len(rh || rp)) AS says
+  FROM hp JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+urls AS (SELECT hp.*, rule, says FROM hp LEFT JOIN fits USING (page_id)),
+paths AS (SELECT host, path, count(*) AS n, count(*) FILTER (says = 'allow') AS a, count(*) FILTER (says = 'block') AS b,
+  list_transform(string_split(path, '/')[2:6], lambda s: regexp_replace(s, '[0-9]+', '<n>', 'g'))
+    || CASE WHEN len(string_split(path, '/')) > 6 THEN ['**'] ELSE CAST([] AS VARCHAR[]) END AS ts FROM urls GROUP BY host, path),
+seg AS (SELECT host, path, n, d, ts[d + 1] AS token, array_to_string(ts[1:d], '/') AS above
+  FROM (SELECT *, unnest(range(len(ts))) AS d FROM paths)),
+child AS (SELECT host, d, above, token, sum(n) AS n FROM seg GROUP BY ALL),
+variable AS (SELECT host, d, above, sum(n) AS m FROM child GROUP BY ALL HAVING count(*) >= 8 AND sum(n) < 4 * count(*)),
+rare AS (SELECT host, d, above, token FROM child JOIN variable USING (host, d, above) WHERE n * 20 < m),
+gen AS (SELECT s.host, s.path, list(CASE WHEN r.token IS NULL THEN s.token ELSE '*' END ORDER BY s.d) AS g
+  FROM seg s LEFT JOIN rare r ON r.host = s.host AND r.d = s.d AND r.above = s.above AND r.token = s.token GROUP BY ALL),
+leaf AS (SELECT host, path, a, b, coalesce(array_to_string(g[1:len(g) - 1], '/'), '') AS parent, coalesce(g[len(g)], '') AS last
+  FROM paths LEFT JOIN gen USING (host, path)),
+sib AS (SELECT host, parent, last, sum(a) AS a, sum(b) AS b FROM leaf GROUP BY ALL),
+pool AS (SELECT host, parent, (CAST(sum(b) AS DOUBLE) + 0.5) / CAST(sum(a) + sum(b) + 1 AS DOUBLE) AS s FROM sib GROUP BY ALL),
+dev AS (SELECT *, CAST(a + b AS DOUBLE) AS n, CAST(b AS DOUBLE) / CAST(greatest(a + b, 1) AS DOUBLE) - s AS o FROM sib JOIN pool USING (host, parent)),
+merged AS (SELECT host, parent, last, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b,
+  parent || '/' || CASE WHEN n = 0 OR o * o * n <= s * (1 - s) * CAST(3.84 AS DOUBLE) THEN '*' ELSE last END AS template FROM dev),
+every AS (SELECT coalesce(sum(b) / nullif(sum(a) + sum(b), 0), 0) AS p FROM merged),
+bt AS (SELECT template, (sum(b) + p * 5) / (sum(a) + sum(b) + 5) AS pt FROM merged, every GROUP BY template, p),
+bh AS (SELECT host, sum(a) AS ha, sum(b) AS hb FROM merged GROUP BY host),
+pur AS (SELECT host, template, (b + (hb + pt * 5) / (ha + hb + 5) * 5) / (a + b + 5) AS purity
+  FROM (SELECT host, template, sum(a) AS a, sum(b) AS b FROM merged GROUP BY ALL) JOIN bt USING (template) JOIN bh USING (host))
+SELECT u.page_id, u.host, u.path, u.rule, coalesce(u.says, CASE WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template, purity
+FROM urls u JOIN leaf USING (host, path) JOIN merged m USING (host, parent, last) JOIN pur USING (host, template)"""
