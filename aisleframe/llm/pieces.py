@@ -27,6 +27,16 @@ class Pieces:
         self.longest = max(map(len, self.words), default=1)
         self.endings = frozenset(p[i:] for p in self.words for i in range(len(p)))
 
+    def backwards(self) -> dict:
+        """The pieces as a trie from their last character to the first; at "" of a node its (id, log-probability, (id,))."""
+        root: dict = {}
+        for piece, (i, lp) in self.words.items():
+            node = root
+            for char in reversed(piece):
+                node = node.setdefault(char, {})
+            node[""] = (i, lp, (i,))
+        return root
+
     def with_scores(self, words: dict[int, float], bytes_: float) -> Pieces:
         """The same pieces with other log-probabilities: by id, and one for all bytes."""
         return Pieces({p: (i, words[i]) for p, (i, _) in self.words.items()}, [(i, bytes_) for i, _ in self.bytes_])

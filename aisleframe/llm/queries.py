@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aisleframe.llm import sql
+from aisleframe.llm.decontamination import leaks
+from aisleframe.llm.encoding import encode
 from aisleframe.llm.extraction import extract_pages
 from aisleframe.llm.lm_score import score_texts
 from aisleframe.llm.ngram_join import near_duplicate_groups
@@ -40,6 +42,14 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
@@ -54,11 +64,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_decontamination": op7_decontamination,
     "op8_lm_score": op8_lm_score,
     "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
     "op2_url_filter": sql.URL_FILTER,
     "op5_ngram_jaccard": sql.NGRAM_JACCARD,
+    "op7_decontamination": sql.DECONTAMINATION,
     "op10_substring_dedup": sql.SUBSTRING_DEDUP,
 }

@@ -64,3 +64,17 @@ pur AS (SELECT host, template, (b + (hb + pt * 5) / (ha + hb + 5) * 5) / (a + b
   FROM (SELECT host, template, sum(a) AS a, sum(b) AS b FROM merged GROUP BY ALL) JOIN bt USING (template) JOIN bh USING (host))
 SELECT u.page_id, u.host, u.path, u.rule, coalesce(u.says, CASE WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template, purity
 FROM urls u JOIN leaf USING (host, path) JOIN merged m USING (host, parent, last) JOIN pur USING (host, template)"""
+
+DECONTAMINATION = r"""
+WITH dl AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS ws FROM documents),
+il AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS ws FROM benchmark),
+iw AS (SELECT item_id, len(ws) AS n, least(len(ws), 13) AS width, unnest(ws) AS w, unnest(range(len(ws))) AS j FROM il WHERE len(ws) >= 5),
+dw AS (SELECT doc_id, len(ws) AS m, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM dl),
+diag AS (SELECT doc_id, item_id, i - j AS d, any_value(n) AS n, any_value(m) AS m, any_value(width) AS width, list(j) AS js
+  FROM dw JOIN iw USING (w) GROUP BY doc_id, item_id, i - j
+  HAVING count(*) >= CASE WHEN any_value(n) < 13 THEN any_value(n) ELSE 11 END),
+win AS (SELECT *, unnest(range(greatest(0, -d), least(n, m - d) - width + 1)) AS s FROM diag),
+ok AS (SELECT * FROM win WHERE len(list_filter(js, lambda x: x >= s AND x < s + width)) >= width - CASE WHEN n < 13 THEN 0 ELSE 2 END),
+cov AS (SELECT doc_id, item_id, d, any_value(n) AS n, count(DISTINCT p) AS c FROM (
+  SELECT *, unnest(range(s, s + width)) AS p FROM ok) GROUP BY doc_id, item_id, d)
+SELECT doc_id, item_id, max(n) AS item_words, max(c) AS overlap_words FROM cov GROUP BY doc_id, item_id"""
