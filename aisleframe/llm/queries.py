@@ -10,6 +10,7 @@ from aisleframe.llm import sql
 from aisleframe.llm.decontamination import leaks
 from aisleframe.llm.encoding import encode
 from aisleframe.llm.extraction import extract_pages
+from aisleframe.llm.license_scan import license_findings
 from aisleframe.llm.lm_score import score_texts
 from aisleframe.llm.ngram_join import near_duplicate_groups
 from aisleframe.llm.quality import quality_verdicts
@@ -54,6 +55,10 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_findings(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_decontamination": op7_decontamination,
     "op8_lm_score": op8_lm_score,
+    "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
