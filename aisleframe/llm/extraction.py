@@ -49,6 +49,8 @@ HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+# The title's own division, as in class="entry-header", is no page header.
+_TITLE = re.compile(r"\b(?:article|entry|post|story|content|title|section)[_-]+header|\bheader[_-]+title", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r\v]+")
 
 
@@ -69,7 +71,7 @@ def _unwanted(name: str, attributes: str) -> bool:
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and NAMES.search(value) or key == "role" and value.lower() in ROLES:
+        if key in ("class", "id") and NAMES.search(_TITLE.sub(" ", value)) or key == "role" and value.lower() in ROLES:
             return True
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True

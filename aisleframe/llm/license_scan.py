@@ -67,12 +67,14 @@ def _words(text: str) -> list[str]:
     return [w for w in (x.strip(".,;:()\"'“”*#/").lower() for x in _WORD.findall(text)) if w]
 
 
-def naming(word: str) -> bool:
-    """Words that tell licenses apart: numbers, and the words that only some notices hold."""
-    return any(c.isdigit() for c in word) or word in _NAMING
+# Words that tell licenses apart, beside all words with a digit.
+_NAMING = frozenset(
+    "apache mit gnu general lesser affero mozilla bsd isc creative commons attribution attribution-sharealike attribution-noncommercial "
+    "attribution-noderivatives attribution-noncommercial-sharealike cc by by-sa by-nc by-nc-sa by-nd by-nc-nd unencumbered waived".split())
 
 
-_NAMING = frozenset(w for _, n in NOTICES for w in _words(n) if sum(w in _words(m) for _, m in NOTICES) <= 4)
+def naming(word: str) -> bool:
+    return word in _NAMING or any(c.isdigit() for c in word)
 
 
 def blocks(text: bytes) -> list[tuple[int, bytes]]:
@@ -114,8 +116,8 @@ class Scanner:
     def __init__(self, notices=NOTICES):
         self.notices = notices
         self.alone = zstandard.ZstdCompressor(level=LEVEL)
-        self.given = [
-            zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(n.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        self.given = [  # notices and blocks are compressed in lower case, with single spaces
+            zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(n.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
             for _, n in notices]
         self.seen: dict[bytes, tuple | None] = {}
 
@@ -128,9 +130,10 @@ class Scanner:
         return self.seen[block]
 
     def _scan(self, block: bytes) -> tuple[str, float, int, str] | None:
-        size = len(self.alone.compress(block))
-        saved = [(1 - len(c.compress(block)) / size, -k) for k, c in enumerate(self.given)]
         text = block.decode(errors="replace")
+        plain = " ".join(text.lower().split()).encode()
+        size = len(self.alone.compress(plain))
+        saved = [(1 - len(c.compress(plain)) / size, -k) for k, c in enumerate(self.given)]
         best = None
         for share, k in sorted(saved, reverse=True)[:RANKED]:
             if share < LEAST_SHARE:

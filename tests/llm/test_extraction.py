@@ -26,6 +26,7 @@ PAGES = {
     "no names": f"<body><div><div><a href=1>Home</a> | <a href=2>About</a></div><div><h1>Title</h1>{BODY}</div><div>&copy; 2020</div></div></body>",
     "unclosed": f"<nav><ul><li><a>Menu</a></ul></nav><article><h1>Title<p>{PARAGRAPHS[0]}<p><b>{PARAGRAPHS[1]}<br><p>{PARAGRAPHS[2]}</article><footer>f</footer>",
     "scripts": f"<script>if(a<b){{x('</p>')}}</script><style>p{{}}</style><article><!-- <p>no</p> --><h1>Title</h1>{BODY}<script>1<2</script></article>",
+    "title division": f"<div class=page-header><p>Site of many words</p></div><div class=post><div class='entry-header'><h1>Title</h1></div>{BODY}</div>",
     "comments in the article": f"<article><h1>Title</h1>{BODY}<div class='comment-list'>{COMMENT}</div></article>",
     "advert with unclosed tags": f"<div class=ad><p><b>Buy<p>now</div><article><h1>Title</h1>{BODY}</article>",
 }
