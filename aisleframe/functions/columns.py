@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 def date_key(day: Column | str) -> Column:
     """2016-02-10 -> 20160210."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return (F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+
+
+def listed(df: DataFrame, column: str, most: int = 20) -> str:
+    """The distinct values of a column for a message: the first ones by name, and how many more there are."""
+    values = df.select(F.col(column).cast("string").alias("v")).distinct()
+    shown = [str(r[0]) for r in values.orderBy("v").limit(most).collect()]
+    more = values.count() - len(shown) if len(shown) == most else 0
+    return ", ".join(shown) + (f" and {more} more" if more > 0 else "")
 
 
 def key_date(key: Column | str) -> Column:

@@ -19,7 +19,6 @@ SCALE = 10_000  # values are compared at four decimals, as the report tables sto
 
 
 BUCKET_WIDTH = 4_096
-MAX_BROADCAST_GROUPS = 500_000
 
 
 # far above the noise of a double sum, far below a ten-thousandth: a half rounds up however its sum was ordered
@@ -34,8 +33,7 @@ def fixed4(value: Column) -> Column:
 MEDIAN_RANKS = {"lo": "(n + 1) div 2", "hi": "n div 2 + 1"}
 
 
-def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str, str], weight: str | None = None,
-                     groups: int | None = None) -> DataFrame:
+def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str, str], weight: str | None = None) -> DataFrame:
     """The values at wanted ranks of every group.
 
     ``value`` is a bigint column; ``ranks`` names SQL expressions of the group's size ``n``, counted from 1 over
@@ -43,7 +41,6 @@ def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str,
 
     Two passes over ``df``: the first ships one count per group and bucket, the second only the values of the
     buckets that hold a wanted rank, already counted per value. Neither a hot group nor a hot value meets in one task.
-    ``groups`` is the counted number of groups, where known: few of them are broadcast to the second pass.
     """
     freq = F.sum(weight) if weight else F.count(F.lit(1))
     # filtered before, so the default is never used; it marks the column as never NULL for the join
@@ -63,8 +60,6 @@ def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str,
         buckets.select(*by, "_bucket", start.alias("_start"), inside.alias("_ranks"))
         .filter(F.size("_ranks") > 0)
     )
-    if groups is not None and groups <= MAX_BROADCAST_GROUPS:
-        wanted = F.broadcast(wanted)
     near = (
         join_null_safe(bucketed, wanted.select(*by, "_bucket"), [*by, "_bucket"], "left_semi")
         .groupBy(*by, "_bucket", F.col(value).alias("_value")).agg(freq.alias("_n"))
@@ -78,10 +73,9 @@ def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str,
     )
 
 
-def exact_median(df: DataFrame, by: list[str], value: str, alias: str, weight: str | None = None,
-                 groups: int | None = None) -> DataFrame:
+def exact_median(df: DataFrame, by: list[str], value: str, alias: str, weight: str | None = None) -> DataFrame:
     """Interpolated median of a bigint (ten-thousandths) column per group, as a double."""
-    found = order_statistics(df, by, value, MEDIAN_RANKS, weight, 1 if not by else groups)
+    found = order_statistics(df, by, value, MEDIAN_RANKS, weight)
     return found.groupBy(*by).agg((F.avg("value") / SCALE).alias(alias))
 
 

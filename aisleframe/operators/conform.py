@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aisleframe.functions.columns import date_key
+from aisleframe.functions.columns import date_key, listed
 
 
 def dim_item(staged: DataFrame, prices: DataFrame) -> DataFrame:
@@ -89,8 +89,8 @@ def city_match(cities: DataFrame, candidates: DataFrame, country: str = "EC",
             F.struct("latitude", "longitude", "admin1"),
             F.struct(F.coalesce("population", F.lit(0)).alias("p"), (-F.col("rank")).alias("r"))).alias("place"))
     )
-    unknown = [r[0] for r in wanted.join(best, "name", "left_anti").select("city").limit(20).collect()]
+    unknown = listed(wanted.join(best, "name", "left_anti"), "city")
     if unknown:
-        raise UnknownCityError(f"No match in {country} for: {', '.join(sorted(unknown))}")
+        raise UnknownCityError(f"No match in {country} for: {unknown}")
     return wanted.join(best, "name").select(
         "city", "place.latitude", "place.longitude", F.coalesce("place.admin1", F.lit("")).alias("admin1"))

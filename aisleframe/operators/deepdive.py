@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from aisleframe.config import BuildConfig
 from aisleframe.functions.columns import date_key, day_number, is_true, join_null_safe
-from aisleframe.functions.ranks import MAX_BROADCAST_GROUPS, exact_median, fixed4, step_up_cut
+from aisleframe.functions.ranks import exact_median, fixed4, step_up_cut
 
 PAIR = ["store_nbr", "item_nbr"]
 
@@ -200,10 +200,13 @@ METRICS = ("uplift", "dip", "net")
 
 
 def poisson_steps() -> list[int]:
-    """Ends of the Poisson(1) distribution on the generator's scale: a number above the n-th end draws more than n."""
+    """Ends of the Poisson(1) distribution on the generator's scale: a number above the n-th end draws more than n.
+
+    They go on until no number is left above: the tail beyond is smaller than one step of the generator.
+    """
     ends, total = [], 0.0
-    for count in range(8):
-        total += math.exp(-1) / math.factorial(count)
+    while not ends or ends[-1] < MODULUS - 1:
+        total += math.exp(-1) / math.factorial(len(ends))
         ends.append(round(total * MODULUS))
     return ends
 
@@ -252,19 +255,15 @@ def promo_family_summary(events: DataFrame, cfg: BuildConfig) -> DataFrame:
     # families are numbered, so the many replicate rows carry a small number instead of a name
     families = events.select("family").distinct().withColumn(
         "family_no", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("family")))
-    count = families.count()
-    series = count * len(METRICS)
-    numbers = F.broadcast(families) if series <= MAX_BROADCAST_GROUPS else families
-    values = join_null_safe(events, numbers, ["family"]).select(
+    values = join_null_safe(events, families, ["family"]).select(
         F.coalesce("family_no", F.lit(0)).alias("family_no"), "store_key", "item_key", "start_date_key",
         fixed4(F.col("uplift")).alias("uplift"), fixed4(F.col("post_dip")).alias("dip"),
         fixed4(F.col("net_lift")).alias("net"))
     known = _per_metric(values.select("family_no", *METRICS))
-    centre = exact_median(known, ["series"], "v", "median", groups=series)
+    centre = exact_median(known, ["series"], "v", "median")
     sizes = known.groupBy("series").agg(F.count(F.lit(1)).alias("n"))
     drawn = replicate_weights(_per_metric(values), cfg.bootstrap_replicates)
-    medians = exact_median(drawn, ["series", "replicate"], "v", "m", weight="weight",
-                           groups=series * cfg.bootstrap_replicates)
+    medians = exact_median(drawn, ["series", "replicate"], "v", "m", weight="weight")
     # at most one row per replicate in each group
     ends = medians.groupBy("series").agg(
         F.percentile("m", F.lit(0.025)).alias("lo"), F.percentile("m", F.lit(0.975)).alias("hi"))

@@ -124,15 +124,14 @@ def _join_items(rows: DataFrame, star: Star, columns: tuple[str, ...]) -> DataFr
 
 
 def _fact_rows(star: Star, fact: str, group: Grouping, cells: Cells | None, columns: set[str],
-               key: str = "date_key", item: bool = True, cell_extra: tuple[str, ...] = (),
-               copies: dict[str, str] | None = None) -> DataFrame:
+               key: str = "date_key", item: bool = True, copies: dict[str, str] | None = None) -> DataFrame:
     """Fact rows with cell, store and item columns. ``copies`` keeps fact keys under another name, because
     a group column ``store_key`` is blank for unknown stores."""
     table = star.fact(fact)
     own = [c for c in table.columns if c in columns and c not in ITEM_VALUES]
     keys = dict.fromkeys([key, "store_key", *(["item_key"] if item else []), *own])
     rows = table.select(*keys, *[C(source).alias(name) for name, source in (copies or {}).items()])
-    rows = _join_cells(rows, cells, key, *cell_extra)
+    rows = _join_cells(rows, cells, key)
     rows = _join_stores(rows, star, tuple(dict.fromkeys([*group.store, *sorted(columns & {"opening_date"})])))
     if item:
         rows = _join_items(rows, star, tuple([*group.item, *sorted(columns & ITEM_VALUES)]))
@@ -202,14 +201,16 @@ def lfl_cells(star: Star, cells: Cells) -> Cells:
 def _lfl(star: Star, group: Grouping, cells: Cells | None, fact: str, amount: Column, needs: set[str],
          prefix: str, item: bool) -> DataFrame:
     moved = lfl_cells(star, cells if cells is not None else star.all_cells())
-    rows = _fact_rows(
-        star, fact, group, moved, needs | {"opening_date"}, item=item, cell_extra=("shift", "opened_by"))
+    # added up per day and opening date first: a date lies in many cells, and both in a year and in the next one's past
+    rows = _fact_rows(star, fact, group, None, needs | {"opening_date"}, item=item)
+    dims = [*group.store, *(group.item if item else ())]
+    daily = moved.narrowed(rows, "date_key").groupBy("date_key", "opening_date", *dims).agg(F.sum(amount).alias("_amount"))
     # an unknown opening date counts as open all along
-    kept = rows.filter(C("opening_date").isNull() | (C("opening_date") <= C("opened_by")))
-    dims = [*moved.columns, *group.store, *(group.item if item else ())]
-    return kept.groupBy(*dims).agg(
-        F.sum(F.when(C("shift") == 0, amount)).alias(prefix),
-        F.sum(F.when(C("shift") == 1, amount)).alias(f"{prefix}_py"))
+    kept = _join_cells(daily, moved, "date_key", "shift", "opened_by").filter(
+        C("opening_date").isNull() | (C("opening_date") <= C("opened_by")))
+    return kept.groupBy(*moved.columns, *dims).agg(
+        F.sum(F.when(C("shift") == 0, C("_amount"))).alias(prefix),
+        F.sum(F.when(C("shift") == 1, C("_amount"))).alias(f"{prefix}_py"))
 
 
 def lfl_sales_block(star, group, cells, parts):
@@ -231,13 +232,15 @@ def target_block(star, group, cells, parts):
     dims = [*cell_cols, *group.store]
     plain = Grouping(group.date, group.store, ())
 
-    def keyed(fact, columns, item):
-        return _fact_rows(star, fact, group if item else plain, cells, columns, item=item, copies={"s_key": "store_key"})
+    def daily(fact, of, columns, item, amount, name):
+        """Sums per store and day; only these meet the date cells, of which a day may be in many."""
+        rows = _fact_rows(star, fact, of, None, columns, item=item, copies={"s_key": "store_key"})
+        rows = cells.narrowed(rows, "date_key") if cells is not None else rows
+        days = rows.groupBy("date_key", "s_key", *of.store, *of.item).agg(F.sum(amount).alias(name))
+        return _join_cells(days, cells, "date_key").select(*dims, *of.item, "s_key", month, name)
 
-    planned = keyed("fact_store_day", {"target_value"}, False).select(
-        *dims, "s_key", month, C("target_value").cast("double").alias("target_value"))
-    sold = keyed("fact_sales", {"units", "unit_price"}, True).select(
-        *dims, *group.item, "s_key", month, _value().alias("value"))
+    planned = daily("fact_store_day", plain, {"target_value"}, False, C("target_value").cast("double"), "target_value")
+    sold = daily("fact_sales", group, {"units", "unit_price"}, True, _value(), "value")
     key = [*dims, "s_key", "month"]
     if not group.item:
         covered = (

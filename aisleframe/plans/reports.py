@@ -12,6 +12,7 @@ from aisleframe.functions.columns import all_blank
 from aisleframe.plans import timecalc
 from aisleframe.plans.measures import evaluate, evaluate_with_total
 from aisleframe.plans.star import Star
+from aisleframe.session import written
 
 NETWORK = ["sales_value", "sales_vs_target_pct", "lfl_growth_pct", "lfl_footfall_growth_pct", "lfl_basket_growth_pct"]
 MONTHS = ["year", "month_num"]
@@ -55,8 +56,10 @@ def _compare(now_name: str, before_name: str, item: str) -> Column:
 def top_rows(df: DataFrame, measure: str, n: int) -> DataFrame:
     """The n largest by a measure; rows tied with the last one stay, as the report language keeps them.
 
-    The n-th value comes from a per-task top-n and a merge, so the ranking never gathers all rows in one task.
+    The n-th value comes from a per-task top-n and a merge, so the ranking never gathers all rows in one task. The rows
+    are written first: computed twice, sums of doubles could differ in the last bit and lose the n-th row.
     """
+    df = written(df)
     nth = df.select(measure).filter(F.col(measure).isNotNull()).orderBy(F.desc(measure)).limit(n).agg(
         F.min(measure).alias("floor")).scalar()
     return df.filter(F.col(measure) >= nth)

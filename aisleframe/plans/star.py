@@ -18,8 +18,6 @@ DATE_COLS = (
 STORE_COLS = ("store_key", "store_nbr", "store_name", "city", "state", "region", "store_type", "cluster")
 ITEM_COLS = ("item_key", "item_nbr", "family", "class", "is_perishable")
 
-MAX_BROADCAST_CELLS = 2_000_000
-
 
 class AccessDenied(PermissionError):
     """The role may not see a column that a measure needs."""
@@ -45,9 +43,8 @@ class Cells:
         return [f"c_{n}" for n in self.names]
 
     def keyed(self, *extra: str) -> DataFrame:
-        """The frame for a join on date_key, broadcast only while the calendar bounds it to a small size."""
-        keyed = self.frame.select(*self.columns, date_key("date").alias("date_key"), *extra)
-        return F.broadcast(keyed) if self.rows <= MAX_BROADCAST_CELLS else keyed
+        """The frame for a join on date_key; Spark decides by its size how to join."""
+        return self.frame.select(*self.columns, date_key("date").alias("date_key"), *extra)
 
     def narrowed(self, rows: DataFrame, key: str) -> DataFrame:
         """Fact rows inside the span, as a constant range that the scan can use to skip row groups."""
@@ -87,7 +84,9 @@ class Star:
         return replace(self, sources={**self.sources, **sources})
 
     def table(self, name: str) -> DataFrame:
-        return self.sources[name]()
+        """A table as the role sees it: a denied one has its columns and no rows."""
+        opened = self.sources[name]()
+        return opened.filter(F.lit(False)) if name in self.denied_tables else opened
 
     # --- selection (slicers: conditions on one dimension each, all must hold) ---
 
@@ -120,8 +119,6 @@ class Star:
         return items if self.item_filter is None else items.filter(self.item_filter)
 
     def fact(self, name: str) -> DataFrame:
-        if name in self.denied_tables:
-            return self.table(name).filter(F.lit(False))
         return self.table(name)
 
     @property

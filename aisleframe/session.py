@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,11 +39,25 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Where written tables go: the cluster's checkpoint folder, or an own temporary folder where none is set."""
-    app = spark.sparkContext.applicationId
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """Where written tables go: the folder in spark.checkpoint.dir or given to setCheckpointDir, which all executors share.
+
+    Without one, only a session on a single machine gets an own temporary folder; elsewhere that is an error.
+    """
+    context = spark.sparkContext
+    app = context.applicationId
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/aisleframe/{app}"
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="aisleframe-")
     return _own_folder[app]
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written once to the work folder and read again, for values that must not be computed twice."""
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/written/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -495,7 +497,10 @@ add("x6_promo_events", MID, _events,
     EVENT_KEYS + " promo_units:2 baseline_units:4 uplift:8 post_units:2 post_expected_units:4 post_dip:8 net_lift:8", EVENT_SQL)
 add("x7_payday_holiday_flag", MID, _events, EVENT_KEYS + " touches_payday_or_holiday:b", EVENT_SQL)
 
-_ends = deepdive.poisson_steps()
+# the published constants of the minimal standard generator, and Poisson(1) until 31 bits are used up
+_MODULUS, _FACTOR = 2147483647, 48271
+_ends = [round(_MODULUS * sum(1 / math.factorial(i) for i in range(k + 1)) / math.e) for k in range(13)]
+_steps = list(itertools.accumulate([_FACTOR] * 200, lambda x, f: x * f % _MODULUS))
 PAYBACK = f"""
 vals AS (
   SELECT family, store_key, item_key, strftime(start_date, '%Y%m%d') AS k, metric, floor(v * 10000 + 0.5 + 1e-6)::BIGINT AS v FROM (
@@ -504,10 +509,10 @@ vals AS (
     SELECT family, store_key, item_key, start_date, 'net', net_lift FROM events_done) WHERE v IS NOT NULL),
 seeds AS (
   SELECT store_key, item_key, k,
-    ('0x' || md5(store_key || ':' || item_key || ':' || k)[:8])::BIGINT % {deepdive.MODULUS - 1} + 1 AS seed
+    ('0x' || md5(store_key || ':' || item_key || ':' || k)[:8])::BIGINT % {_MODULUS - 1} + 1 AS seed
   FROM (SELECT DISTINCT store_key, item_key, k FROM vals)),
-steps AS (SELECT unnest({deepdive.generator_steps(200)}) AS factor, unnest(range(200)) AS replicate),
-drawn AS (SELECT store_key, item_key, k, replicate, seed * factor % {deepdive.MODULUS} AS word FROM seeds, steps),
+steps AS (SELECT unnest({_steps}) AS factor, unnest(range(200)) AS replicate),
+drawn AS (SELECT store_key, item_key, k, replicate, seed * factor % {_MODULUS} AS word FROM seeds, steps),
 weighted AS (
   SELECT family, metric, replicate, v, sum({' + '.join(f'(word > {e})::INT' for e in _ends)}) AS w
   FROM vals JOIN drawn USING (store_key, item_key, k) GROUP BY ALL),

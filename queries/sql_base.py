@@ -62,7 +62,7 @@ cal AS (
     month(date) AS month_num, strftime(date, '%b') AS month_name, (strftime(date, '%Y%m'))::INT AS month_key,
     weekofyear(date) AS iso_week, isoyear(date) AS iso_year, isodow(date) AS weekday_num, strftime(date, '%a') AS weekday_name,
     isodow(date) > 5 AS is_weekend, date IN (FROM hol) AS is_national_holiday, strftime(date, '%b %Y') AS year_month
-  FROM (SELECT lo + i::INT AS date FROM ends, range(20000) r(i) WHERE lo + i::INT <= hi)),
+  FROM (SELECT lo + unnest(range(hi - lo + 1))::INT AS date FROM ends)),
 store AS (
   SELECT st.store_nbr AS store_key, st.*, r_name AS region, 'Store ' || st.store_nbr || ' (' || city || ')' AS store_name,
     CASE WHEN first_day > (SELECT min(date) FROM tx) + 7 THEN first_day END AS opening_date

@@ -127,7 +127,7 @@ def test_orphan_and_duplicate_are_counted(full):
     t["fact_sales"] = t["fact_sales"].unionByName(row).unionByName(row.withColumn("store_key", F.lit(999)))
     found = {r.check: r.violations for r in checks.all_results(checks.gold_checks(t)).filter("violations > 0").collect()}
     assert found["fact_sales_orphan_store"] == 1 and found["fact_sales_unique_grain"] == 1
-    with pytest.raises(checks.DataCheckError, match="fact_sales_orphan_store=1"):
+    with pytest.raises(checks.GateClosed, match="fact_sales_orphan_store: 1 violation"):
         checks.gate(checks.gold_checks(t))
 
 
@@ -141,7 +141,7 @@ def test_null_keys_are_violations(spark):
 def test_failed_check_blocks_export(spark, tmp_path):
     folder = write_raw(tmp_path / "raw", STORES.assign(type=["A", "B", "Z", "D", "C"]))
     dest = tmp_path / "gold"
-    with pytest.raises(checks.DataCheckError, match="store_type_values=1"):
+    with pytest.raises(checks.GateClosed, match="store_type_values: 1 violation"):
         build(spark, RawFiles(spark, folder, str(tmp_path / "bronze")), str(tmp_path / "work"), str(dest), BuildConfig())
     assert not dest.exists()
 

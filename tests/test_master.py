@@ -55,6 +55,15 @@ def test_targets_need_a_full_prior_month(spark):
     assert [tuple(r) for r in rows] == [(1, date(2016, 2, 1), Decimal("103.52"))]
 
 
+def region_of_state(spark):
+    return spark.createDataFrame([("Pichincha", 1), ("Guayas", 2), ("Azuay", 2)], "state string, region_id int")
+
+
+def margin_of_family(spark):
+    rows = [("LAMPS", Decimal("0.15")), ("CHAIRS", Decimal("0.40"))]
+    return spark.createDataFrame(rows, "family string, margin decimal(4,2)")
+
+
 def test_targets_of_the_hand_fixture(full, spark):
     prices = spark.createDataFrame([(101, 2.0), (102, 3.0)], "item_nbr int, unit_price double")
     months = targets.store_month_value(full.table("fact_sales"), full.table("dim_date"), prices)
@@ -66,7 +75,7 @@ def test_targets_of_the_hand_fixture(full, spark):
 
 def test_access_of_the_hand_fixture(full, spark):
     stores, days = full.table("stg_store"), full.table("stg_store_day")
-    regions = targets.state_region(stores, targets.region_of_state(spark))
+    regions = targets.state_region(stores, region_of_state(spark))
     busiest = targets.busiest_store(stores, days, "Quito", 20160101)
     rows = {tuple(r) for r in targets.user_access(stores, regions, busiest, "x").collect()}
     assert rows == {("store.manager@x", 1), ("regional.manager@x", 1), ("regional.manager@x", 2)}
@@ -74,17 +83,19 @@ def test_access_of_the_hand_fixture(full, spark):
 
 def test_unmapped_state_and_family_are_errors(spark):
     with pytest.raises(targets.UnmappedError, match="Atlantis"):
-        targets.state_region(spark.createDataFrame([("Atlantis",)], "state string"), targets.region_of_state(spark))
+        targets.state_region(spark.createDataFrame([("Atlantis",)], "state string"), region_of_state(spark))
     prices = spark.createDataFrame([(1, "TOYS", Decimal("2.00"))], "item_nbr int, family string, unit_price decimal(10,2)")
     with pytest.raises(targets.UnmappedError, match="TOYS"):
-        targets.item_price(prices, targets.margin_of_family(spark))
+        targets.item_price(prices, margin_of_family(spark))
+    many = spark.createDataFrame([(f"state {i:02}",) for i in range(23)], "state string")
+    with pytest.raises(targets.UnmappedError, match="state 19 and 3 more"):
+        targets.state_region(many, region_of_state(spark))
 
 
-def test_fixed_tables(spark):
-    assert targets.region_of_state(spark).count() == 16 and targets.margin_of_family(spark).count() == 33
-    prices = spark.createDataFrame([(1, "EGGS", Decimal("1.50"))], "item_nbr int, family string, unit_price decimal(10,2)")
-    row = targets.item_price(prices, targets.margin_of_family(spark)).first()
-    assert row.unit_cost == Decimal("1.28") and checks.price_above_cost(targets.item_price(prices, targets.margin_of_family(spark))).first().violations == 0
+def test_cost_from_price_and_margin(spark):
+    prices = spark.createDataFrame([(1, "LAMPS", Decimal("1.50"))], "item_nbr int, family string, unit_price decimal(10,2)")
+    priced = targets.item_price(prices, margin_of_family(spark))
+    assert priced.first().unit_cost == Decimal("1.28") and checks.price_above_cost(priced).first().violations == 0
 
 
 def test_store_day_keeps_closed_days_and_drops_foreign_keys(spark):
@@ -104,7 +115,8 @@ def test_unmatched_dimension_values_stay_blank(spark):
     staged = spark.createDataFrame([(1, 1, "c", "Nowhere", "A", 1, None)],
                                    "store_key int, store_nbr int, city string, state string, store_type string, cluster int, opening_date date")
     empty = spark.createDataFrame([], "store_nbr int, selling_area_m2 int")
-    row = conform.dim_store(staged, empty, targets.region_of_state(spark), targets.region_table(spark)).first()
+    regions = spark.createDataFrame([(1, "North"), (2, "South")], "region_id int, region_name string")
+    row = conform.dim_store(staged, empty, region_of_state(spark), regions).first()
     assert row.region is None and row.selling_area_m2 is None
     item = spark.createDataFrame([(1, 1, "DAIRY", 1, True)], "item_key int, item_nbr int, family string, class int, is_perishable boolean")
     prices = spark.createDataFrame([], "item_nbr int, unit_price decimal(10,2), unit_cost decimal(10,2)")
@@ -169,6 +181,6 @@ def test_master_files_load_with_empty_cells_as_null(spark, tmp_path):
     ("sales_target_month", "store_nbr,month_start,target_value\n1,2016-01-01,0.00\n", "target_positive"),
 ])
 def test_bad_master_file_is_not_written(spark, tmp_path, name, text, check):
-    with pytest.raises(checks.DataCheckError, match=check):
+    with pytest.raises(checks.GateClosed, match=check):
         master.load_master(spark, _master(tmp_path, **{name: text}), str(tmp_path / "out"))
     assert not (tmp_path / "out").exists()

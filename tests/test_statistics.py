@@ -21,7 +21,7 @@ def test_exact_median_matches_sorting(spark, hot):
             for _ in range(3_000)] + [("odd", 3, 1), ("pair", 1, 1), ("pair", 4, 1), ("none", None, 1)]
     df = spark.createDataFrame(rows, "g string, v bigint, w int")
     got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()}
-    weighted = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", weight="w", groups=5).collect()}
+    weighted = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", weight="w").collect()}
     for group in {g for g, _, _ in rows} - {"none"}:
         values = [v for g, v, _ in rows if g == group]
         repeated = [v for g, v, w in rows if g == group for _ in range(w)]
