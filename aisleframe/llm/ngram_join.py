@@ -2,14 +2,18 @@
 
 The global n-gram order is (common or not, hash). A set of n grams that is to reach the threshold t with another shares one
 of its first n - ceil(t * n) + 1 grams with it, so only these prefixes are matched. Grams that stand in many prefixes
-are put last in the order, by a bitmap of fixed size; whatever the bitmap holds, the order is the same for all sets and
-the result exact. Equal sets are one class from the start.
+are common and go last, by a bitmap of fixed size; whatever the bitmap holds, the order is the same for all sets and the
+result exact. Equal sets are one class from the start.
 
 The order is cut into fragments. A candidate pair's overlap is counted in each fragment by itself, on the pieces that the two
-sets have there, and the partial counts are summed per pair. Candidates come in rounds: first every class is paired with
-one pivot of each prefix gram; classes that linked are one group; grams whose classes are all in one group are done. Last,
-all pairs of classes of different groups that still share a prefix gram are counted, so no link between groups is missed
-while groups of near copies are never expanded into all their pairs.
+sets have there, and the partial counts are summed per pair. Candidates are of two kinds:
+
+* Pairs that share a rare gram of their prefixes meet by it; their number is bounded as no rare gram is frequent. What
+  they share of the rare part is counted in that join, and the common part adds no more than the smaller of their two.
+* Other pairs share only common grams, so their overlap is at most the smaller number of common grams. These meet one
+  pivot of each common gram first, the class with the largest common part, which is the middle of a group of near
+  copies. Classes that linked are one group; at the end the pairs of different groups that still share a common gram
+  and whose common parts are large enough are counted. Groups of near copies are so never expanded into all their pairs.
 """
 
 from __future__ import annotations
@@ -23,14 +27,16 @@ from pyspark.sql import functions as F
 
 from aisleframe.llm.components import components
 from aisleframe.llm.hashing import Texts, chunked, mix, signed, windows
-from aisleframe.llm.shared import cut, stash
+from aisleframe.llm.shared import stash
 
 N = 4
 PERCENT = 85
 COMMON = 24
 BITMAP_BITS = 1 << 23
 FRAGMENTS = 4
-ROUNDS = 3
+ROUNDS = 2
+PASSES = 4
+LARGELY = 4
 
 
 def _sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
@@ -54,49 +60,69 @@ def _prefix_length(n: int, percent: int) -> int:
     return n + (-percent * n) // 100 + 1
 
 
-def _base(n: int, percent: int):
+def _prefix(grams: np.ndarray, percent: int, bits: np.ndarray | None) -> tuple[np.ndarray, int]:
+    """The prefix of a set in the global order, and how many rare grams it begins with."""
+    p = _prefix_length(len(grams), percent) if len(grams) else 0
+    if bits is None or not _is_common(grams[:p], bits).any():
+        return grams[:p], p
+    last = _is_common(grams, bits)
+    rare = grams[~last][:p]
+    return np.concatenate([rare, grams[last]])[:p], len(rare)
+
+
+def _rare_grams(n: int, percent: int, bitmap: bytes | None):
+    """The rare grams of all prefixes; with a bitmap, of the prefixes that it changes, and of all of a set that is largely common."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunked(batches):
-            sizes, one, two, prefix = [], [], [], []
+        bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
+        for _, texts in chunked(batches):
+            found = []
             for grams in _sets(texts, n):
-                sizes.append(len(grams))
-                one.append(int(np.sum(mix(grams))))
-                two.append(int(np.sum(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)))))
-                prefix.append(signed(grams[: _prefix_length(len(grams), percent)] if len(grams) else grams))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("row_key"), pa.array(sizes, pa.int64()),
-                 pa.array(signed(np.array(one, np.uint64))), pa.array(signed(np.array(two, np.uint64))),
-                 pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "row_key", "n", "one", "two", "prefix"])
+                prefix, rare = _prefix(grams, percent, bits)
+                first = grams[: len(prefix)]
+                if bits is None:
+                    found.append(first)
+                elif (known := _is_common(first, bits)).sum() * LARGELY >= max(len(first), 1):
+                    found.append(grams[~_is_common(grams, bits)])
+                elif known.any():
+                    found.append(prefix[:rare])
+            flat = np.concatenate(found) if found else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(flat))], names=["gram"])
     return run
 
 
-def _moved(n: int, percent: int, bitmap: bytes):
-    """(row_key, prefix) of the sets whose prefix changes as the grams of the bitmap go last."""
+def _base(n: int, percent: int, bitmap: bytes):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap, np.uint8)
         for part, texts in chunked(batches):
-            keys = part.column("row_key").to_pylist()
-            rows, prefix = [], []
-            for key, grams in zip(keys, _sets(texts, n), strict=True):
-                p = _prefix_length(len(grams), percent)
-                if len(grams) and _is_common(grams[:p], bits).any():
-                    last = _is_common(grams, bits)
-                    rows.append(key)
-                    prefix.append(signed(np.concatenate([grams[~last][:p], grams[last]])[:p]))
+            sizes, one, two, prefixes, rares = [], [], [], [], []
+            for grams in _sets(texts, n):
+                prefix, rare = _prefix(grams, percent, bits)
+                sizes.append(len(grams))
+                one.append(int(np.sum(mix(grams))))
+                two.append(int(np.sum(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)))))
+                prefixes.append(signed(prefix))
+                rares.append(rare)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], names=["row_key", "prefix"])
+                [part.column("doc_id"), part.column("row_key"), pa.array(sizes, pa.int64()),
+                 pa.array(signed(np.array(one, np.uint64))), pa.array(signed(np.array(two, np.uint64))),
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(rares, pa.int64())],
+                names=["doc_id", "row_key", "n", "one", "two", "prefix", "rare"])
     return run
 
 
-def _pieces(n: int, bitmap: bytes, fragments: int):
-    """(row_key, fragment, grams): each set cut along the global order."""
+def _pieces(n: int, bitmap: bytes, fragments: int, wanted: bytes | None):
+    """(row_key, fragment, grams): each set cut along the global order; of the rows that the bitmap of wanted keys lets pass."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap, np.uint8)
         for part, texts in chunked(batches):
-            keys = part.column("row_key").to_pylist()
+            keys = np.asarray(part.column("row_key"))
+            if wanted is not None:
+                pass_ = _is_common(keys.astype(np.int64).view(np.uint64), np.frombuffer(wanted, np.uint8))
+                keys, texts = keys[pass_], [t for t, x in zip(texts, pass_.tolist(), strict=True) if x]
+                if not texts:
+                    continue
             rows, at, pieces = [], [], []
-            for key, grams in zip(keys, _sets(texts, n), strict=True):
+            for key, grams in zip(keys.tolist(), _sets(texts, n), strict=True):
                 where = (grams // np.uint64((1 << 64) // fragments + 1)).astype(np.int64) + fragments * _is_common(grams, bits)
                 for f in np.unique(where).tolist():
                     rows.append(key)
@@ -108,9 +134,19 @@ def _pieces(n: int, bitmap: bytes, fragments: int):
     return run
 
 
-def _bitmap(counts: DataFrame, common: int, bits: int) -> bytes:
-    """Grams with at least `common` prefixes as a bitmap of fixed size; where they are too many for it, the most frequent."""
-    frequent = counts.filter(F.col("n") >= common)
+def _bits_of(keys: DataFrame, bits: int) -> bytes:
+    """A column of 64-bit keys as a bitmap of fixed size, with the bit of the lowest digits of each."""
+    out = np.zeros(bits // 8, np.uint8)
+    key = keys.columns[0]
+    rows = keys.groupBy(F.expr(f"shiftright({key} & {bits - 1}L, 3)").alias("byte")).agg(
+        F.bit_or(F.expr(f"shiftleft(1, cast({key} & 7L as int))")).alias("bits")).collect()
+    for r in rows:  # at most one row for each byte of the bitmap
+        out[r["byte"]] = r["bits"]
+    return out.tobytes()
+
+
+def _bitmap(frequent: DataFrame, common: int, bits: int) -> bytes:
+    """Frequent grams (gram, n) as a bitmap; where they are too many for its size, the most frequent."""
     tiers = {r["tier"]: r["size"] for r in frequent.groupBy(F.floor(F.log2("n")).cast("int").alias("tier"))
              .agg(F.count("*").alias("size")).collect()}  # at most 63 rows
     room, least = bits // 8, common
@@ -119,14 +155,22 @@ def _bitmap(counts: DataFrame, common: int, bits: int) -> bytes:
         if room < 0:
             least = 1 << (tier + 1)
             break
-    out = np.zeros(bits // 8, np.uint8)
-    byte = F.expr(f"shiftright(gram & {bits - 1}L, 3)")
-    rows = (
-        frequent.filter(F.col("n") >= least)
-        .groupBy(byte.alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(gram & 7L as int))")).alias("bits")).collect())
-    for r in rows:  # at most one row for each byte of the bitmap
-        out[r["byte"]] = r["bits"]
-    return out.tobytes()
+    return _bits_of(frequent.filter(F.col("n") >= least).select("gram"), bits)
+
+
+def _common_grams(rows: DataFrame, n: int, percent: int, common: int, bits: int) -> bytes:
+    """The bitmap of common grams: those of many prefixes, then those of many prefixes as they are without the first."""
+    bitmap = None
+    for _ in range(PASSES):
+        grams = rows.select("row_key", "text").mapInArrow(_rare_grams(n, percent, bitmap), "gram long")
+        frequent = stash(grams.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") >= common))
+        more = _bitmap(frequent, common, bits)
+        if bitmap is not None:
+            more = (np.frombuffer(bitmap, np.uint8) | np.frombuffer(more, np.uint8)).tobytes()
+        if more == bitmap:
+            break
+        bitmap = more
+    return bitmap
 
 
 def _overlaps(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -148,55 +192,90 @@ def _near_sizes(percent: int):
     return F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")
 
 
-def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs with the smaller class first and sizes that can reach the threshold."""
-    swap = F.col("a") > F.col("b")
-    return pairs.filter(_near_sizes(percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
-        F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb")).distinct()
-
-
-def _with_groups(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
-    if groups is None:
-        return entries.withColumn("root", F.col("cls"))
-    roots = groups.withColumnRenamed("node", "cls")
-    return entries.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+def _least_overlap(percent: int):
+    return F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9)
 
 
 # Grouped sides of joins are written first: a join of two plain shuffles is one whose hot keys Spark can split.
-def _open(entries: DataFrame) -> DataFrame:
+def _open(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Entries of the grams that still join classes of different groups."""
+    entries = entries.select("gram", "cls", "n", "rare")
+    if groups is None:
+        entries = entries.withColumn("root", F.col("cls"))
+    else:
+        entries = entries.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     apart = entries.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("gram")
-    return entries.join(stash(apart), "gram")
+    return stash(entries.join(stash(apart), "gram"))
+
+
+def _side(entries: DataFrame, x: str) -> DataFrame:
+    return entries.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "rare", "root")])
+
+
+def _met(entries: DataFrame, other: DataFrame, percent: int, once: bool = False) -> DataFrame:
+    """Pairs of classes of different groups that meet at a gram, the smaller class first, with sizes that may reach the threshold.
+
+    once: both sides are the same entries, and each pair is wanted in one order only.
+    """
+    pairs = _side(entries, "x").join(_side(other, "y"), "gram")
+    if once:
+        pairs = pairs.filter("cls_x < cls_y")
+    first = F.col("cls_x") < F.col("cls_y")
+    pick = lambda c, name: [
+        F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{name}a"),
+        F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{name}b")]
+    sizes = F.least("n_x", "n_y") * 100 >= percent * F.greatest("n_x", "n_y")
+    return pairs.filter((F.col("root_x") != F.col("root_y")) & sizes).select(*pick("cls", ""), *pick("n", "n"), *pick("rare", "r"))
+
+
+def _by_common(entries: DataFrame, other: DataFrame, percent: int, once: bool = False) -> DataFrame:
+    """Of the pairs that meet at common grams, those whose common parts alone can reach the threshold."""
+    small = F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
+    return _met(entries, other, percent, once).filter(small >= _least_overlap(percent)).select("a", "b", "na", "nb").distinct()
+
+
+def _pivots(entries: DataFrame, salt: int) -> DataFrame:
+    """One class of each gram: first the one with the largest common part, later a drawn one."""
+    middle = F.when(F.lit(salt) == 0, F.col("rare") / F.col("n")).otherwise(0.0)
+    order = F.struct(middle.alias("m"), F.xxhash64("cls", F.lit(salt)).alias("o"), "cls", "n", "rare", "root")
+    return stash(entries.groupBy("gram").agg(F.min(order).alias("p"))).select("gram", "p.cls", "p.n", "p.rare", "p.root")
 
 
-def _grouped(entries: DataFrame, pieces: DataFrame, percent: int, rounds: int) -> DataFrame | None:
-    """(node, root) of all linked classes."""
+def _by_rare(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share rare prefix grams, where these and all else that they may have in common can reach the threshold.
+
+    Beyond the prefix of one of them lie ceil(percent * n / 100) - 1 grams, and of its common prefix grams no more are
+    in the other than that has itself.
+    """
+    counted = _met(entries, entries, percent, once=True).groupBy("a", "b", "na", "nb", "ra", "rb").agg(F.count("*").alias("k"))
+    beyond = lambda n: F.ceil(F.col(n) * percent / 100 - 1e-9) - 1
+    inside = lambda n, r: F.col(n) - beyond(n) - F.col(r)
+    most = F.col("k") + F.least(inside("na", "ra"), inside("nb", "rb")) + F.greatest(beyond("na"), beyond("nb"))
+    return counted.filter(most >= _least_overlap(percent)).select("a", "b", "na", "nb")
+
+
+def _grouped(rare: DataFrame, common: DataFrame, pieces_of, percent: int, rounds: int) -> DataFrame | None:
+    """(node, root) of all linked classes. pieces_of gives the pieces of the classes that some pairs name."""
     links = groups = tried = None
-    for r in range(rounds):
-        entries = cut(_open(_with_groups(entries.select("gram", "cls", "n"), groups)))
-        if not entries.limit(1).count():
-            return groups
-        pivots = entries.groupBy("gram").agg(F.min(F.struct(F.xxhash64("cls", F.lit(r)).alias("o"), "cls", "n", "root")).alias("p"))
-        pivots = stash(pivots)
-        pairs = entries.join(pivots, "gram").filter("root != p.root").select(
-            F.col("cls").alias("a"), F.col("p.cls").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
-        pairs = _ordered(pairs, percent)
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs.select("a", "b") if tried is None else cut(tried.unionByName(pairs.select("a", "b")))
-        found = cut(_links(pairs, pieces, percent))
-        links = found if links is None else cut(links.unionByName(found))
-        groups = components(links)
-    entries = cut(_open(_with_groups(entries.select("gram", "cls", "n"), groups)))
-    if not entries.limit(1).count():
-        return groups
-    left = entries.select("gram", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = entries.select("gram", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = _ordered(left.join(right, "gram").filter(
-        (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _near_sizes(percent)).select("a", "b", "na", "nb"), percent)
-    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
-    return components(cut(links.unionByName(_links(pairs, pieces, percent))))
+
+    def take(pairs: DataFrame) -> None:
+        nonlocal links, groups, tried
+        pairs = stash(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if pairs.limit(1).count():
+            found = stash(_links(pairs, pieces_of(pairs), percent))
+            links = found if links is None else links.unionByName(found)
+            tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+            groups = components(links)
+
+    for salt in range(rounds):
+        common = _open(common, groups)
+        if not common.limit(1).count():
+            break
+        take(_by_common(common, _pivots(common, salt), percent))
+    take(_by_rare(_open(rare, groups), percent))
+    common = _open(common, groups)
+    take(_by_common(common, common, percent, once=True))
+    return groups
 
 
 def near_duplicate_groups(
@@ -213,26 +292,27 @@ def near_duplicate_groups(
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    bitmap = _common_grams(rows, n, percent, common, bitmap_bits)
     base = stash(rows.mapInArrow(
-        _base(n, percent), f"doc_id {kind}, row_key long, n long, one long, two long, prefix array<long>"))
+        _base(n, percent, bitmap), f"doc_id {kind}, row_key long, n long, one long, two long, prefix array<long>, rare long"))
     classes = stash(base.filter("n > 0").groupBy("one", "two").agg(
-        F.min("row_key").alias("cls"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("first_id")))
-
-    prefixes = classes.select("cls", "n", F.explode("prefix").alias("gram"))
-    bitmap = _bitmap(prefixes.groupBy("gram").agg(F.count("*").alias("n")), common, bitmap_bits)
-    if any(bitmap):
-        moved = rows.select("row_key", "text").mapInArrow(_moved(n, percent, bitmap), "row_key long, prefix array<long>")
-        moved = moved.dropDuplicates(["row_key"]).select(F.col("row_key").alias("cls"), F.col("prefix").alias("new"))
-        prefixes = classes.join(moved, "cls", "left").select("cls", "n", F.explode(F.coalesce("new", "prefix")).alias("gram"))
-    prefixes = stash(prefixes)
+        F.min("row_key").alias("cls"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("rare").alias("rare"),
+        F.min("doc_id").alias("first_id")))
+    prefixes = classes.select("cls", F.posexplode("prefix").alias("at", "gram"), "rare").select("gram", "cls", (F.col("at") >= F.col("rare")).alias("is_common"))
     shared = stash(prefixes.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"))
-    entries = cut(prefixes.join(shared, "gram"))
-    needed = entries.select(F.col("cls").alias("row_key")).distinct()
-    pieces = stash(
-        rows.select("row_key", "text").join(needed, "row_key", "left_semi")
-        .mapInArrow(_pieces(n, bitmap, fragments), "row_key long, fragment int, grams array<long>")
-        .dropDuplicates(["row_key", "fragment"]))
-    groups = _grouped(entries, pieces, percent, rounds)
+    entries = stash(prefixes.join(shared, "gram").join(classes.select("cls", "n", "rare"), "cls"))
+
+    def pieces_of(pairs: DataFrame) -> DataFrame:
+        needed = stash(pairs.select(F.explode(F.array("a", "b")).alias("row_key")).distinct())
+        texts = rows.select("row_key", "text")
+        # few against the bitmap's size: it lets little else pass, and no text is shuffled
+        wanted = _bits_of(needed, bitmap_bits) if needed.count() * 8 <= bitmap_bits else None
+        if wanted is None:
+            texts = texts.join(needed, "row_key", "left_semi")
+        pieces = texts.mapInArrow(_pieces(n, bitmap, fragments, wanted), "row_key long, fragment int, grams array<long>")
+        return stash(pieces.join(needed, "row_key", "left_semi").dropDuplicates(["row_key", "fragment"]))
+
+    groups = _grouped(entries.filter("not is_common"), entries.filter("is_common"), pieces_of, percent, rounds)
     return _result(spark, base, classes, groups)
 
 

@@ -15,25 +15,27 @@ def shared_dir(spark: SparkSession) -> str:
     given = spark.conf.get(SETTING, None)
     if given:
         return given.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"{SETTING} must name a folder that all executors share")
     own = tempfile.mkdtemp(prefix="llm-")
     spark.conf.set(SETTING, own)
     return own
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
+
+
 def stash(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage ends here, lost executors reread files."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df checkpointed to the shared folder; for small tables of iterative steps. Files go when df is collected."""
-    context = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+def drop_stashes(spark: SparkSession) -> None:
+    """Deletes what this application has written; results that were not written out yet are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
