@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -53,7 +53,7 @@ def _words(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_words(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first byte) of each word of buf, worked off in pieces of about a megabyte cut at white space."""
+    """(hash, first byte) of each word of buf, worked off in pieces of about half a megabyte cut at white space."""
     found, at = [], 0
     while at < len(buf) or not found:
         end = at + CHUNK

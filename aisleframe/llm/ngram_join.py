@@ -29,8 +29,8 @@ from aisleframe.llm.components import components
 from aisleframe.llm.hashing import Texts, chunked, mix, signed, windows
 from aisleframe.llm.shared import stash
 
-N = 4
-PERCENT = 85
+N = 5
+PERCENT = 80
 COMMON = 24
 BITMAP_BITS = 1 << 23
 FRAGMENTS = 4
@@ -123,7 +123,7 @@ def _pieces(n: int, bitmap: bytes, fragments: int, wanted: bytes | None):
                     continue
             rows, at, pieces = [], [], []
             for key, grams in zip(keys.tolist(), _sets(texts, n), strict=True):
-                where = (grams // np.uint64((1 << 64) // fragments + 1)).astype(np.int64) + fragments * _is_common(grams, bits)
+                where = ((grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int64) + fragments * _is_common(grams, bits)
                 for f in np.unique(where).tolist():
                     rows.append(key)
                     at.append(f)

@@ -40,7 +40,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_groups(_table(spark, sf_dir, "documents"))
+    return near_duplicate_groups(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Of rows that repeat it one stays."""
+    """One document of each group of near duplicates (five words, 80 percent): the one with the smallest id, once."""
     groups = near_duplicate_groups(docs)
     gone = stash(groups.filter("doc_id != component_id").select("doc_id").distinct())
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")

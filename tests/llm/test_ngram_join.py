@@ -13,7 +13,7 @@ def grams(text, n):
     return frozenset(tuple(words[i: i + n]) for i in range(len(words) - n + 1)) if len(words) >= n else frozenset([tuple(words)])
 
 
-def brute(rows, n=4, percent=85):
+def brute(rows, n=5, percent=80):
     sets = [grams(t, n) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -55,7 +55,7 @@ def corpus(seed=2):
     return rows + [(5, None), (6, ""), (7, " \n"), (3, rows[0][1].upper()), (rows[1][0], rows[1][1])]
 
 
-@pytest.mark.parametrize("settings", [{}, {"common": 3, "bitmap_bits": 64}, {"common": 4, "rounds": 1, "fragments": 1}, {"n": 2, "percent": 60}])
+@pytest.mark.parametrize("settings", [{"n": 4, "percent": 85}, {"common": 3, "bitmap_bits": 64}, {"n": 2, "percent": 60, "common": 4, "rounds": 1, "fragments": 1}])
 def test_against_brute_force(docs_of, settings):
     rows = corpus()
     found = near_duplicate_groups(docs_of(rows), **settings).collect()
@@ -66,7 +66,7 @@ def test_against_brute_force(docs_of, settings):
 def test_nothing_to_link(docs_of):
     assert near_duplicate_groups(docs_of([])).collect() == []
     found = near_duplicate_groups(docs_of([(4, None), (5, "one two three four five")])).collect()
-    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == [(4, 0, 4), (5, 2, 5)]
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == [(4, 0, 4), (5, 1, 5)]
 
 
 def test_components_of_long_chains_and_loops(spark):
