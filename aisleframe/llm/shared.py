@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +29,29 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
 
 
+_part = "queries"
+
+
+@contextmanager
+def part(name: str) -> Iterator[None]:
+    """Inside, stashes go to a part of the folder that can be deleted by itself."""
+    global _part
+    before, _part = _part, name
+    try:
+        yield
+    finally:
+        _part = before
+
+
 def stash(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage ends here, lost executors reread files."""
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{_part}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stashes(spark: SparkSession) -> None:
-    """Deletes what this application has written; results that were not written out yet are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+def drop_stashes(spark: SparkSession, name: str | None = None) -> None:
+    """Deletes what this application has written, or a part of it; results that still need it must be written out before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark)}/{name}" if name else _folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

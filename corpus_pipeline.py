@@ -2,10 +2,14 @@
 
 Every stage is a function of (spark, docs, sf_dir); all but the last return the columns of documents. A document is a row:
 rows that repeat an id are judged each by itself, but for the near-duplicate stage, which sees equal texts as copies.
+
+A stage's intermediate tables are deleted when a later stage begins, as its result has been written by then.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +17,24 @@ from aisleframe.llm.decontamination import leaks
 from aisleframe.llm.encoding import encode
 from aisleframe.llm.ngram_join import near_duplicate_groups
 from aisleframe.llm.quality import quality_verdicts
-from aisleframe.llm.shared import stash
+from aisleframe.llm.shared import drop_stashes, part, stash
 from aisleframe.llm.substring_dedup import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+STAGE_TABLES = "stage"
+
+
+def _stage(work):
+    """The stage with its intermediate tables in a part of the shared folder that only the stage at work uses."""
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_stashes(spark, STAGE_TABLES)
+        with part(STAGE_TABLES):
+            return work(spark, docs, sf_dir)
+    return run_stage
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the plain rules and are no outliers of their language and source."""
     rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "lang", "source", "text"))
@@ -26,6 +42,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rows.join(rejected, "row_key", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 80 percent): the one with the smallest id, once."""
     groups = near_duplicate_groups(docs)
@@ -37,6 +54,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return kept.join(several, "doc_id", "left_anti").select(*COLUMNS).unionByName(first.select(*COLUMNS))
 
 
+@_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of spans that repeat; texts that lose nothing stay as they are."""
     kept = remove_repeats(docs.withColumn("before", F.col("text")), keep=("doc_id", "before", "lang", "source", "n_chars"))
@@ -46,6 +64,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
 
 
+@_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
@@ -54,6 +73,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return rows.join(leaking, "row_key", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, with their number and whether decoding them gives the text again."""
     return encode(docs, keep=("doc_id", "lang", "source"))
