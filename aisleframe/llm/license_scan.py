@@ -3,7 +3,8 @@
 Candidate blocks are lines with a cue word, and paragraphs with cue words on several lines. Each is compressed by zstandard
 alone and once with every notice as a raw dictionary: the more the size falls, the more of its wording the notice explains.
 The notices that explain most are compared word by word with the block, and the first whose wording is there, but for a few
-words that do not name the license, is the finding.
+words that do not name the license, is the finding. So is every other notice whose wording is there in a window around a cue
+word that is little longer than the notice, however much text stands before and after it on the line.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
@@ -58,13 +60,19 @@ CUES = re.compile(rb"licen[sc]|copyright|public domain|creative commons|permissi
 RANKED = 4  # notices whose wording is compared, those that explain most
 LEAST_SHARE = 0.2  # of a block's compressed size
 SPARE = 10  # one word in so many of a notice may be missing or different
+BETWEEN = 4  # words that a window holds beside the notice's own, and one more for so many of these
 LEVEL = 3
 
 _WORD = re.compile(r"[^\s]+")
+_BYTE_WORD = re.compile(rb"[^\s]+")
+
+
+def _word(written: str) -> str:
+    return written.strip(".,;:()\"'“”*#/").lower()
 
 
 def _words(text: str) -> list[str]:
-    return [w for w in (x.strip(".,;:()\"'“”*#/").lower() for x in _WORD.findall(text)) if w]
+    return [w for w in map(_word, _WORD.findall(text)) if w]
 
 
 # Words that tell licenses apart, beside all words with a digit.
@@ -96,11 +104,39 @@ def blocks(text: bytes) -> list[tuple[int, bytes]]:
     return found
 
 
+def stretches(text: bytes, reach: int) -> Iterator[tuple[int, bytes]]:
+    """(first line, text) from `reach` words before to `reach` words after each cue word; stretches that meet are one."""
+    spans: list[list[int]] = []
+    for cue in CUES.finditer(text):
+        low = spans[-1][1] if spans else 0
+        start = low
+        if cue.start() > low:
+            before = text[low: cue.start()].rsplit(None, reach)
+            start += len(before[0]) if len(before) > reach else 0
+        end = cue.end()
+        for word in islice(_BYTE_WORD.finditer(text, end), reach + 1):
+            end = word.end()
+        if spans and start == low:
+            spans[-1][1] = max(low, end)
+        else:
+            spans.append([start, end])
+    line = at = 0
+    for start, end in spans:
+        line += text.count(b"\n", at, start)
+        at = start
+        yield line, text[start: end]
+
+
 def differences(block: str, notice: str) -> tuple[int, list[str], bool]:
     """(changed words, what is missing or other, whether a naming word is among them); words around the notice don't count."""
-    have, want = _words(block), _words(notice)
+    return _differences(_words(block), _words(notice))[:3]
+
+
+def _differences(have: list[str], want: list[str]) -> tuple[int, list[str], bool, int, int]:
+    """The same, and from where to where the notice stands in the block's words."""
     changed, shown, named = 0, [], False
     codes = SequenceMatcher(None, want, have, autojunk=False).get_opcodes()
+    equal = [(c, d) for kind, _, _, c, d in codes if kind == "equal"] or [(0, 0)]
     for k, (kind, a, b, c, d) in enumerate(codes):
         outside = kind == "insert" and k in (0, len(codes) - 1)
         if kind == "equal" or outside:
@@ -109,7 +145,7 @@ def differences(block: str, notice: str) -> tuple[int, list[str], bool]:
         changed += b - a if edge else max(b - a, d - c)
         shown.append(f"-{' '.join(want[a:b])} +{' '.join(have[c:d])}" if not edge else f"-{' '.join(want[a:b])}")
         named |= any(map(naming, want[a:b])) or kind == "insert" and any(map(naming, have[c:d]))
-    return changed, shown, named
+    return changed, shown, named, equal[0][0], equal[-1][1]
 
 
 class Scanner:
@@ -119,6 +155,10 @@ class Scanner:
         self.given = [  # notices and blocks are compressed in lower case, with single spaces
             zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(n.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
             for _, n in notices]
+        self.wants = [_words(n) for _, n in notices]
+        self.needs = [(frozenset(w), frozenset(filter(naming, w)), len(w) // SPARE) for w in self.wants]
+        self.widths = [len(w) + BETWEEN + len(w) // BETWEEN for w in self.wants]
+        self.reach = max(self.widths)
         self.seen: dict[bytes, tuple | None] = {}
 
     def scan(self, block: bytes) -> tuple[str, float, int, str] | None:
@@ -144,6 +184,49 @@ class Scanner:
                 best = (license_, share, changed, "; ".join(shown))
         return best
 
+    def in_windows(self, block: bytes) -> list[tuple[int, str, float, int, str]]:
+        """(line, license, share of the notice's own stretch that is saved, changed words, differences), one per line and license."""
+        found: dict[tuple[int, str], tuple] = {}
+        for line, stretch in stretches(block, self.reach):
+            text = stretch.decode(errors="replace")
+            written, words, lines, at = [], [], [], 0
+            for token in _WORD.finditer(text):
+                line += text.count("\n", at, token.start())
+                at = token.start()
+                if word := _word(token.group()):
+                    written.append(token.group().lower())
+                    words.append(word)
+                    lines.append(line)
+            taken: list[tuple[str, int, int]] = []
+            for changed, _, first, end, k, shown in sorted(self._wordings(words)):
+                license_ = self.notices[k][0]
+                if any(other == license_ and first < e and f < end for other, f, e in taken):
+                    continue
+                taken.append((license_, first, end))
+                if (lines[first], license_) not in found:
+                    plain = " ".join(written[first: end]).encode()
+                    share = 1 - len(self.given[k].compress(plain)) / len(self.alone.compress(plain))
+                    found[lines[first], license_] = (share, changed, shown)
+        return [(*key, *value) for key, value in sorted(found.items())]
+
+    def _wordings(self, words: list[str]) -> Iterator[tuple[int, int, int, int, int, str]]:
+        """(changed words, minus length, first word, end, notice, differences) of windows that hold the wording of a notice."""
+        have = set(words)
+        for k, want in enumerate(self.wants):
+            needed, names, spare = self.needs[k]
+            if len(needed - have) > spare or not names <= have:
+                continue
+            starts, width = frozenset(want[:spare + 1]), self.widths[k]  # one of these words is unchanged
+            for p, word in enumerate(words):
+                if word not in starts:
+                    continue
+                window = words[p: p + width]
+                if len(needed.difference(window)) > spare or not names.issubset(window):
+                    continue
+                changed, shown, named, first, end = _differences(window, want)
+                if not named and changed <= spare:
+                    yield changed, first - end, p + first, p + end, k, "; ".join(shown)
+
 
 def _scan(keep: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +236,10 @@ def _scan(keep: list[str]):
             for i, text in enumerate(texts):
                 for line, block in blocks(text):
                     hit = scanner.scan(block)
-                    if hit:
-                        at.append(i)
-                        found.append((line, *hit))
+                    hits = [hit] if hit else []
+                    hits += [other for _, *other in scanner.in_windows(block) if not hit or other[0] != hit[0]]
+                    at += [i] * len(hits)
+                    found += [(line, *h) for h in hits]
             rows = part.take(pa.array(at, pa.int64()))
             kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.string())
             made = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
@@ -169,7 +253,9 @@ def license_findings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Da
 
     line is the block's first line, from 0; a notice on one line of a paragraph with several cue lines may be found in both. A text
     may hold any number of findings; null and empty texts, and texts without a notice, have none. Among notices that explain a
-    block equally well the first listed wins. Rows that repeat give repeated rows. Other columns of docs are not looked at.
+    block equally well the first listed wins; other licenses in windows of the block have a row each. saved is the share of the
+    block's compressed size, or of the notice's own stretch where it is found by a window. Rows that repeat give repeated rows.
+    Other columns of docs are not looked at.
     """
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return docs.select(*keep, "text").mapInArrow(

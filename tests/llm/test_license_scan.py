@@ -51,3 +51,22 @@ def test_table(docs_of):
         (0, 0, "MIT"), (1, 1, "Apache-2.0"), (1, 1, "Apache-2.0"), (5, 0, "MIT"), (5, 2, "CC0-1.0")]
     assert {r["license"] for r in found if r["doc_id"] == 6} == {"MIT"}
     assert license_findings(docs_of([])).collect() == []
+
+
+PROSE = b"The river rises in the hills above the town, and for most of the year it is shallow enough to be crossed on foot. "
+
+
+@pytest.mark.parametrize("license_, notice", NOTICES)
+def test_notice_behind_other_text_on_its_line(license_, notice):
+    scanner = Scanner()
+    for times in (1, 3, 40):
+        line = PROSE * times + notice.encode() + b" " + PROSE * times
+        found = [f[1:] for f in scanner.in_windows(line)]
+        assert [(f[0], f[2]) for f in found] == [(license_, 0)] and found[0][1] > 0
+    assert scanner.in_windows(PROSE + b"It is licensed under rules of the Apache people, license 7.0. " + PROSE) == []
+
+
+def test_table_of_notices_behind_other_text(docs_of):
+    rows = [(i, PROSE.decode() * 3 + n) for i, (_, n) in enumerate(NOTICES)]
+    found = license_findings(docs_of(rows)).collect()
+    assert sorted((r["doc_id"], r["line"], r["license"]) for r in found) == [(i, 0, x) for i, (x, _) in enumerate(NOTICES)]
