@@ -3,7 +3,7 @@
 The page becomes a tree of elements. For every node the characters and tags below it are counted, and those inside links;
 its density is characters per tag, adjusted by how much of the text is link text and by the page's own ratio. A node's
 density sum adds the densities of its children. The node with the largest sum marks the body: the smallest density on
-its path to the root is the threshold, and of the nodes dense enough the one with the largest sum is the main text.
+its path to the root is the threshold, and the subtrees beside the path that are as dense are main text as well, in page order.
 Elements that carry no text of their own by their kind or name (menus, forms, notices, comments, ...) are left out of
 the tree before the counts, and so are the subtrees of the main node that hold mostly link text.
 """
@@ -45,6 +45,7 @@ NAMES = re.compile(
     r"skip-?links?|copyright|legal|disclaimer|tags?|teasers?)(?:$|[\s_-])", re.I)
 
 HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+SHORTER = 8  # so many times less text per tag has a block of paragraphs that still belongs to the body
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|[^<]+|<", re.S)
@@ -188,16 +189,10 @@ def _weigh(nodes: list[Node]) -> None:
         node.total = sum(c.density for c in node.children if isinstance(c, Node))
 
 
-def _main(nodes: list[Node]) -> Node:
-    """The subtree with the largest density sum among nodes as dense as the sparsest one on the path to the largest sum."""
+def _main(nodes: list[Node]) -> tuple[Node, dict[Node, list[Node | str]]]:
+    """The node that holds the main text, and what of their children belongs to it for nodes of which not all does."""
     articles = [n for n in nodes if n.name in ("article", "main")]
-    whole = nodes[0]
-    best = max(nodes, key=lambda n: n.total)
-    threshold, up = best.density, best
-    while up is not None:
-        threshold = min(threshold, up.density) if up.density else threshold
-        up = up.parent
-    body = max((n for n in nodes if n.density >= threshold), key=lambda n: n.total, default=whole)
+    body = best = max(nodes, key=lambda n: n.total)
     # a paragraph's inline tags are dense too: the body is the smallest sectioning element around the best node
     while body.parent is not None and (body.name not in BLOCKS or body.name in ("p", "li", "ul", "ol", "blockquote", "pre", "tr", "table", "tbody")):
         body = body.parent
@@ -205,17 +200,55 @@ def _main(nodes: list[Node]) -> Node:
     while around is not None and around.name not in ("article", "main"):
         around = around.parent
     if around is not None:
-        return around
+        return around, {}
     inner = [a for a in articles if _within(a, body)]
     if inner:
         largest = max(inner, key=lambda n: n.chars)
         if largest.chars * 2 > body.chars:
-            return largest
-    # headings and paragraphs beside the body belong to it
-    while body.parent is not None and any(
-            isinstance(c, Node) and c is not body and c.chars > c.link_chars and c.name in HEADINGS for c in body.parent.children):
-        body = body.parent
-    return body
+            return largest, {}
+    path = [body]
+    while path[-1].parent is not None:
+        path.append(path[-1].parent)
+    density, per_tag = min(n.density for n in (best, *path)), min(map(_per_tag, path))
+    shown: dict[Node, list[Node | str]] = {}
+    top = 0
+    while True:
+        # headings and paragraphs beside the body belong to it
+        while top + 1 < len(path) and any(
+                isinstance(c, Node) and c is not path[top] and c.chars > c.link_chars and c.name in HEADINGS for c in path[top + 1].children):
+            top += 1
+        # so do dense subtrees beside its path, and what stands between them
+        for up in range(top + 1, len(path)):
+            children = path[up].children
+            ours = [k for k, c in enumerate(children) if isinstance(c, Node) and (
+                c is path[up - 1] or _mostly_plain(c) and (c.name in HEADINGS or _as_dense(c, density, per_tag)))]
+            if any(c.name not in HEADINGS for k in ours if (c := children[k]) is not path[up - 1]):
+                break
+        else:
+            return path[top], shown
+        for k in range(top + 1, up):
+            shown[path[k]] = [path[k - 1]]
+        shown[path[up]] = [
+            c for k, c in enumerate(children) if ours[0] <= k <= ours[-1] and (k in ours or isinstance(c, str) or _mostly_plain(c))]
+        top = up
+
+
+def _per_tag(node: Node) -> float:
+    return (node.chars - node.link_chars) / max(node.tags, 1)
+
+
+def _mostly_plain(node: Node) -> bool:
+    return node.chars > 2 * node.link_chars
+
+
+def _as_dense(node: Node, density: float, per_tag: float) -> bool:
+    """Whether a block reaches the path's least density, or the least text per tag, as densities of text without links grow with its
+    size; a block of several paragraphs or headings may have short ones."""
+    if node.name not in BLOCKS:
+        return False
+    if node.density >= density or _per_tag(node) >= per_tag:
+        return True
+    return _per_tag(node) * SHORTER >= per_tag and sum(n.name in HEADINGS and _mostly_plain(n) for n in _order(node)) > 1
 
 
 def _within(node: Node | None, of: Node) -> bool:
@@ -226,7 +259,7 @@ def _within(node: Node | None, of: Node) -> bool:
     return False
 
 
-def _blocks(main: Node) -> str:
+def _blocks(main: Node, shown: dict[Node, list[Node | str]]) -> str:
     lines: list[str] = []
     part: list[str] = []
 
@@ -253,7 +286,7 @@ def _blocks(main: Node) -> str:
                 todo.append(None)
             if item.name == "br":
                 part.append(" ")
-            todo += reversed(item.children)
+            todo += reversed(shown.get(item, item.children))
     end()
     return "\n".join(lines)
 
@@ -266,7 +299,7 @@ def main_text(page: str) -> str:
     _weigh(nodes)
     if not nodes[0].chars:
         return ""
-    return _blocks(_main(nodes))
+    return _blocks(*_main(nodes))
 
 
 def _extract(names: list[str]):

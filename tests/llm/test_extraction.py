@@ -58,3 +58,32 @@ def test_table(spark):
         [(1, "u", "\n".join(LINES), len("\n".join(LINES)))] * 2 + [(2, "", "", 0), (0, "v", "", 0)])
     assert found[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def paragraphs(name, n, words=50):
+    return [f"{name}{k} " + "word " * words + f"end{k}" for k in range(n)]
+
+
+SPLIT = {
+    "equal": [("div", 4, 50), ("div", 4, 50)],
+    "shorter ones": [("div", 4, 50), ("div", 3, 45), ("div", 4, 55), ("div", 2, 30), ("div", 1, 60)],
+    "sections": [("section", 5, 60), ("section", 3, 40), ("section", 2, 12)],
+    "inner ones": [("div><div", 3, 50), ("div", 4, 50), ("div><section", 4, 40)],
+}
+
+
+@pytest.mark.parametrize("name", SPLIT)
+@pytest.mark.parametrize("heading", ["", "<h1>Title</h1>"])
+@pytest.mark.parametrize("wrapped", [False, True])
+def test_article_in_several_blocks(name, heading, wrapped):
+    blocks, lines = [], ["Title"] if heading else []
+    for i, (tag, n, words) in enumerate(SPLIT[name]):
+        texts = paragraphs(f"b{i}p", n, words)
+        close = "".join(f"</{t.strip('<')}>" for t in reversed(tag.split(">")))
+        blocks.append(f"<{tag}><h2>Part {i}</h2>" + "".join(f"<p>{t}</p>" for t in texts) + close)
+        lines += [f"Part {i}", *texts]
+    article = f"{heading}<div>{''.join(blocks)}</div>" if wrapped else heading + "".join(blocks)
+    menu = "".join(f"<a href={k}>Menu entry {k}</a> | " for k in range(12))
+    page = f"<body><div>{menu}</div><div id=c>{article}</div><div><ul><li><a href=x>Some other story</a></ul></div><div>&copy; 2020 Example</div></body>"
+    assert main_text(page).split("\n") == lines
+    assert main_text(f"<body><div id=c>{article}</div></body>").split("\n") == lines
