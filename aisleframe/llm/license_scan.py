@@ -1,10 +1,11 @@
 """License notices in texts by conditional compression.
 
-Candidate blocks are lines with a cue word, and paragraphs with cue words on several lines. Each is compressed by zstandard
-alone and once with every notice as a raw dictionary: the more the size falls, the more of its wording the notice explains.
-The notices that explain most are compared word by word with the block, and the first whose wording is there, but for a few
-words that do not name the license, is the finding. So is every other notice whose wording is there in a window around a cue
-word that is little longer than the notice, however much text stands before and after it on the line.
+Around each cue word, windows little longer than each notice are compared word by word with it, across lines and paragraphs:
+every notice whose wording is there, but for a few words that do not name the license, is a finding, however much text stands
+before and after it and wherever its lines are broken. Candidate blocks, for notices with more words put in between, are lines
+with a cue word, and paragraphs with cue words on several lines. Each is compressed by zstandard alone and once with every
+notice as a raw dictionary: the more the size falls, the more of its wording the notice explains. All notices that explain
+enough are compared word by word with the block.
 """
 
 from __future__ import annotations
@@ -55,9 +56,11 @@ NOTICES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
-CUES = re.compile(rb"licen[sc]|copyright|public domain|creative commons|permission|redistribut|free software", re.I)
+_GAP = rb"[\s*#/;%!|<>-]+"  # a line may end between two words
+CUES = re.compile(
+    rb"licen[sc]|copyright|public" + _GAP + rb"domain|creative" + _GAP + rb"commons|permission|redistribut|free" + _GAP + rb"software", re.I)
 
-RANKED = 4  # notices whose wording is compared, those that explain most
+RANKED = len(NOTICES)  # notices whose wording is compared, those that explain most: all that explain enough
 LEAST_SHARE = 0.2  # of a block's compressed size
 SPARE = 10  # one word in so many of a notice may be missing or different
 BETWEEN = 4  # words that a window holds beside the notice's own, and one more for so many of these
@@ -68,7 +71,7 @@ _BYTE_WORD = re.compile(rb"[^\s]+")
 
 
 def _word(written: str) -> str:
-    return written.strip(".,;:()\"'“”*#/").lower()
+    return written.strip(".,;:()\"'“”*#/-<>!%|").lower()  # comment signs before wrapped lines too
 
 
 def _words(text: str) -> list[str]:
@@ -87,6 +90,11 @@ def naming(word: str) -> bool:
 
 def blocks(text: bytes) -> list[tuple[int, bytes]]:
     """(first line, block) of candidate lines and paragraphs; lines are parted by line feeds, paragraphs by blank lines."""
+    return [(first, block) for first, _, block in _candidates(text)]
+
+
+def _candidates(text: bytes) -> list[tuple[int, int, bytes]]:
+    """The same with the last line; a paragraph reaches from its first to its last line with a cue and comes after its lines."""
     if not CUES.search(text):
         return []
     found, paragraph = [], []
@@ -94,12 +102,12 @@ def blocks(text: bytes) -> list[tuple[int, bytes]]:
         if line and not line.isspace():
             paragraph.append((i, line))
             if CUES.search(line):
-                found.append((i, line))
+                found.append((i, i, line))
         else:
             if sum(CUES.search(x) is not None for _, x in paragraph) > 1:
                 first = next(k for k, (_, x) in enumerate(paragraph) if CUES.search(x))
                 last = max(k for k, (_, x) in enumerate(paragraph) if CUES.search(x))
-                found.append((paragraph[first][0], b" ".join(x for _, x in paragraph[first: last + 1])))
+                found.append((paragraph[first][0], paragraph[last][0], b" ".join(x for _, x in paragraph[first: last + 1])))
             paragraph = []
     return found
 
@@ -159,30 +167,48 @@ class Scanner:
         self.needs = [(frozenset(w), frozenset(filter(naming, w)), len(w) // SPARE) for w in self.wants]
         self.widths = [len(w) + BETWEEN + len(w) // BETWEEN for w in self.wants]
         self.reach = max(self.widths)
-        self.seen: dict[bytes, tuple | None] = {}
+        self.seen: dict[bytes, list[tuple]] = {}
 
     def scan(self, block: bytes) -> tuple[str, float, int, str] | None:
-        """(license, share of the size that its notice saves, changed words, differences) of a block, or None."""
+        """The finding of in_block with the fewest changed words, or None."""
+        return min(self.in_block(block), key=lambda hit: hit[2], default=None)
+
+    def in_block(self, block: bytes) -> list[tuple[str, float, int, str]]:
+        """(license, share of the size that its notice saves, changed words, differences) of a block, one per license."""
         if block not in self.seen:
             if len(self.seen) >= 10_000:
                 self.seen.clear()
-            self.seen[block] = self._scan(block)
+            self.seen[block] = self._in_block(block)
         return self.seen[block]
 
-    def _scan(self, block: bytes) -> tuple[str, float, int, str] | None:
+    def _in_block(self, block: bytes) -> list[tuple[str, float, int, str]]:
         text = block.decode(errors="replace")
         plain = " ".join(text.lower().split()).encode()
         size = len(self.alone.compress(plain))
         saved = [(1 - len(c.compress(plain)) / size, -k) for k, c in enumerate(self.given)]
-        best = None
+        found: dict[str, tuple] = {}
         for share, k in sorted(saved, reverse=True)[:RANKED]:
             if share < LEAST_SHARE:
                 break
             license_, notice = self.notices[-k]
             changed, shown, named = differences(text, notice)
-            if not named and changed * SPARE <= len(_words(notice)) and (best is None or changed < best[2]):
-                best = (license_, share, changed, "; ".join(shown))
-        return best
+            if not named and changed * SPARE <= len(_words(notice)) and (license_ not in found or changed < found[license_][2]):
+                found[license_] = (license_, share, changed, "; ".join(shown))
+        return list(found.values())
+
+    def findings(self, text: bytes) -> list[tuple[int, str, float, int, str]]:
+        """(line, license, share, changed words, differences) of a text, one per line and license."""
+        if not CUES.search(text):
+            return []
+        found: dict[tuple[int, str], tuple] = {}
+        windows = self.in_windows(text)
+        for line, last, block in _candidates(text):
+            for license_, *rest in self.in_block(block):
+                if last == line or not any(a == license_ and line <= i <= last for i, a in (*found, *(w[:2] for w in windows))):
+                    found[line, license_] = tuple(rest)
+        for line, license_, *rest in windows:
+            found.setdefault((line, license_), tuple(rest))
+        return [(*key, *value) for key, value in sorted(found.items())]
 
     def in_windows(self, block: bytes) -> list[tuple[int, str, float, int, str]]:
         """(line, license, share of the notice's own stretch that is saved, changed words, differences), one per line and license."""
@@ -234,12 +260,9 @@ def _scan(keep: list[str]):
         for part, texts in chunked(batches):
             at, found = [], []
             for i, text in enumerate(texts):
-                for line, block in blocks(text):
-                    hit = scanner.scan(block)
-                    hits = [hit] if hit else []
-                    hits += [other for _, *other in scanner.in_windows(block) if not hit or other[0] != hit[0]]
-                    at += [i] * len(hits)
-                    found += [(line, *h) for h in hits]
+                hits = scanner.findings(text)
+                at += [i] * len(hits)
+                found += hits
             rows = part.take(pa.array(at, pa.int64()))
             kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.string())
             made = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
@@ -249,13 +272,13 @@ def _scan(keep: list[str]):
 
 
 def license_findings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`keep`, line, license, saved, n_changed and differences of each block of docs (text) that holds a license notice.
+    """`keep`, line, license, saved, n_changed and differences of each license notice in docs (text).
 
-    line is the block's first line, from 0; a notice on one line of a paragraph with several cue lines may be found in both. A text
-    may hold any number of findings; null and empty texts, and texts without a notice, have none. Among notices that explain a
-    block equally well the first listed wins; other licenses in windows of the block have a row each. saved is the share of the
-    block's compressed size, or of the notice's own stretch where it is found by a window. Rows that repeat give repeated rows.
-    Other columns of docs are not looked at.
+    line is the line on which the notice begins, from 0, or the first cue line of the paragraph for a notice with so many words
+    put in between that no window holds it. A line has one row for each license whose notices begin on it, and a text any number
+    of findings; null and empty texts, and texts without a notice, have none. Among notices of a license that explain a block
+    equally well the first listed wins. saved is the share of the line's compressed size, or of the notice's own stretch where
+    it is found by a window. Rows that repeat give repeated rows. Other columns of docs are not looked at.
     """
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return docs.select(*keep, "text").mapInArrow(

@@ -70,3 +70,38 @@ def test_table_of_notices_behind_other_text(docs_of):
     rows = [(i, PROSE.decode() * 3 + n) for i, (_, n) in enumerate(NOTICES)]
     found = license_findings(docs_of(rows)).collect()
     assert sorted((r["doc_id"], r["line"], r["license"]) for r in found) == [(i, 0, x) for i, (x, _) in enumerate(NOTICES)]
+
+
+@pytest.mark.parametrize("license_, notice", NOTICES)
+def test_notice_wrapped_anywhere(license_, notice):
+    scanner, words = Scanner(), notice.split()
+    for sign in ("", "# ", " * ", "-- "):
+        for k in range(1, len(words)):
+            text = f"first line\n{sign}{' '.join(words[:k])}\n{sign}{' '.join(words[k:])}\nlast line"
+            assert {(f[0], f[1]) for f in scanner.findings(text.encode()) if f[0] == 1} == {(1, license_)}
+    text = "Copyright 2020 someone\n\n" + "\n".join(words) + "\n\nend"
+    assert (2, license_) in [f[:2] for f in scanner.findings(text.encode())]
+
+
+def test_headers_as_they_are_wrapped(docs_of):
+    gpl = """Copyright (C) 2020 someone
+
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+    apache = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+    both = "Released under the MIT License. Parts of it are licensed under the Apache License, Version 2.0.\nThe text is licensed under CC BY 4.0."
+    found = license_findings(docs_of([(1, gpl), (2, gpl.replace("version 3", "version 2")), (3, bsd), (4, apache), (5, both)])).collect()
+    assert sorted((r["doc_id"], r["line"], r["license"]) for r in found) == [
+        (1, 2, "GPL-3.0"), (2, 2, "GPL-2.0"), (3, 0, "BSD-2-Clause"), (4, 0, "Apache-2.0"), (5, 0, "Apache-2.0"), (5, 0, "MIT"), (5, 1, "CC-BY-4.0")]
