@@ -5,6 +5,9 @@ at these positions, hashed, are a seed. Items give seeds from every position, te
 place up to MISSES differing words in a window, and for either parity, some mask at some offset misses all of them (a
 test runs through all cases), so every leak shares a seed. Seeds meet in a join; each hit names a diagonal, on which the
 words of text and item are compared one by one.
+
+Items shorter than a window are windows of their own. With short_items they may differ in as many words in proportion, and
+give one seed more than that, from pieces that share no word: one of them is unchanged in every leak.
 """
 
 from __future__ import annotations
@@ -19,12 +22,17 @@ MISSES = 2
 STEP = 2
 MASKS = ((0, 3, 4, 7, 8), (0, 1, 3, 4, 5), (0, 1, 6, 7, 8))
 LEAST_WORDS = 5
+# Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana and Han. The first range lets other letters pass quickly.
+UNSPACED = (
+    r"(?=[\u0e00-\x{3ffff}])[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3040-\u30ff\u31f0-\u31ff"
+    r"\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3ffff}]")
 BROADCAST_SEEDS = 1_000_000  # item seeds that are sent to all tasks; more are joined by shuffling
 
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of the text's words: runs of letters and digits, lower-cased."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+def word_hashes(text: Column, characters: bool = False) -> Column:
+    """Hashes of the text's words: runs of letters and digits, lower-cased; of scripts without spaces each character, if asked for."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    words = F.split(F.regexp_replace(lower, UNSPACED, " $0 ") if characters else lower, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -67,15 +75,25 @@ def _joined(texts: DataFrame, items: DataFrame, on: str) -> DataFrame:
     return texts.join(F.broadcast(items) if few else items, on)
 
 
+def _pieces(items: DataFrame) -> DataFrame:
+    """(item, at, size, seed) of the items: misses + 1 pieces of words, as long as each other but for a word."""
+    pieces = F.col("misses") + 1
+    cut = lambda k: F.floor(F.col("n") * k / pieces).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.col("misses")), lambda k: F.struct(cut(k).alias("at"), (cut(k + 1) - cut(k)).alias("size")))
+    return items.select("item", "h", F.explode(parts).alias("p")).select(
+        "item", "p.at", "p.size", F.xxhash64(F.slice("h", F.col("p.at") + 1, F.col("p.size"))).alias("seed"))
+
+
 def _diagonals(rows: DataFrame, items: DataFrame) -> DataFrame:
     """(row_key, item, diagonal) of all seed hits; the diagonal is the text position that meets the item's first word."""
     hits = _joined(_text_seeds(rows), stash(_item_seeds(items)).withColumnRenamed("at", "item_at"), "seed").select(
         "row_key", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
-    short = stash(items.filter((F.col("n") < WINDOW) & (F.col("n") >= LEAST_WORDS)).select("item", "n", F.xxhash64("h").alias("seed")))
-    lengths = [r["n"] for r in short.select("n").distinct().collect()]  # at most WINDOW - LEAST_WORDS values
-    for n in sorted(lengths):
-        found = rows.select("row_key", F.posexplode(_spans(n)).alias("diagonal", "seed"))
-        hits = hits.unionByName(_joined(found, short.filter(F.col("n") == n).drop("n"), "seed").select("row_key", "item", "diagonal"))
+    short = stash(_pieces(items.filter(F.col("n") < WINDOW)))
+    sizes = [r["size"] for r in short.select("size").distinct().collect()]  # fewer than WINDOW values
+    for n in sorted(sizes):
+        found = rows.select("row_key", F.posexplode(_spans(n)).alias("pos", "seed"))
+        hits = hits.unionByName(_joined(found, short.filter(F.col("size") == n).drop("size"), "seed").select(
+            "row_key", "item", (F.col("pos") - F.col("at")).alias("diagonal")))
     return hits.distinct()
 
 
@@ -90,23 +108,28 @@ def _overlap(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("same", same).withColumn("overlap", F.coalesce(F.size(inside), F.lit(0)))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, keep: str = "doc_id") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, keep: str = "doc_id", short_items: bool = False) -> DataFrame:
     """`keep`, item_id, item_words and overlap_words of each pair of a row of docs (text) and an item (item_id, text) it leaks.
 
     overlap_words counts the item's words inside matching windows, on the diagonal that has most. An item shorter than a
-    window leaks where it stands whole and unchanged; items with fewer than LEAST_WORDS words are not searched. Null and empty
-    texts leak nothing; an id that stands on several rows, in either table, gives one row per pair with the largest overlap. Without
+    window leaks where it stands whole and unchanged; items with fewer than LEAST_WORDS words are not searched. With short_items
+    an item of n < WINDOW words, however few, may differ in n * MISSES / WINDOW of them, rounded down, and in scripts without
+    spaces each character counts as a word. Null and empty texts leak nothing; an id that stands on several rows, in either table, gives one row per pair with the largest overlap. Without
     items or texts there are no rows. Other columns of both tables are not looked at.
     """
     rows = docs.select(F.col(keep).alias("id"), "text", F.xxhash64(keep, "text").alias("row_key"))
+    words = word_hashes(F.col("text"), short_items)
+    fewer = F.floor(F.col("n") * MISSES / WINDOW).cast("int") if short_items else F.lit(0)
+    misses = F.when(F.col("n") < WINDOW, fewer).otherwise(MISSES)
     items = stash(
-        benchmark.select("item_id", word_hashes(F.col("text")).alias("h")).withColumn("n", F.size("h"))
+        benchmark.select("item_id", words.alias("h")).withColumn("n", F.size("h"))
+        .filter(F.col("n") >= (1 if short_items else LEAST_WORDS)).withColumn("misses", misses)
         .withColumn("item", F.xxhash64("item_id", "h")).dropDuplicates(["item"]))
-    hashed = rows.select("row_key", word_hashes(F.col("text")).alias("h"))
+    hashed = rows.select("row_key", words.alias("h"))
     diagonals = stash(_diagonals(hashed, items))
     keys = stash(diagonals.select("row_key").distinct())
-    texts = rows.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"]).select("id", "row_key", word_hashes(F.col("text")).alias("h"))
-    pairs = diagonals.join(items.select("item", "item_id", "n", F.col("h").alias("item_h")), "item").join(texts, "row_key")
-    pairs = pairs.withColumn("width", F.least("n", F.lit(WINDOW))).withColumn("misses", F.when(F.col("n") < WINDOW, 0).otherwise(MISSES))
+    texts = rows.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"]).select("id", "row_key", words.alias("h"))
+    pairs = diagonals.join(items.select("item", "item_id", "n", "misses", F.col("h").alias("item_h")), "item").join(texts, "row_key")
+    pairs = pairs.withColumn("width", F.least("n", F.lit(WINDOW)))
     return _overlap(pairs).filter("overlap > 0").groupBy(F.col("id").alias(keep), "item_id").agg(
         F.max(F.col("n").cast("long")).alias("item_words"), F.max(F.col("overlap").cast("long")).alias("overlap_words"))

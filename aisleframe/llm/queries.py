@@ -48,7 +48,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """Documents that leak no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    leaking = stash(leaks(rows.select("row_key", "text"), benchmark, keep="row_key").select("row_key").distinct())
+    leaking = stash(leaks(rows.select("row_key", "text"), benchmark, keep="row_key", short_items=True).select("row_key").distinct())
     return rows.join(leaking, "row_key", "left_anti").select(*COLUMNS)
 
 
