@@ -5,7 +5,8 @@ its density is characters per tag, adjusted by how much of the text is link text
 density sum adds the densities of its children. The node with the largest sum marks the body: the smallest density on
 its path to the root is the threshold, and the subtrees beside the path that are as dense are main text as well, in page order.
 Elements that carry no text of their own by their kind or name (menus, forms, notices, comments, ...) are left out of
-the tree before the counts, and so are the subtrees of the main node that hold mostly link text.
+the tree before the counts, and so are the subtrees of the main node that hold mostly link text. A form, and an element left
+out for its name only, stays if it holds most of the page's text outside links; its controls go.
 """
 
 from __future__ import annotations
@@ -42,7 +43,14 @@ NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar\w*|header|footer|masthead|"
     r"cookies?\w*|consent\w*|gdpr|notices?|popup\w*|modal\w*|newsletter\w*|subscribe\w*|subscription|signup|login|comments?\w*|"
     r"disqus\w*|respond|repl(?:y|ies)|share\w*|social\w*|related\w*|recommend\w*|widgets?\w*|pagination|pager|toolbar|"
-    r"skip-?links?|copyright|legal|disclaimer|tags?|teasers?)(?:$|[\s_-])", re.I)
+    r"skip-?links?|copyright|legal|disclaimer|tags?(?![_-])|teasers?)(?:$|[\s_-])", re.I)
+# Words that say what a page or article has or is about, as in class="with-sidebar" or "category-menus".
+_STATE = re.compile(r"(?:^|(?<=\s))(?:with|without|has|have|no|not|is|hide|show|tag|category|cat|type|format|status)[_-]\S*", re.I)
+# Names of elements that are never the article, whatever they hold.
+_NEVER = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|cookies?\w*|consent\w*|gdpr|comments?\w*|disqus\w*|respond|repl(?:y|ies))(?:$|[\s_-])", re.I)
+# Kinds of elements that may be wrapped around a whole page.
+_WRAPPERS = frozenset("form fieldset".split())
 
 HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 SHORTER = 8  # so many times less text per tag has a block of paragraphs that still belongs to the body
@@ -65,26 +73,60 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _unwanted(name: str, attributes: str) -> bool:
-    if name in LEFT_OUT:
-        return True
+def _unwanted(name: str, attributes: str) -> int:
+    """0 for an element that may hold an article, 2 for one that can't, 1 for one that does only if it holds most of the page."""
+    if name in LEFT_OUT and name not in _WRAPPERS:
+        return 2
+    found = int(name in _WRAPPERS)
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return found
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and NAMES.search(_TITLE.sub(" ", value)) or key == "role" and value.lower() in ROLES:
-            return True
+        if key in ("class", "id"):
+            named = _STATE.sub(" ", _TITLE.sub(" ", value))
+            if NAMES.search(named):
+                found = max(found, 2 if _NEVER.search(named) else 1)
+        if key == "role" and value.lower() in ROLES:
+            found = max(found, 1 if value.lower() == "form" else 2)
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return 2
         if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+            return 2
+    return found
+
+
+class Skipped:
+    """The open elements inside an unwanted one, and the text outside links and inner elements that can't hold an article."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int, int, int]] = []  # name, kind, position in the page, `chars` at the start
+        self.closed = self.chars = 0  # links and elements of kind 2 that are open; characters
+        self.sizes: list[tuple[int, int]] = []  # position and characters of elements of kind 1
+
+    def push(self, name: str, kind: int, at: int) -> None:
+        self.open.append((name, kind, at, self.chars))
+        self.closed += kind == 2 or name == "a"
+
+    def pop(self, to: int) -> None:
+        while len(self.open) > to:
+            name, kind, at, before = self.open.pop()
+            self.closed -= kind == 2 or name == "a"
+            if kind == 1:
+                self.sizes.append((at, self.chars - before))
+
+    def text(self, text: str) -> None:
+        if not self.closed:
+            self.chars += len("".join(html.unescape(text).split()))
+
+    def last(self, name: str) -> int:
+        return next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == name), -1)
 
 
-def parse(page: str) -> Node:
-    """The element tree without unwanted elements; unclosed and stray tags are mended as the HTML standard does for common cases."""
+def parse(page: str, stay: frozenset[int] = frozenset()) -> tuple[Node, Skipped]:
+    """The element tree without unwanted elements, but for those at the positions `stay`, and what was skipped; unclosed and stray
+    tags are mended as the HTML standard does for common cases."""
     root = node = Node("html", None)
-    skip: list[str] = []  # open elements inside an unwanted one
+    skip = Skipped()
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
@@ -92,17 +134,21 @@ def parse(page: str) -> Node:
         name = token.group(2)
         if name is None:
             text = token.group()
-            if not skip and not (text.startswith("<") and len(text) > 1):
-                node.children.append(html.unescape(text))
+            if not (text.startswith("<") and len(text) > 1):
+                if skip.open:
+                    skip.text(text)
+                else:
+                    node.children.append(html.unescape(text))
             continue
         name = name.lower()
         if token.group(1):
-            if skip:
-                if name in skip:
-                    del skip[len(skip) - 1 - skip[::-1].index(name):]
+            if skip.open:
+                inside = skip.last(name)
+                if inside >= 0:
+                    skip.pop(inside)
                 elif name in ("article", "main", "body", "html"):
-                    skip.clear()  # an unclosed unwanted element ends with what it stands in
-                if skip or name not in ("article", "main", "body", "html"):
+                    skip.pop(0)  # an unclosed unwanted element ends with what it stands in
+                if skip.open or name not in ("article", "main", "body", "html"):
                     continue
             up = node
             while up is not None and up.name != name:
@@ -117,17 +163,18 @@ def parse(page: str) -> Node:
             if not token.group(3).rstrip().endswith("/") or name not in ("svg", "math"):
                 at = close.end() if close else end
             continue
-        if skip:
+        if skip.open:
             if name not in VOID:
-                if name == "p" and skip[-1] == "p" or name == "li" and skip[-1] == "li":
+                if name in ("p", "li") and skip.open[-1][0] == name:
                     continue
-                skip.append(name)
+                skip.push(name, _unwanted(name, token.group(3)), token.start())
             continue
         if name in CLOSES_P or name in ENDS_WITH_NEXT:
             node = _close_implied(node, name)
-        if _unwanted(name, token.group(3)):
+        kind = _unwanted(name, token.group(3))
+        if kind == 2 or kind and token.start() not in stay:
             if name not in VOID:
-                skip.append(name)
+                skip.push(name, kind, token.start())
             continue
         if name in ("html", "body", "head"):
             continue
@@ -135,7 +182,8 @@ def parse(page: str) -> Node:
         node.children.append(child)
         if name not in VOID and not (token.group(3).endswith("/") and name not in BLOCKS):
             node = child
-    return root
+    skip.pop(0)
+    return root, skip
 
 
 def _close_implied(node: Node, name: str) -> Node:
@@ -295,8 +343,14 @@ def main_text(page: str) -> str:
     """The main text of one page: blocks in page order, one line each; empty for a page without text."""
     if not page:
         return ""
-    nodes = _order(parse(page))
+    root, skip = parse(page)
+    nodes = _order(root)
     _weigh(nodes)
+    whole = root.chars - root.link_chars + skip.chars
+    stay = frozenset(at for at, chars in skip.sizes if chars * 2 > whole)
+    if stay:
+        nodes = _order(parse(page, stay)[0])
+        _weigh(nodes)
     if not nodes[0].chars:
         return ""
     return _blocks(*_main(nodes))

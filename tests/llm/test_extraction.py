@@ -87,3 +87,21 @@ def test_article_in_several_blocks(name, heading, wrapped):
     page = f"<body><div>{menu}</div><div id=c>{article}</div><div><ul><li><a href=x>Some other story</a></ul></div><div>&copy; 2020 Example</div></body>"
     assert main_text(page).split("\n") == lines
     assert main_text(f"<body><div id=c>{article}</div></body>").split("\n") == lines
+
+
+@pytest.mark.parametrize("attributes", [
+    "class='content with-sidebar'", "class='has-header'", "class='post-12 post type-post tag-python category-menu'", "class=widget", "id=legal class=notice",
+    "class='page-header'"])
+@pytest.mark.parametrize("inner", ["", "<div class=text>"])
+def test_names_around_the_article(attributes, inner):
+    close = "</div>" if inner else ""
+    page = f"<body><div class=nav><a href=x>Home</a></div><div {attributes}>{inner}<h1>Title</h1>{BODY}{close}<div class='comments'>{COMMENT * 5}</div></div><div id=footer>All rights</div></body>"
+    assert main_text(page).split("\n") == LINES
+
+
+def test_forms_around_the_page():
+    controls = "<input name=q><select><option>One<option>Two</select><button>Search now</button><label>Your name</label><textarea>t</textarea>"
+    small = "<form><input><p>Subscribe now</p></form>"
+    for inside in (f"{controls}<div><h1>Title</h1>{BODY}</div>", f"<fieldset class=widget><div><h1>Title</h1>{BODY}</div>{controls}</fieldset>"):
+        assert main_text(f"<body><form id=aspnetForm method=post><div class=nav><a>Home</a></div>{inside}</form>{small}</body>").split("\n") == LINES
+    assert main_text("<form><nav>a b c</nav></form>") == ""
