@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
 Every stage is a function of (spark, docs, sf_dir); all but the last return the columns of documents. A document is a row:
-rows that repeat an id are judged each by itself, but for the near-duplicate stage, which sees equal texts as copies.
+rows that repeat an id are judged each by itself.
 
 A stage's intermediate tables are deleted when a later stage begins, as its result has been written by then.
 """
@@ -44,14 +44,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @_stage
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 80 percent): the one with the smallest id, once."""
-    groups = near_duplicate_groups(docs)
-    gone = stash(groups.filter("doc_id != component_id").select("doc_id").distinct())
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    several = stash(kept.groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1 and doc_id is not null").select("doc_id"))
-    first = kept.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*")
-    return kept.join(several, "doc_id", "left_anti").select(*COLUMNS).unionByName(first.select(*COLUMNS))
+    """One row of each group of near duplicates (five words, 80 percent): one with the smallest id, null ids last.
+
+    Rows are told apart by a key of all their columns, so rows that share an id but not a text go only where they are linked
+    themselves, and rows without an id like any others. Rows without words link with nothing and stay.
+    """
+    rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64(*COLUMNS))
+    groups = near_duplicate_groups(rows.select(F.col("row_key").alias("doc_id"), "text")).filter("n_shingles > 0").groupBy(
+        F.col("doc_id").alias("row_key"), "component_id").agg(F.count("*").alias("k"))
+    ids = rows.groupBy("row_key").agg(F.min("doc_id").alias("doc_id"))
+    groups = stash(groups.join(ids, "row_key"))
+    first = groups.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))["row_key"].alias("first"))
+    marked = stash(groups.join(first, "component_id").select("row_key", "k", (F.col("row_key") == F.col("first")).alias("stays")))
+    kept = rows.join(marked.filter("not stays").select("row_key"), "row_key", "left_anti")
+    several = marked.filter("stays and k > 1").select("row_key")
+    once = kept.join(several, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return kept.join(several, "row_key", "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 @_stage

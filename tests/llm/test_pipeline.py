@@ -96,3 +96,13 @@ def test_empty_table(spark, docs_of, folder):
 def test_registered():
     assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11)) and SQL.keys() <= QUERIES.keys()
     assert len(P.STAGES) == 5
+
+
+def test_near_duplicates_go_by_row(spark, docs_of):
+    rng = random.Random(31)
+    a, b, c, d, e, f = (clean(rng, 80) for _ in range(6))
+    rows = [(1, a), (5, a + " more"), (5, b), (5, c), (6, d), (6, d), (None, e), (None, e + " more"), (None, f), (None, c), (8, ""), (8, "")]
+    found = P.ngram_jaccard_join(spark, docs_of(rows).select(*COLUMNS), "").collect()
+    texts = sorted(((r["doc_id"], r["text"]) for r in found), key=str)
+    either = (None, e) if (None, e) in texts else (None, e + " more")
+    assert texts == sorted([(1, a), (5, b), (5, c), (6, d), either, (None, f), (8, ""), (8, "")], key=str)
