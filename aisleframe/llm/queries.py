@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aisleframe.llm import sql
+from aisleframe.llm.collocations import collocations
 from aisleframe.llm.decontamination import leaks
 from aisleframe.llm.encoding import encode
 from aisleframe.llm.extraction import extract_pages
@@ -63,6 +64,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -74,10 +79,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_phrase_mining": op12_phrase_mining,
 }
 SQL: dict[str, str] = {
     "op2_url_filter": sql.URL_FILTER,
     "op5_ngram_jaccard": sql.NGRAM_JACCARD,
     "op7_decontamination": sql.DECONTAMINATION,
     "op10_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op12_phrase_mining": sql.COLLOCATIONS,
 }

@@ -78,3 +78,24 @@ ok AS (SELECT * FROM win WHERE len(list_filter(js, lambda x: x >= s AND x < s +
 cov AS (SELECT doc_id, item_id, d, any_value(n) AS n, count(DISTINCT p) AS c FROM (
   SELECT *, unnest(range(s, s + width)) AS p FROM ok) GROUP BY doc_id, item_id, d)
 SELECT doc_id, item_id, max(n) AS item_words, max(c) AS overlap_words FROM cov GROUP BY doc_id, item_id"""
+
+_PIECES = (
+    "regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[.,;:!?\\x0A-\\x0D]')")
+COLLOCATIONS = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS p FROM documents),
+ws AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS ws FROM piece),
+total AS (SELECT lang, sum(len(ws)) AS n FROM ws GROUP BY lang),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g
+  FROM ws, (VALUES (1), (2), (3)) sizes(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT c.*, x.f AS l, y.f AS r, at, CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS at FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.g = array_to_string(w[1:at], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(w[at + 1:], ' ')),
+weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, at) = 1),
+inside AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS g, max(a) AS most FROM (SELECT *, unnest([1, 2]) AS i FROM cand WHERE k = 3) GROUP BY ALL),
+ranked AS (SELECT weakest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+  FROM weakest LEFT JOIN inside USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
