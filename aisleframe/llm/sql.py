@@ -90,10 +90,10 @@ grams AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambd
   FROM ws, (VALUES (1), (2), (3)) sizes(k) WHERE len(ws) >= k),
 f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
 cand AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1),
-cut AS (SELECT c.*, x.f AS l, y.f AS r, at, CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS score
-  FROM (SELECT *, unnest(range(1, k)) AS at FROM cand) c
-  JOIN f x ON x.lang = c.lang AND x.g = array_to_string(w[1:at], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(w[at + 1:], ' ')),
-weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, at) = 1),
+cut AS (SELECT c.*, x.f AS l, y.f AS r, cut_k, CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut_k FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.g = array_to_string(w[1:cut_k], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(w[cut_k + 1:], ' ')),
+weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut_k) = 1),
 inside AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS g, max(a) AS most FROM (SELECT *, unnest([1, 2]) AS i FROM cand WHERE k = 3) GROUP BY ALL),
 ranked AS (SELECT weakest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
   FROM weakest LEFT JOIN inside USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a)
