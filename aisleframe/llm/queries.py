@@ -11,6 +11,7 @@ from aisleframe.llm.collocations import collocations
 from aisleframe.llm.decontamination import leaks
 from aisleframe.llm.encoding import encode
 from aisleframe.llm.extraction import extract_pages
+from aisleframe.llm.lexical_search import ranked_documents
 from aisleframe.llm.license_scan import license_findings
 from aisleframe.llm.lm_score import score_texts
 from aisleframe.llm.ngram_join import near_duplicate_groups
@@ -64,6 +65,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_lexical_search": op11_lexical_search,
     "op12_phrase_mining": op12_phrase_mining,
 }
 SQL: dict[str, str] = {
@@ -86,5 +92,6 @@ SQL: dict[str, str] = {
     "op5_ngram_jaccard": sql.NGRAM_JACCARD,
     "op7_decontamination": sql.DECONTAMINATION,
     "op10_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op11_lexical_search": sql.LEXICAL_SEARCH,
     "op12_phrase_mining": sql.COLLOCATIONS,
 }

@@ -99,3 +99,18 @@ ranked AS (SELECT weakest.*, row_number() OVER (PARTITION BY lang ORDER BY score
   FROM weakest LEFT JOIN inside USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a)
 SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
   CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS ts FROM documents),
+total AS (SELECT count(*) AS n, sum(len(ts)) AS l FROM d WHERE len(ts) > 0),
+tf AS (SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(ts) AS t FROM d) GROUP BY ALL),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, total GROUP BY t),
+m AS (SELECT row, doc_id, 100 - 50 + (CAST(50 AS HUGEINT) * len(ts) * n) // l AS m FROM d, total),
+scored AS (SELECT item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+  FROM wanted JOIN tf USING (t) JOIN w USING (t) JOIN m USING (row) GROUP BY ALL HAVING score > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM scored QUALIFY rank <= 50"""
