@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aisleframe.llm import sql
 from aisleframe.llm.collocations import collocations
 from aisleframe.llm.decontamination import leaks
 from aisleframe.llm.encoding import encode
 from aisleframe.llm.extraction import extract_pages
+from aisleframe.llm.language_id import predict_languages
 from aisleframe.llm.lexical_search import ranked_documents
 from aisleframe.llm.license_scan import license_findings
 from aisleframe.llm.lm_score import score_texts
@@ -73,6 +75,11 @@ def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return predict_languages(_table(spark, sf_dir, "documents"), held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -86,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_lexical_search": op11_lexical_search,
     "op12_phrase_mining": op12_phrase_mining,
+    "op13_language_id": op13_language_id,
 }
 SQL: dict[str, str] = {
     "op2_url_filter": sql.URL_FILTER,
