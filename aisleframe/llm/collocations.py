@@ -231,18 +231,23 @@ def _scored(counted: DataFrame, within: int) -> DataFrame:
 def _first_rows(scored: DataFrame, top: int) -> DataFrame:
     """The rows that may be among a language's first: down to the score, and at that score the count, where `top` is reached.
 
-    Scores and counts are looked at as histograms: a language has at most a million and one different scores.
+    Found with histograms: a language has at most 1001 thousands of scores, then 1000 scores in the thousand where the
+    place lies, then the counts at that score.
     """
-    def cut(counts: DataFrame, by: str, room) -> DataFrame:
+    rows = scored.withColumn("tier", F.expr("score div 1000"))
+    reached = None
+    for by in ("tier", "score", "a"):
+        here = rows.select("lang", by, F.lit(0).alias("taken")) if reached is None else rows.join(reached, [c for c in reached.columns if c != "taken"]).select(
+            "lang", by, "taken", *[c for c in reached.columns if c not in ("lang", "taken")])
+        kept = [c for c in here.columns if c != by]
         upto = Window.partitionBy("lang").orderBy(F.desc(by))
-        return counts.withColumn("upto", F.sum("k").over(upto)).filter(F.col("upto") - F.col("k") < room)
-
-    scores = cut(scored.groupBy("lang", "score").agg(F.count("*").alias("k")), "score", top)
-    last = scores.groupBy("lang").agg(F.min("score").alias("last"), F.min_by(F.col("upto") - F.col("k"), "score").alias("taken"))
-    marked = scored.join(stash(last), "lang").filter(F.col("score") >= F.col("last"))
-    at_last = marked.filter(F.col("score") == F.col("last")).groupBy("lang", "a", "taken").agg(F.count("*").alias("k"))
-    least = stash(cut(at_last, "a", top - F.col("taken")).groupBy("lang").agg(F.min("a").alias("least")))
-    return stash(marked.join(least, "lang").filter((F.col("score") > F.col("last")) | (F.col("a") >= F.col("least"))).select(*scored.columns))
+        counts = stash(here.groupBy(*kept, by).agg(F.count("*").alias("k")))
+        counts = counts.withColumn("before", F.col("taken") + F.sum("k").over(upto) - F.col("k")).filter(F.col("before") < top)
+        at = [F.min(by).alias(by), F.min_by("before", by).alias("taken")]
+        reached = stash(counts.groupBy("lang", *[c for c in kept if c not in ("lang", "taken")]).agg(*at))
+    least = reached.select("lang", F.col("score").alias("last"), F.col("a").alias("least"))
+    enough = (F.col("score") > F.col("last")) | ((F.col("score") == F.col("last")) & (F.col("a") >= F.col("least")))
+    return stash(scored.join(least, "lang").filter(enough).select(*scored.columns))
 
 
 def _texts_of(bitmap: bytes):
