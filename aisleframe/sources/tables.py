@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from aisleframe.sources.commits import CommitLog, swap_folder
 
 # The columns of the deep-dive tables that the report model relies on.
 DEEP_DIVE_CONTRACT = {
@@ -26,12 +29,25 @@ DEEP_DIVE_CONTRACT = {
 
 
 def write_gold(tables: dict[str, DataFrame], dest: str) -> dict[str, DataFrame]:
-    """One Parquet folder per table, replacing what was there. Returns the written tables."""
-    written = {}
+    """One Parquet folder per table below ``dest``, which is replaced as a whole. Returns the written tables.
+
+    All tables are written beside ``dest`` first: a failed export leaves what was there, and tables of an earlier export that
+    are no longer made do not stay.
+    """
+    dest = dest.rstrip("/")
+    staged = f"{dest}.staged-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{dest}/{name}")
-        written[name] = df.sparkSession.read.parquet(f"{dest}/{name}")
-    return written
+        df.write.parquet(f"{staged}/{name}")
+    spark = next(iter(tables.values())).sparkSession
+    swap_folder(spark, staged, dest)
+    return {name: spark.read.schema(df.schema).parquet(f"{dest}/{name}") for name, df in tables.items()}
+
+
+def folder_names(spark: SparkSession, dest: str) -> list[str]:
+    """The tables that an export folder holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(dest)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -44,11 +60,12 @@ def _has_delta(spark: SparkSession) -> bool:
     return "delta" in (spark.conf.get("spark.sql.extensions", "") or "").lower()
 
 
-def publish(tables: dict[str, DataFrame], target: str) -> dict[str, int]:
+def publish(tables: dict[str, DataFrame], target: str, after: dict[str, int] | None = None) -> dict[str, int]:
     """Publish each table as a new version, the schema replaced; returns the version numbers, from 0.
 
-    A Delta table where the session has Delta. Otherwise each version is a Parquet folder, and readers follow
-    the table's log: a version is entered there only after its data is complete, so a failed write changes nothing.
+    A Delta table where the session has Delta. Otherwise each version's data has a folder of its own that an entry of the table's commit
+    log names. Publishers that meet get different versions and none is lost; ``after`` names versions that must still be the
+    latest, else CommitConflict. A failed write changes nothing.
     """
     versions = {}
     for name in sorted(tables):
@@ -58,26 +75,16 @@ def publish(tables: dict[str, DataFrame], target: str) -> dict[str, int]:
             df.write.format("delta").mode("overwrite").option("overwriteSchema", True).save(path)
             versions[name] = spark.sql(f"DESCRIBE HISTORY delta.`{path}` LIMIT 1").first()["version"]
             continue
-        version = latest_version(spark, path) + 1
-        # overwrite clears what a failed attempt at this same version may have left
-        df.write.mode("overwrite").parquet(f"{path}/data/v{version}")
-        spark.createDataFrame([(version,)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
-        versions[name] = version
+        data = f"data/{uuid.uuid4().hex}"
+        df.write.parquet(f"{path}/{data}")
+        entry = {"data": data, "schema": df.schema.jsonValue()}
+        versions[name] = CommitLog(spark, path).add(entry, None if after is None else after[name])
     return versions
 
 
-LOG_SCHEMA = "version bigint"
-
-
 def latest_version(spark: SparkSession, path: str) -> int:
-    """The highest version in a table's log, -1 where there is none."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log")
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in str(missing):
-            return -1
-        raise
-    return log.agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+    """The highest version of a published table, -1 where there is none."""
+    return CommitLog(spark, path).latest()
 
 
 def read_published(spark: SparkSession, target: str, name: str, version: int | None = None) -> DataFrame:
@@ -85,7 +92,9 @@ def read_published(spark: SparkSession, target: str, name: str, version: int | N
     if _has_delta(spark):
         reader = spark.read.format("delta")
         return (reader if version is None else reader.option("versionAsOf", version)).load(path)
-    return spark.read.parquet(f"{path}/data/v{latest_version(spark, path) if version is None else version}")
+    log = CommitLog(spark, path)
+    entry = log.read(log.latest() if version is None else version)
+    return spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(f"{path}/{entry['data']}")
 
 
 def read_contract(spark: SparkSession, folder: str, name: str, columns: list[str], only=None) -> DataFrame:

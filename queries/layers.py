@@ -13,8 +13,9 @@ from aisleframe.functions.columns import date_key
 from aisleframe.operators import checks, conform, deepdive, gold, silver, targets
 from aisleframe.plans import warehouse
 from aisleframe.sources import csvfiles, master, tables, weather
+from aisleframe.session import written
 from queries.sql_base import query
-from queries.stage import FINE, MID, Stage
+from queries.stage import FINE, MID, Stage, digest, digest_sql
 
 # key -> (grain, stage -> DataFrame, column spec, SQL or None)
 ENTRIES: dict[str, tuple] = {}
@@ -101,33 +102,62 @@ add("s6_schema_drift_guard", FINE, _drift, "variant:s stopped:b stores_read:i",
 SELECT variant, variant <> 'declared' AS stopped, CASE WHEN variant = 'declared' THEN (SELECT count(*) FROM st) ELSE 0 END AS stores_read
 FROM (VALUES ('declared'), ('extra column'), ('missing column'), ('renamed column')) v(variant)""")
 
-GOLD_COUNTS = """
-SELECT 'dim_date' AS "table", (SELECT count(*) FROM cal) AS "rows" UNION ALL SELECT 'stg_store', (SELECT count(*) FROM store)
-UNION ALL SELECT 'stg_item', (SELECT count(*) FROM it) UNION ALL SELECT 'stg_store_day', (SELECT count(*) FROM tx)
-UNION ALL SELECT 'fact_sales', (SELECT count(*) FROM sales) UNION ALL SELECT 'fact_stockout_risk', (SELECT count(*) FROM risk)"""
+DATE_SPEC = ("date_key:i date:d year:i quarter:i month_num:i month_name:s month_key:i iso_week:i iso_year:i weekday_num:i "
+             "weekday_name:s is_weekend:b is_national_holiday:b")
+STORE_SPEC = "store_key:i store_nbr:i city:s state:s store_type:s cluster:i opening_date:d"
+ITEM_SPEC = "item_key:i item_nbr:i family:s class:i is_perishable:b"
+RECEIPT_SPEC = "date_key:i store_key:i receipts:i"
+FACT_SPEC = "date_key:i store_key:i item_key:i units:2 return_units:2 on_promo:b post_promo_window:b baseline_units:6"
+RISK_SPEC = "date_key:i store_key:i item_key:i expected_units:2"
+STORE_SQL = "SELECT *, type AS store_type FROM store"
+RECEIPT_SQL = "SELECT strftime(date, '%Y%m%d')::INT AS date_key, store_nbr AS store_key, receipts FROM tx"
+FACT_SQL = "SELECT *, post_promo AS post_promo_window, baseline AS baseline_units FROM fs"
+GOLD_ROWS = {
+    "dim_date": (DATE_SPEC, "SELECT * FROM cal"), "stg_store": (STORE_SPEC, STORE_SQL),
+    "stg_item": (ITEM_SPEC, "SELECT * FROM item"), "stg_store_day": (RECEIPT_SPEC, RECEIPT_SQL),
+    "fact_sales": (FACT_SPEC, FACT_SQL), "fact_stockout_risk": (RISK_SPEC, "SELECT * FROM risk")}
+
+
+def _digests(found: dict[str, DataFrame], rows: dict[str, tuple[str, str]]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [digest(found[name], spec, name) for name, (spec, _) in rows.items()])
+
+
+def _digests_sql(rows: dict[str, tuple[str, str]]) -> str:
+    return " UNION ALL ".join(digest_sql(sql, spec, name) for name, (spec, sql) in rows.items())
 
 
 def _gold(s: Stage) -> dict[str, DataFrame]:
     return s.warehouse.tables(*warehouse.GOLD_TABLES)
 
 
-add("s7_write_gold_parquet", MID,
-    lambda s: tables.row_counts(tables.write_gold(_gold(s), s.scratch("gold"))), "table:s rows:i", GOLD_COUNTS)
+def _export_twice(s: Stage) -> DataFrame:
+    """The folder holds what the last export made: a table that only the first one had is gone."""
+    dest, gold_tables = s.scratch("gold"), _gold(s)
+    tables.write_gold({**gold_tables, "of_an_earlier_build": gold_tables["stg_store"]}, dest)
+    tables.write_gold(gold_tables, dest)
+    here = tables.folder_names(s.spark, dest)
+    return _digests({name: s.spark.read.parquet(f"{dest}/{name}") for name in here}, {n: GOLD_ROWS[n] for n in here})
+
+
+DIGEST_SPEC = "table:s rows:i digest:s"
+add("s7_write_gold_parquet", MID, _export_twice, DIGEST_SPEC, _digests_sql(GOLD_ROWS))
 
 
 def _publish_twice(s: Stage) -> DataFrame:
+    """Two publishers that both saw no version yet: the rows of each version as its readers find them."""
     target, gold_tables = s.scratch("published"), _gold(s)
-    tables.publish(gold_tables, target)
-    versions = tables.publish(gold_tables, target)
-    published = {name: tables.read_published(s.spark, target, name) for name in versions}
-    counts = tables.row_counts(published)
-    number = reduce(
-        lambda c, kv: F.when(F.col("table") == kv[0], kv[1]).otherwise(c), versions.items(), F.lit(None).cast("bigint"))
-    return counts.withColumn("version", number)
+    first = tables.publish(gold_tables, target)
+    only_stores = {**gold_tables, "fact_sales": gold_tables["fact_sales"].filter("on_promo")}
+    second = tables.publish(only_stores, target)
+    versions = [
+        _digests({name: tables.read_published(s.spark, target, name, of[name]) for name in of}, GOLD_ROWS)
+        .withColumn("version", F.lit(number)) for number, of in enumerate((first, second))]
+    return versions[0].unionByName(versions[1])
 
 
-add("s8_publish_tables", MID, _publish_twice, "table:s rows:i version:i",
-    f"SELECT *, 1 AS version FROM ({GOLD_COUNTS})")
+PROMO_ROWS = {**GOLD_ROWS, "fact_sales": (FACT_SPEC, f"SELECT * FROM ({FACT_SQL}) WHERE on_promo")}
+add("s8_publish_tables", MID, _publish_twice, f"{DIGEST_SPEC} version:i",
+    f"SELECT *, 0 AS version FROM ({_digests_sql(GOLD_ROWS)}) UNION ALL SELECT *, 1 FROM ({_digests_sql(PROMO_ROWS)})")
 
 
 def _master_tables(s: Stage) -> dict[str, DataFrame]:
@@ -143,7 +173,9 @@ def _load_master(s: Stage) -> DataFrame:
     for name, df in _master_tables(s).items():
         columns = [c.split()[0] for c in csvfiles.MASTER_SCHEMAS[name].split(", ")]
         csvfiles.write_csv(df.select(*columns), f"{folder}/{name}.csv")
-    return tables.row_counts(master.load_master(s.spark, folder, s.scratch("erp")))
+    dest = s.scratch("erp")
+    master.load_master(s.spark, folder, dest)
+    return _digests(master.read_loaded(s.spark, dest), MASTER_ROWS)
 
 
 ACCESS = """
@@ -161,12 +193,19 @@ geo AS (
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING')
   WHERE r = 1 AND city IN (SELECT city FROM store))"""
 
-add("s9_load_master_csv", MID, _load_master, "table:s rows:i", """
-SELECT 'region' AS "table", (SELECT count(*) FROM region) AS "rows" UNION ALL SELECT 'state_region', (SELECT count(*) FROM nation)
-UNION ALL SELECT 'store_profile', (SELECT count(DISTINCT s_nationkey) FROM supplier) UNION ALL SELECT 'item_price', (SELECT count(*) FROM it)
-UNION ALL SELECT 'weekday_weight', (SELECT count(*) FROM weights) UNION ALL SELECT 'sales_target_month', (SELECT count(*) FROM goal)
-UNION ALL SELECT 'city_geo', (SELECT count(*) FROM geo) UNION ALL SELECT 'weather_daily', (SELECT count(*) FROM weather)
-UNION ALL SELECT 'user_access', (SELECT count(*) FROM access)""", ACCESS + "," + GEO)
+MASTER_ROWS = {
+    "region": ("region_id:i region_name:s", "SELECT r_regionkey AS region_id, r_name AS region_name FROM region"),
+    "state_region": ("state:s region_id:i", "SELECT n_name AS state, n_regionkey AS region_id FROM nation"),
+    "store_profile": ("store_nbr:i selling_area_m2:i",
+                      "SELECT store_nbr, selling_area_m2 FROM st WHERE store_nbr IN (SELECT s_nationkey + 1 FROM supplier)"),
+    "item_price": ("item_nbr:i unit_price:2 unit_cost:2", "SELECT item_nbr, unit_price, unit_cost FROM item"),
+    "weekday_weight": ("store_nbr:i weekday_num:i weight:8", "SELECT store_key AS store_nbr, weekday_num, weight FROM weights"),
+    "sales_target_month": ("store_nbr:i month_start:d target_value:2", "SELECT store_key AS store_nbr, month_start, target_value FROM goal"),
+    "city_geo": ("city:s latitude:4 longitude:4 admin1:s", "SELECT * FROM geo"),
+    "weather_daily": ("city:s weather_date:d rain_mm:6 temp_max_c:6", "SELECT city, date AS weather_date, rain_mm, temp_max_c FROM weather"),
+    "user_access": ("user_principal_name:s store_nbr:i", "SELECT upn AS user_principal_name, store_key AS store_nbr FROM access"),
+}
+add("s9_load_master_csv", MID, _load_master, DIGEST_SPEC, _digests_sql(MASTER_ROWS), ACCESS + "," + GEO)
 
 
 def _contract(s: Stage) -> DataFrame:
@@ -216,22 +255,19 @@ add("p3_store_day", FINE,
 add("p4_national_holidays", FINE, lambda s: silver.national_holidays(s.feed.holidays_events()), "date:d", "SELECT * FROM hol")
 add("p5_stg_item", FINE, lambda s: silver.stg_item(s.feed.items()),
     "item_key:i item_nbr:i family:s class:i is_perishable:b", "SELECT * FROM item")
-add("p6_stg_store_day", FINE, lambda s: silver.stg_store_day(s.t("store_day")), "date_key:i store_key:i receipts:i",
-    "SELECT strftime(date, '%Y%m%d')::INT AS date_key, store_nbr AS store_key, receipts FROM tx")
+add("p6_stg_store_day", FINE, lambda s: silver.stg_store_day(s.t("store_day")), RECEIPT_SPEC, RECEIPT_SQL)
 
 # --- G: calendar, stores, baselines, stock-outs ----------------------------------------------------------------
 
 add("g1_dim_date", FINE, lambda s: gold.dim_date(s.t("sales"), s.t("store_day"), s.t("national_holidays")),
-    "date_key:i date:d year:i quarter:i month_num:i month_name:s month_key:i iso_week:i iso_year:i weekday_num:i "
-    "weekday_name:s is_weekend:b is_national_holiday:b", "SELECT * FROM cal")
+    DATE_SPEC, "SELECT * FROM cal")
 add("g2_is_national_holiday", FINE,
     lambda s: gold.dim_date(s.t("sales"), s.t("store_day"), s.t("national_holidays")).filter("is_national_holiday")
     .groupBy("year").agg(F.count(F.lit(1)).alias("holidays")), "year:i holidays:i",
     "SELECT year(date) AS year, count(*) AS holidays FROM hol, ends WHERE date BETWEEN lo AND hi GROUP BY 1")
 add("g3_stg_store", FINE,
     lambda s: gold.stg_store(s.feed.stores(), s.t("transactions"), s.feed.stores().select("store_nbr"), s.cfg),
-    "store_key:i store_nbr:i city:s state:s store_type:s cluster:i opening_date:d",
-    "SELECT *, type AS store_type FROM store")
+    STORE_SPEC, STORE_SQL)
 add("g4_trading_days", MID, lambda s: gold.trading_days(s.t("store_day"), s.cfg), "store_nbr:i date:d trading_days:i",
     "SELECT store_nbr, date, trading_days FROM trade")
 LOOK_SPEC = "date:d store_nbr:i item_nbr:i base_units_sum:2 promo_days_in_lookback:i promo_days_recent:i first_sale:d"
@@ -243,8 +279,6 @@ add("g6_post_promo_window", MID, lambda s: gold.sales_lookback(s.t("sales"), s.c
     "SELECT date, store_nbr, item_nbr, on_promo IS DISTINCT FROM true AND promos_7 > 0 AS post_promo_window FROM look")
 add("g7_has_full_history", MID, lambda s: gold.sales_lookback(s.t("sales"), s.cfg), f"{FLAG_KEYS} has_full_history:b",
     "SELECT date, store_nbr, item_nbr, date - first_sale >= 28 AS has_full_history FROM fact")
-FACT_SPEC = ("date_key:i store_key:i item_key:i units:2 return_units:2 on_promo:b post_promo_window:b baseline_units:6")
-FACT_SQL = "SELECT *, post_promo AS post_promo_window, baseline AS baseline_units FROM fs"
 for _tag, _grain in (("", MID), ("_by_part", FINE)):
     add(f"g8_fact_sales{_tag}", _grain, lambda s: gold.fact_sales(s.t("sales"), s.t("trading"), s.cfg), FACT_SPEC, FACT_SQL)
 add("g9_stockout_pairs", MID, lambda s: gold.stockout_pairs(s.t("sales"), s.cfg),
@@ -271,7 +305,6 @@ add("g13_expected_units", MID,
     "store_nbr:i item_nbr:i days:i lambda_sum:4 days_before_sales:i",
     """SELECT store_nbr, item_nbr, count(*) AS days, sum(prior_sum) / 28 AS lambda_sum,
          count(*) FILTER (next_sale <= date + 28) AS days_before_sales FROM scored WHERE nth > 28 GROUP BY ALL""")
-RISK_SPEC = "date_key:i store_key:i item_key:i expected_units:2"
 add("g14_fact_stockout_risk", MID, lambda s: gold.fact_stockout_risk(s.t("series"), s.cfg), RISK_SPEC, "SELECT * FROM risk")
 
 
@@ -435,8 +468,8 @@ add("c26_weights_sum_to_one", FINE, lambda s: checks.weights_sum_to_one(s.t("wee
        FROM (SELECT sum(weight) AS w FROM weights GROUP BY store_key)""")
 
 
-def _reconcile(s: Stage) -> DataFrame:
-    """Two roads to units and value per year and nation: conformed star against raw lines, one nation's lines left out."""
+def _two_roads(s: Stage) -> tuple[DataFrame, DataFrame]:
+    """Units and value per year and nation, from the conformed star and from raw lines; both written."""
     star = s.t("fact_sales").join(s.t("dim_store").select("store_key", "city"), "store_key").join(
         s.t("dim_item").select("item_key", F.col("unit_price").cast("double").alias("p")), "item_key")
     left = star.groupBy(F.expr("date_key div 10000").alias("year"), "city").agg(
@@ -446,18 +479,53 @@ def _reconcile(s: Stage) -> DataFrame:
         "s_suppkey", F.col("n_name").alias("city"))
     sold = F.greatest("unit_sales", F.lit(0.0))
     right = (
-        s.feed.train().join(nations, F.col("store_nbr") == F.col("s_suppkey")).filter(F.col("city") != "NATION_3")
+        s.feed.train().join(nations, F.col("store_nbr") == F.col("s_suppkey"))
         .join(parts, F.col("item_nbr") == F.col("p_partkey"))
         .groupBy(F.year("date").cast("bigint").alias("year"), "city")
         .agg(F.sum(sold).alias("units"), F.sum(sold * F.col("p_retailprice")).alias("sales"))
     )
-    return checks.reconcile(left, right, ["year", "city"], ["units", "sales"])
+    return written(left), written(right)
+
+
+def _reconcile(s: Stage) -> DataFrame:
+    """Cells that differ between the two roads: none as loaded, and the changed ones where one road is changed."""
+    left, right = _two_roads(s)
+    odd = (F.col("city") == "NATION_3") & (F.col("year") >= 1996)
+    changed = right.filter(~(odd & (F.col("year") == 1997))).withColumn("units", F.col("units") + F.when(odd, 1.0).otherwise(0.0))
+    found = [checks.reconcile(left, side, ["year", "city"], ["units", "sales"], by=["year"]).withColumn("variant", F.lit(name))
+             for name, side in (("as loaded", right), ("changed", changed))]
+    return found[0].unionByName(found[1])
 
 
 add("c27_reconcile_cells", FINE, _reconcile,
-    "year:i city:s units_left:2 units_right:2 sales_left:2 sales_right:2",
-    """SELECT year, city, sum(units) AS units_left, NULL::DOUBLE AS units_right, sum(value) AS sales_left, NULL::DOUBLE AS sales_right
-       FROM S WHERE city = 'NATION_3' GROUP BY year, city""")
+    "variant:s year:i city:s units_left:2 units_right:2 sales_left:2 sales_right:2",
+    """SELECT 'changed' AS variant, year, city, sum(units) AS units_left, CASE WHEN year <> 1997 THEN sum(units) + 1 END AS units_right,
+         sum(value) AS sales_left, CASE WHEN year <> 1997 THEN sum(value) END AS sales_right
+       FROM S WHERE city = 'NATION_3' AND year >= 1996 GROUP BY year, city""")
+
+
+def _gate(s: Stage) -> DataFrame:
+    """The gate before an export, with the tables as they are and with a negative amount planted: is the way open, and why not?"""
+    found = _check_tables(s)
+    planted = {**found, "fact_sales": found["fact_sales"].withColumn("units", F.when(F.col("on_promo"), -F.col("units") - 1).otherwise(F.col("units")))}
+    rows = []
+    for variant, given in (("as built", found), ("planted", planted)):
+        try:
+            checks.gate(checks.gold_checks(given))
+            rows.append((variant, True, None, 0))
+        except checks.GateClosed as closed:
+            rows += [(variant, False, check, n) for check, n in closed.table]
+    return s.spark.createDataFrame(rows, "variant string, open boolean, check string, violations bigint")
+
+
+GATE_ROWS = " UNION ALL ".join(GOLD_CHECK_SQL)
+add("c29_gate_closes", MID, _gate, "variant:s open:b check:s violations:i", f"""
+SELECT 'as built' AS variant, sum(violations) = 0 AS open, NULL AS "check", 0 AS violations FROM ({GATE_ROWS})
+HAVING sum(violations) = 0
+UNION ALL SELECT 'as built', false, "check", violations FROM ({GATE_ROWS}) WHERE violations > 0
+UNION ALL SELECT 'planted', false, "check", violations FROM ({GATE_ROWS}) WHERE violations > 0 AND "check" NOT IN ('negative_units', 'totals_reconcile_by_year')
+UNION ALL SELECT 'planted', false, 'negative_units', count(*) FROM fs WHERE on_promo OR units < 0
+UNION ALL SELECT 'planted', false, 'totals_reconcile_by_year', count(*) FROM (SELECT year(date) AS y FROM fs GROUP BY 1 HAVING count(*) FILTER (on_promo) > 0)""")
 add("c29_gate", MID, lambda s: checks.all_results(checks.gold_checks(_check_tables(s))), CHECK_SPEC,
     " UNION ALL ".join(GOLD_CHECK_SQL))
 

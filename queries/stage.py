@@ -88,3 +88,34 @@ def shaped_sql(sql: str, spec: str) -> str:
         else:
             out.append(f'"{name}"::{dict(s="VARCHAR", i="BIGINT", b="BOOLEAN", d="DATE")[kind]} AS "{name}"')
     return f"SELECT {', '.join(out)} FROM (\n{sql}\n) shaped"
+
+
+# --- order-free digests of whole tables, the same in both languages ------------------------------------------------
+
+
+def digest(df: DataFrame, spec: str, table: str) -> DataFrame:
+    """One row: a table's rows and the sum of the first 60 bits of each row's MD5."""
+    cells = []
+    for name, kind in _columns(spec):
+        c = F.col(f"`{name}`")
+        if kind.isdigit():
+            text = F.floor(c.cast("double") * 10 ** int(kind) + 0.5).cast("bigint").cast("string")
+        else:
+            text = c.cast({"s": "string", "i": "bigint", "b": "boolean", "d": "date"}[kind]).cast("string")
+        cells.append(F.coalesce(text, F.lit("~")))
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).cast("string").alias("digest")).select(
+        F.lit(table).alias("table"), "rows", "digest")
+
+
+def digest_sql(sql: str, spec: str, table: str) -> str:
+    cells = []
+    for name, kind in _columns(spec):
+        if kind.isdigit():
+            text = f'floor("{name}"::DOUBLE * {10 ** int(kind)} + 0.5)::BIGINT::VARCHAR'
+        else:
+            text = f'"{name}"::{dict(s="VARCHAR", i="BIGINT", b="BOOLEAN", d="DATE")[kind]}::VARCHAR'
+        cells.append(f"coalesce({text}, '~')")
+    row = " || '|' || ".join(cells)
+    return f"""SELECT '{table}' AS "table", count(*) AS "rows", coalesce(sum(('0x' || substr(md5({row}), 1, 15))::BIGINT), 0)::VARCHAR AS digest
+FROM ({sql}) t"""
