@@ -54,6 +54,19 @@ def prior_year(cells: DataFrame, cell_cols: list[str], dates: DataFrame, data_en
     return _on_calendar(both, dates)
 
 
+def prior_year_ends(ends: DataFrame, dates: DataFrame, data_end: date) -> DataFrame:
+    """The last days ``hi`` of cells that run from the start of a month or year, moved as ``prior_year`` moves their dates."""
+    cap = months_before(data_end, 12)
+    months = dates.groupBy(F.trunc("date", "MM").alias("_month")).agg(F.max("date").alias("_month_end"))
+    shifted = F.add_months("hi", -12)
+    # a run that ends with its month holds the last two days of it
+    moved = F.least(F.when(F.col("hi") == F.col("_month_end"), F.last_day(shifted)).otherwise(shifted), F.lit(cap))
+    others = [c for c in ends.columns if c != "hi"]
+    on_month = ends.join(months, F.trunc("hi", "MM") == F.col("_month"))
+    found = on_month.select(*others, moved.alias("hi"))
+    return found.join(dates.select(F.col("date").alias("hi")), "hi", "left_semi").select(*ends.columns)
+
+
 def last_days(cells: DataFrame, cell_cols: list[str], dates: DataFrame, days: int) -> DataFrame:
     """The window of ``days`` days that ends at each cell's last date."""
     last = cells.groupBy(*cell_cols).agg(F.max("date").alias("last"))

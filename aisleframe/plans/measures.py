@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aisleframe.functions.calendar import months_before
-from aisleframe.functions.columns import all_blank, growth, is_true, join_null_safe, ratio, stitch
+from aisleframe.functions.columns import all_blank, growth, is_true, join_null_safe, key_date, ratio, stitch
 from aisleframe.functions.ranks import exact_median, fixed4
 from aisleframe.plans import timecalc
 from aisleframe.plans.star import DATE_COLS, ITEM_COLS, STORE_COLS, AccessDenied, Cells, Star
+from aisleframe.plans.warehouse import FACT_MONTH
 
 C = F.col
 
@@ -89,12 +91,7 @@ class Grouping:
 
 
 def _join_cells(rows: DataFrame, cells: Cells | None, key: str, *extra: str) -> DataFrame:
-    if cells is None:
-        return rows
-    frame = cells.keyed(*extra)
-    if key != "date_key":
-        frame = frame.withColumnRenamed("date_key", key)
-    return cells.narrowed(rows, key).join(frame, key)
+    return rows if cells is None else cells.joined(rows, key, *extra)
 
 
 def _join_stores(rows: DataFrame, star: Star, columns: tuple[str, ...]) -> DataFrame:
@@ -129,7 +126,7 @@ def _fact_rows(star: Star, fact: str, group: Grouping, cells: Cells | None, colu
     a group column ``store_key`` is blank for unknown stores."""
     table = star.fact(fact)
     own = [c for c in table.columns if c in columns and c not in ITEM_VALUES]
-    keys = dict.fromkeys([key, "store_key", *(["item_key"] if item else []), *own])
+    keys = dict.fromkeys([key, "store_key", *(["item_key"] if item else []), *own, *({FACT_MONTH} & set(table.columns))])
     rows = table.select(*keys, *[C(source).alias(name) for name, source in (copies or {}).items()])
     rows = _join_cells(rows, cells, key)
     rows = _join_stores(rows, star, tuple(dict.fromkeys([*group.store, *sorted(columns & {"opening_date"})])))
@@ -143,16 +140,40 @@ def _additive(star: Star, fact: str, library: dict, group: Grouping, cells: Cell
     columns = set().union(*(PART_COLUMNS[p] for p in parts))
     dims = [*group.store, *(group.item if item else ())]
     sums = [library[p]().alias(p) for p in parts]
-    if cells is not None and cells.per_date > 1:
+    if cells is not None and (cells.per_date > 1 or cells.runs):
         # a date lies in many cells: add up per date before the dates are repeated
         rows = _fact_rows(star, fact, group, None, columns, item=item)
         daily = cells.narrowed(rows, "date_key").groupBy("date_key", *dims).agg(*sums)
-        return _join_cells(daily, cells, "date_key").groupBy(*cells.columns, *dims).agg(
-            *[F.sum(p).alias(p) for p in parts])
+        if not cells.runs:
+            return _per_cell(daily, cells, dims, parts)
+        found = [_running(daily, unit, ends, cells.columns, dims, parts) for unit, ends in cells.runs]
+        if cells.plain is not None:
+            found.append(_per_cell(daily, replace(cells, frame=cells.plain, runs=(), plain=None), dims, parts))
+        return reduce(DataFrame.unionByName, found)
     rows = _fact_rows(star, fact, group, cells, columns, item=item)
     return rows.groupBy(*(cells.columns if cells else []), *dims).agg(*sums)
 
 
+def _per_cell(daily: DataFrame, cells: Cells, dims: list[str], parts: list[str]) -> DataFrame:
+    return _join_cells(daily, cells, "date_key").groupBy(*cells.columns, *dims).agg(*[F.sum(p).alias(p) for p in parts])
+
+
+def _running(daily: DataFrame, unit: str, ends: DataFrame, cell_cols: list[str], dims: list[str], parts: list[str]) -> DataFrame:
+    """Sums from the start of each period up to the cells' last days, from one running total per group and period.
+
+    A day's total holds until the group's next day; each last day takes the one that holds then. Windows see the days of one
+    period, and every cell and group meets one row.
+    """
+    rows = daily.withColumn("_day", key_date("date_key")).withColumn("_period", F.trunc("_day", unit))
+    by_day = W.partitionBy(*dims, "_period").orderBy("_day")
+    so_far = by_day.rowsBetween(W.unboundedPreceding, 0)
+    totals = rows.select(*dims, "_period", "_day", F.lead("_day").over(by_day).alias("_next"), *[F.sum(p).over(so_far).alias(p) for p in parts])
+    # at most one last day per calendar day of the period
+    stops = ends.groupBy(F.trunc("hi", unit).alias("_period")).agg(F.collect_set("hi").alias("_stops"))
+    held = F.filter("_stops", lambda day: (day >= C("_day")) & (C("_next").isNull() | (day < C("_next"))))
+    return totals.join(stops, "_period").select(*dims, *parts, F.explode(held).alias("hi")).join(ends, "hi").select(*cell_cols, *dims, *parts)
+
+
 # --- blocks -------------------------------------------------------------------------------------------------
 
 
@@ -188,7 +209,7 @@ def lfl_cells(star: Star, cells: Cells) -> Cells:
     to count in the cell: twelve months before the cell's first comparable calendar date.
     """
     first = months_before(star.data_start, -12)
-    now = replace(cells, frame=cells.frame.filter(C("date") >= F.lit(first)))
+    now = replace(cells, frame=cells.frame.filter(C("date") >= F.lit(first)), runs=(), plain=None)
     before = timecalc.prior_year(star, now)
     both = now.frame.select("date", *cells.columns, F.lit(0).alias("shift")).unionByName(
         before.frame.select("date", *cells.columns, F.lit(1).alias("shift")))
@@ -489,3 +510,28 @@ def evaluate_with_total(star: Star, by: list[str], measures: list[str]) -> DataF
     levels = result.groupingSets([[C(c) for c in by], []], *by).agg(
         *[F.sum(c).alias(c) for c in figures], F.grouping_id().alias("level"))
     return _finished(levels.withColumn("is_total", C("level") > 0), measures, cells, group, by, "is_total")
+
+
+#: Blocks whose parts also add up over dates; like-for-like and target parts depend on the whole date cell.
+OVER_DATES = {"sales", "day", "risk", "store_week", "event_count"}
+
+
+def evaluate_levels(star: Star, levels: list[str], measures: list[str]) -> DataFrame:
+    """The measures at each level of a hierarchy, with its ``depth``: by the first column, by the first two, and so on.
+
+    Where all parts add up, each fact is read once, at the finest level; the coarser levels add up its parts as grouping sets and
+    only the measures' expressions are evaluated again. Other measures are evaluated level by level.
+    """
+    group = Grouping.of(levels)
+    blocks = {block for name in measures for block in MEASURES[name].needs}
+    if not blocks <= (OVER_DATES if group.date else ADDITIVE) or (group.item and blocks & WITHOUT_ITEM):
+        parts = [evaluate(star, levels[:depth], measures).withColumn("depth", F.lit(depth)) for depth in range(1, len(levels) + 1)]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cells = star.cells(levels)
+    finest = _parts(star, group, cells, measures)
+    keys = [f"c_{c}" if c in group.date else c for c in levels]
+    sets = [[C(k) for k in keys[:depth]] for depth in range(1, len(levels) + 1)]
+    figures = [c for c in finest.columns if c not in keys]
+    rolled = finest.groupingSets(sets, *[C(k) for k in keys]).agg(*[F.sum(c).alias(c) for c in figures], F.grouping_id().alias("_above"))
+    rolled = rolled.withColumn("depth", F.lit(len(levels)) - F.bit_count("_above"))
+    return _finished(rolled, measures, cells, group, levels, "depth")

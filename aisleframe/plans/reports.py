@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aisleframe.functions.columns import all_blank
 from aisleframe.plans import timecalc
-from aisleframe.plans.measures import evaluate, evaluate_with_total
+from aisleframe.plans.measures import evaluate, evaluate_levels, evaluate_with_total
 from aisleframe.plans.star import Star
 from aisleframe.session import written
 
@@ -217,8 +216,5 @@ def totals_by_year_region(star: Star) -> DataFrame:
 
 
 def drill(star: Star, measures: list[str], levels: list[str] = ("year", "quarter", "month_num", "date")) -> DataFrame:
-    """Every level of the calendar hierarchy, each evaluated on its own, with the depth as a column."""
-    parts = [
-        evaluate(star, list(levels[:depth]), measures).withColumn("depth", F.lit(depth))
-        for depth in range(1, len(levels) + 1)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    """Every level of the calendar hierarchy, with the depth as a column."""
+    return evaluate_levels(star, list(levels), measures)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aisleframe.functions.columns import date_key
 from aisleframe.operators import conform
+from aisleframe.plans.warehouse import FACT_MONTH
 
 DATE_COLS = (
     "date", "year", "quarter", "month_num", "month_name", "month_key", "year_month", "iso_week", "weekday_num",
@@ -30,6 +31,10 @@ class Cells:
     ``names`` are the cell's columns, kept with the prefix ``c_`` in ``frame`` so that a cell named by date and
     the dates it looks at stay apart. ``per_date`` is an upper bound of the cells one date can belong to, and
     ``span`` holds the first and last date looked at where a selection narrows them.
+
+    Cells that each run from the start of a month or year up to a day are also given by that last day alone: ``runs`` has
+    (unit, one row per cell with its last day ``hi``), ``plain`` the dates of all other cells. Sums then need one running
+    total per cell instead of every date of it.
     """
 
     frame: DataFrame
@@ -37,6 +42,8 @@ class Cells:
     rows: int
     per_date: int = 1
     span: tuple[date, date] | None = None
+    runs: tuple[tuple[str, DataFrame], ...] = ()
+    plain: DataFrame | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -46,11 +53,21 @@ class Cells:
         """The frame for a join on date_key; Spark decides by its size how to join."""
         return self.frame.select(*self.columns, date_key("date").alias("date_key"), *extra)
 
+    def joined(self, rows: DataFrame, key: str, *extra: str) -> DataFrame:
+        """Fact rows with the cells of their day. Under a selection a fact in months is also joined by month, so that the
+        months of the selected dates prune its folders when the query runs."""
+        frame, on = self.keyed(*extra).withColumnRenamed("date_key", key), [key]
+        if self.span is not None and FACT_MONTH in rows.columns:
+            frame, on = frame.withColumn(FACT_MONTH, F.expr(f"cast({key} div 100 as int)")), [key, FACT_MONTH]
+        return self.narrowed(rows, key).join(frame, on)
+
     def narrowed(self, rows: DataFrame, key: str) -> DataFrame:
-        """Fact rows inside the span, as a constant range that the scan can use to skip row groups."""
+        """Fact rows inside the span, as constant ranges that the scan uses to skip months and row groups."""
         if self.span is None:
             return rows
         lo, hi = (int(day.strftime("%Y%m%d")) for day in self.span)
+        if FACT_MONTH in rows.columns:
+            rows = rows.filter(F.col(FACT_MONTH).between(lo // 100, hi // 100))
         return rows.filter(F.col(key).between(lo, hi))
 
 

@@ -21,7 +21,8 @@ def to_date(star: Star, cells: Cells, unit: str) -> Cells:
     frame = calendar.to_date(cells.frame, cells.columns, star.calendar, unit)
     finest = 1 if not cells.names else PERIODS[unit]
     span = cells.span and (cells.span[0].replace(day=1, **({"month": 1} if unit == "YEAR" else {})), cells.span[1])
-    return replace(cells, frame=frame, rows=cells.rows * finest, per_date=cells.per_date * finest, span=span)
+    ends = cells.frame.groupBy(*cells.columns).agg(F.max("date").alias("hi"))
+    return replace(cells, frame=frame, rows=cells.rows * finest, per_date=cells.per_date * finest, span=span, runs=((unit, ends),))
 
 
 def prior_year(star: Star, cells: Cells) -> Cells:
@@ -29,13 +30,14 @@ def prior_year(star: Star, cells: Cells) -> Cells:
     # 28 February takes the 29th along
     span = cells.span and (
         calendar.months_before(cells.span[0], 12), calendar.month_end(calendar.months_before(cells.span[1], 12)))
-    return replace(cells, frame=frame, rows=cells.rows + cells.rows // 28 + 31, span=span)
+    runs = tuple((unit, calendar.prior_year_ends(ends, star.calendar, star.data_end)) for unit, ends in cells.runs)
+    return replace(cells, frame=frame, rows=cells.rows + cells.rows // 28 + 31, span=span, runs=runs)
 
 
 def last_days(star: Star, cells: Cells, days: int) -> Cells:
     frame = calendar.last_days(cells.frame, cells.columns, star.calendar, days)
     span = cells.span and (cells.span[0] - timedelta(days=days - 1), cells.span[1])
-    return replace(cells, frame=frame, rows=cells.rows * days, per_date=cells.per_date * days, span=span)
+    return replace(cells, frame=frame, rows=cells.rows * days, per_date=cells.per_date * days, span=span, runs=(), plain=None)
 
 
 def joint_span(*cells: Cells):
@@ -61,8 +63,11 @@ def apply(star: Star, cells: Cells, item: str) -> Cells:
 def side_by_side(star: Star, cells: Cells, items: list[str]) -> Cells:
     """Several calculations as one set of cells with a show-as column: the fact is read once for all of them."""
     moved = [apply(star, cells, item) for item in items]
-    frames = [
-        m.frame.select("date", *cells.columns, F.lit(item).alias("c_show_as")) for m, item in zip(moved, items)]
+    labels = [F.lit(item).alias("c_show_as") for item in items]
+    frames = [m.frame.select("date", *cells.columns, label) for m, label in zip(moved, labels)]
+    plain = [frame for frame, m in zip(frames, moved) if not m.runs]
+    runs = tuple((unit, ends.select(*cells.columns, label, "hi")) for m, label in zip(moved, labels) for unit, ends in m.runs)
     return Cells(
         reduce(lambda a, b: a.unionByName(b), frames), (*cells.names, "show_as"),
-        sum(m.rows for m in moved), sum(m.per_date for m in moved), joint_span(*moved))
+        sum(m.rows for m in moved), sum(m.per_date for m in moved), joint_span(*moved), runs,
+        reduce(lambda a, b: a.unionByName(b), plain) if plain and runs else None)

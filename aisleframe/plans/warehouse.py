@@ -7,11 +7,16 @@ only its own tasks: written tables need no lineage.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aisleframe.config import BuildConfig
 from aisleframe.operators import conform, deepdive, gold, silver, targets
 
+#: The partition column of facts: the month of their day, as year * 100 + month.
+FACT_MONTH = "fact_month"
 GOLD_TABLES = ("dim_date", "stg_store", "stg_item", "stg_store_day", "fact_sales", "fact_stockout_risk")
 
 
@@ -21,9 +26,12 @@ class Warehouse:
     # cheap or read once: kept as a plan
     UNWRITTEN = {"selected_stores", "national_holidays", "region", "state_region", "stg_item"}
 
-    # sorted by day inside each file, so a report over a few months skips the other row groups
+    # one folder per month, sorted by day inside each file: a report over a few days opens the files of their months
     BY_DATE = {"fact_sales", "fact_store_day", "fact_stockout_risk"}
 
+    # read by several windows over the same keys: bucketed by them, so that no window shuffles the table again
+    BUCKETED = {"series": (["store_nbr", "item_nbr"], "date")}
+
     def __init__(self, spark: SparkSession, inputs, folder: str, cfg: BuildConfig, domain: str = "chain.example",
                  manager_city: str | None = None, access_since: int = 20160101):
         self.spark, self.inputs, self.folder, self.cfg = spark, inputs, folder.rstrip("/"), cfg
@@ -32,17 +40,40 @@ class Warehouse:
         self._ready: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        """A table with the columns of the model."""
+        stored = self.stored(name)
+        return stored.drop(FACT_MONTH) if name in self.BY_DATE else stored
+
+    def stored(self, name: str) -> DataFrame:
+        """A table as it is stored: facts also have the month that their folders are named by."""
         if name not in self._ready:
             plan = getattr(self, f"_{name}")()
-            if name not in self.UNWRITTEN:
-                path = f"{self.folder}/{name}"
-                if name in self.BY_DATE:
-                    plan = plan.sortWithinPartitions("date_key")
-                plan.write.mode("overwrite").parquet(path)
-                plan = self.spark.read.schema(plan.schema).parquet(path)
+            if name in self.BUCKETED:
+                plan = self._bucketed(name, plan)
+            elif name not in self.UNWRITTEN:
+                plan = self._written(name, plan)
             self._ready[name] = plan
         return self._ready[name]
 
+    def _written(self, name: str, plan: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        if name in self.BY_DATE:
+            # rebalancing gives every month few files of a fit size, and splits a month that holds too much for one
+            plan = plan.withColumn(FACT_MONTH, F.expr("cast(date_key div 100 as int)")).hint("rebalance", FACT_MONTH)
+            plan.sortWithinPartitions(FACT_MONTH, "date_key").write.mode("overwrite").partitionBy(FACT_MONTH).parquet(path)
+        else:
+            plan.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(plan.schema).parquet(path)
+
+    def _bucketed(self, name: str, plan: DataFrame) -> DataFrame:
+        """The table in as many buckets as a shuffle has partitions, each one file sorted by keys and day."""
+        keys, day = self.BUCKETED[name]
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"{name}_{hashlib.sha1(self.folder.encode()).hexdigest()[:12]}"
+        plan.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys, day).option(
+            "path", f"{self.folder}/{name}").saveAsTable(table)
+        return self.spark.table(table)
+
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in names}
 

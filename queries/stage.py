@@ -45,7 +45,7 @@ class Stage:
     def star(self) -> Star:
         """The star over the written tables; each is built when a query first uses it."""
         names = (*STAR_TABLES, *RISK_TABLES, *DEEP_TABLES)
-        return Star.of({name: partial(self.warehouse.table, name) for name in names})
+        return Star.of({name: partial(self.warehouse.stored, name) for name in names})
 
 
 _stages: dict[tuple, Stage] = {}
