@@ -189,9 +189,41 @@ def risk_block(star, group, cells, parts):
     return _additive(star, "fact_stockout_risk", RISK_PARTS, group, cells, parts)
 
 
+#: Groups by one of these have few pairs each: counting them is cheaper than a bitmap per group.
+PAIR_LEVEL = {"store_key", "store_nbr", "store_name", "item_key", "item_nbr"}
+
+
+def _as_bitmaps(star: Star, group: Grouping) -> bool:
+    return "risk_pairs" in star.sources and not PAIR_LEVEL & {*group.store, *group.item}
+
+
+def risk_items_states(star: Star, group: Grouping, cells: Cells | None) -> DataFrame:
+    """Per group and range of pair numbers, the pairs as a bitmap of 32,768 bits: states that merge over groups and dates."""
+    rows = _fact_rows(star, "fact_stockout_risk", group, None, set(), copies={"p_store": "store_key", "p_item": "item_key"})
+    numbered = star.table("risk_pairs").select(C("store_key").alias("p_store"), C("item_key").alias("p_item"), "pair_no")
+    dims = [*group.store, *group.item]
+    rows = rows.select("date_key", *({FACT_MONTH} & set(rows.columns)), "p_store", "p_item", *[C(d).alias(f"_{d}") for d in dims])
+    if cells is None or cells.per_date == 1:
+        rows, days = _join_cells(rows, cells, "date_key"), cells.columns if cells else []
+    else:
+        rows, days = cells.narrowed(rows, "date_key"), ["date_key"]
+    rows = rows.join(numbered, ["p_store", "p_item"]).select(*days, *[C(f"_{d}").alias(d) for d in dims], "pair_no")
+    states = rows.groupBy(*days, *dims, F.bitmap_bucket_number("pair_no").alias("_range")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("pair_no")).alias("_pairs"))
+    if cells is None or cells.per_date == 1:
+        return states
+    return _join_cells(states, cells, "date_key").groupBy(*cells.columns, *dims, "_range").agg(F.bitmap_or_agg("_pairs").alias("_pairs"))
+
+
+def _count_pairs(states: DataFrame, by: list[str]) -> DataFrame:
+    return states.groupBy(*by).agg(F.sum(F.bitmap_count("_pairs")).alias("risk_items"))
+
+
 def risk_items_block(star, group, cells, parts):
-    rows = _fact_rows(star, "fact_stockout_risk", group, cells, set(), copies={"p_store": "store_key", "p_item": "item_key"})
     dims = [*(cells.columns if cells else []), *group.store, *group.item]
+    if _as_bitmaps(star, group):
+        return _count_pairs(risk_items_states(star, group, cells), dims)
+    rows = _fact_rows(star, "fact_stockout_risk", group, cells, set(), copies={"p_store": "store_key", "p_item": "item_key"})
     # one row per pair first: the distinct count then only counts
     return rows.groupBy(*dims, "p_store", "p_item").agg(F.lit(1).alias("one")).groupBy(*dims).agg(
         F.count(F.lit(1)).alias("risk_items"))
@@ -445,9 +477,13 @@ def attach(rows: DataFrame, figures: DataFrame, on: list[str]) -> DataFrame:
 
 def _parts(star: Star, group: Grouping, cells: Cells | None, measures: list[str]) -> DataFrame:
     """The parts the measures need, side by side for each group."""
+    return _parts_of(star, group, cells, [MEASURES[name].needs for name in measures])
+
+
+def _parts_of(star: Star, group: Grouping, cells: Cells | None, wanted: list[dict[str, tuple[str, ...]]]) -> DataFrame:
     needs: dict[str, list[str]] = {}
-    for name in measures:
-        for block, parts in MEASURES[name].needs.items():
+    for of_measure in wanted:
+        for block, parts in of_measure.items():
             have = needs.setdefault(block, [])
             have.extend(p for p in parts if p not in have)
     cell_cols = cells.columns if cells else []
@@ -519,19 +555,30 @@ OVER_DATES = {"sales", "day", "risk", "store_week", "event_count"}
 def evaluate_levels(star: Star, levels: list[str], measures: list[str]) -> DataFrame:
     """The measures at each level of a hierarchy, with its ``depth``: by the first column, by the first two, and so on.
 
-    Where all parts add up, each fact is read once, at the finest level; the coarser levels add up its parts as grouping sets and
-    only the measures' expressions are evaluated again. Other measures are evaluated level by level.
+    Where all parts add up or merge, each fact is read once, at the finest level; the coarser levels merge its states as grouping
+    sets and only the measures' expressions are evaluated again. Other measures are evaluated level by level.
     """
     group = Grouping.of(levels)
     blocks = {block for name in measures for block in MEASURES[name].needs}
-    if not blocks <= (OVER_DATES if group.date else ADDITIVE) or (group.item and blocks & WITHOUT_ITEM):
+    summed = OVER_DATES if group.date else ADDITIVE
+    mergeable = summed | ({"risk_items"} if _as_bitmaps(star, group) else set())
+    if not blocks <= mergeable or (group.item and blocks & WITHOUT_ITEM):
         parts = [evaluate(star, levels[:depth], measures).withColumn("depth", F.lit(depth)) for depth in range(1, len(levels) + 1)]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     cells = star.cells(levels)
-    finest = _parts(star, group, cells, measures)
     keys = [f"c_{c}" if c in group.date else c for c in levels]
     sets = [[C(k) for k in keys[:depth]] for depth in range(1, len(levels) + 1)]
-    figures = [c for c in finest.columns if c not in keys]
-    rolled = finest.groupingSets(sets, *[C(k) for k in keys]).agg(*[F.sum(c).alias(c) for c in figures], F.grouping_id().alias("_above"))
-    rolled = rolled.withColumn("depth", F.lit(len(levels)) - F.bit_count("_above"))
-    return _finished(rolled, measures, cells, group, levels, "depth")
+    rolled = []
+    adding = {m: {b: p for b, p in MEASURES[m].needs.items() if b in summed} for m in measures}
+    if any(adding.values()):
+        finest = _parts_of(star, group, cells, list(adding.values()))
+        figures = [c for c in finest.columns if c not in keys]
+        rolled.append(finest.groupingSets(sets, *[C(k) for k in keys]).agg(
+            *[F.sum(c).alias(c) for c in figures], F.grouping_id().alias("_above")))
+    if "risk_items" in blocks:
+        states = risk_items_states(star, group, cells)
+        merged = states.groupingSets([[*s, C("_range")] for s in sets], *[C(k) for k in keys], C("_range")).agg(
+            F.bitmap_or_agg("_pairs").alias("_pairs"), F.expr("grouping_id() div 2").alias("_above"))
+        rolled.append(_count_pairs(merged, [*keys, "_above"]))
+    result = stitch(rolled, [*keys, "_above"]).withColumn("depth", F.lit(len(levels)) - F.bit_count("_above"))
+    return _finished(result, measures, cells, group, levels, "depth")

@@ -122,6 +122,11 @@ class Warehouse:
     def _fact_stockout_risk(self):
         return gold.fact_stockout_risk(self.table("series"), self.cfg)
 
+    def _risk_pairs(self):
+        """The pairs of the stock-out fact, numbered without gaps inside each file."""
+        pairs = self.table("fact_stockout_risk").select("store_key", "item_key").distinct()
+        return pairs.withColumn("pair_no", F.monotonically_increasing_id())
+
     # --- master data and conformed tables ---
 
     def _region(self):

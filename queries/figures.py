@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aisleframe.plans import reports, security, timecalc
-from aisleframe.plans.measures import evaluate
+from aisleframe.plans.measures import evaluate, evaluate_levels
 from aisleframe.plans.star import AccessDenied
 from queries.layers import ACCESS, PAYBACK
 from queries.sql_base import query
@@ -150,6 +150,14 @@ measure(20, "lfl_basket_growth_pct", FINE, LFL_BY,
 simple(21, "avg_rain", FINE, ["region", "year"], "avg(rain_mm)", "D")
 simple(22, "avg_max_temp", FINE, ["city"], "avg(temp_max_c)", "D")
 simple(23, "stockout_risk_items", MID, ["family", "year"], "count(DISTINCT (store_key, item_key))", "R")
+_risk_levels = ["region", "family", "year"]
+add("m23_stockout_risk_items_by_level", MID,
+    lambda s: evaluate_levels(s.star, _risk_levels, ["stockout_risk_items", "est_lost_units"]),
+    [*_risk_levels, "depth", "stockout_risk_items", "est_lost_units"],
+    " UNION ALL ".join(
+        f"SELECT {', '.join(c if i < d else f'NULL AS {c}' for i, c in enumerate(_risk_levels))}, {d} AS depth, "
+        f"count(DISTINCT (store_key, item_key)) AS stockout_risk_items, sum(expected_units) AS est_lost_units FROM R GROUP BY {', '.join(_risk_levels[:d])}"
+        for d in (1, 2, 3)))
 simple(24, "est_lost_units", MID, ["store_name", "family"], "sum(expected_units)", "R")
 simple(25, "est_lost_sales", MID, ["item_nbr"], "sum(lost)", "R")
 measure(26, "est_lost_sales_7d", MID, ["year", "month_num", "region"],

@@ -18,7 +18,7 @@ FINE, MID = "supplier_part", "nation_brand"
 ACCESS_SINCE = 19980101
 DOMAIN = "chain.example"
 STAR_TABLES = ("dim_date", "dim_store", "dim_item", "fact_sales", "fact_store_day", "user_access")
-RISK_TABLES = ("fact_stockout_risk",)
+RISK_TABLES = ("fact_stockout_risk", "risk_pairs")
 DEEP_TABLES = (
     "fact_stockout_run", "stockout_store_week", "stockout_bh_summary", "fact_promo_event", "promo_family_summary")
 
