@@ -10,9 +10,9 @@ sets have there, and the partial counts are summed per pair. Candidates are of t
 
 * Pairs that share a rare gram of their prefixes meet by it; their number is bounded as no rare gram is frequent. What
   they share of the rare part is counted in that join, and the common part adds no more than the smaller of their two.
-* Other pairs share only common grams, so their overlap is at most the smaller number of common grams. These meet one
-  pivot of each common gram first, the class with the largest common part, which is the middle of a group of near
-  copies. Classes that linked are one group; at the end the pairs of different groups that still share a common gram
+* Other pairs share only common grams, so their overlap is at most the smaller number of common grams. First each class
+  meets the pivots of a few of its common grams: the class with the largest common part, which is the middle of a group of near
+  copies, at the grams that most classes share. Classes that linked are one group; at the end the pairs of different groups that still share a common gram
   and whose common parts are large enough are counted. Groups of near copies are so never expanded into all their pairs.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aisleframe.llm.components import components
@@ -34,7 +34,9 @@ PERCENT = 80
 COMMON = 24
 BITMAP_BITS = 1 << 23
 FRAGMENTS = 4
-ROUNDS = 2
+ROUNDS = 3
+#: Grams of each class at which it meets a pivot in a round. A round only finds groups early; the pairs it leaves out meet at the end.
+MEETINGS = 4
 PASSES = 4
 LARGELY = 4
 
@@ -204,7 +206,7 @@ def _open(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
         entries = entries.withColumn("root", F.col("cls"))
     else:
         entries = entries.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    apart = entries.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("gram")
+    apart = entries.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("k")).filter("x != y").select("gram", "k")
     return stash(entries.join(stash(apart), "gram"))
 
 
@@ -241,6 +243,13 @@ def _pivots(entries: DataFrame, salt: int) -> DataFrame:
     return stash(entries.groupBy("gram").agg(F.min(order).alias("p"))).select("gram", "p.cls", "p.n", "p.rare", "p.root")
 
 
+def _meetings(entries: DataFrame, salt: int) -> DataFrame:
+    """A few entries of each class: first those at the grams with most classes, later drawn ones."""
+    order = F.desc("k") if salt == 0 else F.xxhash64("gram", F.lit(salt))
+    place = F.row_number().over(Window.partitionBy("cls").orderBy(order, "gram"))
+    return entries.withColumn("place", place).filter(F.col("place") <= MEETINGS)
+
+
 def _by_rare(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs that share rare prefix grams, where these and all else that they may have in common can reach the threshold.
 
@@ -271,7 +280,7 @@ def _grouped(rare: DataFrame, common: DataFrame, pieces_of, percent: int, rounds
         common = _open(common, groups)
         if not common.limit(1).count():
             break
-        take(_by_common(common, _pivots(common, salt), percent))
+        take(_by_common(_meetings(common, salt), _pivots(common, salt), percent))
     take(_by_rare(_open(rare, groups), percent))
     common = _open(common, groups)
     take(_by_common(common, common, percent, once=True))

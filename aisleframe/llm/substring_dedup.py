@@ -181,6 +181,13 @@ def _strip(names: list[str]):
     return run
 
 
+def strip_spans(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (text, spans: null or as `repeated_spans` gives them) with `columns`, n_removed and kept_text."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.select(*columns).schema}
+    schema = ", ".join(f"`{n}` {t}" for n, t in {**kinds, "n_removed": "bigint", "kept_text": "string"}.items())
+    return rows.mapInArrow(_strip([*kinds, "n_removed", "kept_text"]), schema)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: tuple[str, ...] = ("doc_id",), with_text: bool = True) -> DataFrame:
     """Each row of docs without the words of repeated spans: `keep` columns, n_words, n_removed, kept_text, kept_sha256.
 

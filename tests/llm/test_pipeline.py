@@ -94,7 +94,7 @@ def test_empty_table(spark, docs_of, folder):
 
 
 def test_registered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11)) and SQL.keys() <= QUERIES.keys()
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14)) and SQL.keys() <= QUERIES.keys()
     assert len(P.STAGES) == 5
 
 
