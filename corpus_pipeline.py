@@ -18,12 +18,28 @@ from aisleframe.llm.encoding import encode
 from aisleframe.llm.ngram_join import near_duplicate_groups
 from aisleframe.llm.quality import quality_verdicts
 from aisleframe.llm.shared import drop_stashes, part, stash
-from aisleframe.llm.substring_dedup import remove_repeats
+from aisleframe.llm.substring_dedup import repeated_spans, strip_spans
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 STAGE_TABLES = "stage"
 
 
+#: Keys of at most so many rows go to every executor (16 MB of keys); more are joined by a shuffle. The rows are the same.
+SENT_KEYS = 1 << 20
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents with a key of all their columns that also tells which of them are null."""
+    missing = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in COLUMNS])
+    return docs.select(*COLUMNS).withColumn("row_key", F.xxhash64(*COLUMNS, missing))
+
+
+def _without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key is not among the given ones, a written table of row_key. Few keys spare the texts a shuffle."""
+    few = keys.count() <= SENT_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, "row_key", "left_anti")
+
+
 def _stage(work):
     """The stage with its intermediate tables in a part of the shared folder that only the stage at work uses."""
     @wraps(work)
@@ -37,9 +53,9 @@ def _stage(work):
 @_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the plain rules and are no outliers of their language and source."""
-    rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "lang", "source", "text"))
-    rejected = stash(quality_verdicts(rows, keep=("row_key",)).filter(~F.col("kept")).select("row_key").distinct())
-    return rows.join(rejected, "row_key", "left_anti").select(*COLUMNS)
+    rows = _keyed(docs)
+    rejected = quality_verdicts(rows, keep=("row_key",)).filter(~F.col("kept")).select("row_key").distinct()
+    return _without(rows, stash(rejected)).select(*COLUMNS)
 
 
 @_stage
@@ -49,15 +65,16 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Rows are told apart by a key of all their columns, so rows that share an id but not a text go only where they are linked
     themselves, and rows without an id like any others. Rows without words link with nothing and stay.
     """
-    rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64(*COLUMNS))
+    rows = _keyed(docs)
     groups = near_duplicate_groups(rows.select(F.col("row_key").alias("doc_id"), "text")).filter("n_shingles > 0").groupBy(
         F.col("doc_id").alias("row_key"), "component_id").agg(F.count("*").alias("k"))
     ids = rows.groupBy("row_key").agg(F.min("doc_id").alias("doc_id"))
     groups = stash(groups.join(ids, "row_key"))
-    first = groups.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))["row_key"].alias("first"))
+    # written, so that a component with very many rows can be split in the join
+    first = stash(groups.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))["row_key"].alias("first")))
     marked = stash(groups.join(first, "component_id").select("row_key", "k", (F.col("row_key") == F.col("first")).alias("stays")))
-    kept = rows.join(marked.filter("not stays").select("row_key"), "row_key", "left_anti")
+    kept = _without(rows, stash(marked.filter("not stays").select("row_key")))
     several = marked.filter("stays and k > 1").select("row_key")
     once = kept.join(several, "row_key", "left_semi").dropDuplicates(["row_key"])
     return kept.join(several, "row_key", "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
@@ -66,20 +83,22 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of spans that repeat; texts that lose nothing stay as they are."""
-    kept = remove_repeats(docs.withColumn("before", F.col("text")), keep=("doc_id", "before", "lang", "source", "n_chars"))
+    rows = _keyed(docs)
+    spans = stash(repeated_spans(rows.select("row_key", "text")))
+    cut = strip_spans(rows.join(spans, "row_key", "left"), [*COLUMNS])
     whole = F.col("n_removed") == 0
-    text = F.when(whole, F.col("before")).otherwise(F.col("kept_text"))
-    chars = F.when(whole, F.col("n_chars")).otherwise(F.length(text).cast("long"))
-    return kept.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
+    text = F.when(whole, F.col("text")).otherwise(F.col("kept_text"))
+    chars = F.when(whole, F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))
+    return cut.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
 
 
 @_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    rows = _keyed(docs)
     leaking = stash(leaks(rows.select("row_key", "text"), benchmark, keep="row_key", short_items=True).select("row_key").distinct())
-    return rows.join(leaking, "row_key", "left_anti").select(*COLUMNS)
+    return _without(rows, leaking).select(*COLUMNS)
 
 
 @_stage
