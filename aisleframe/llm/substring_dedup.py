@@ -131,7 +131,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     k = _kmer_words(window)
     found = stash(docs.select("row_key", "text").mapInArrow(_kmers(k), "kmer long, row_key long, at int"))
-    twice = found.groupBy("kmer").agg(F.count("*").alias("n")).filter("n > 1").select("kmer")
+    # grouped sides are written before they are joined, so that a k-mer of very many texts can be split in the join
+    twice = stash(found.groupBy("kmer").agg(F.count("*").alias("n")).filter("n > 1").select("kmer"))
     vertices = found.join(twice, "kmer").repartition("row_key").dropDuplicates(["row_key", "at"])
     order = Window.partitionBy("row_key").orderBy("at")
     edge = lambda step: F.when(
@@ -140,8 +141,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "kmer", "row_key", "at",
         edge(lambda c: F.lead(c).over(order)).alias("leave"), edge(lambda c: F.lag(c).over(order)).alias("enter")))
     one = lambda c: (F.count(c) == F.count("*")) & (F.min(c) == F.max(c))
-    degrees = steps.groupBy("kmer").agg(
-        F.coalesce(one("leave"), F.lit(False)).alias("one_out"), F.coalesce(one("enter"), F.lit(False)).alias("one_in"))
+    degrees = stash(steps.groupBy("kmer").agg(
+        F.coalesce(one("leave"), F.lit(False)).alias("one_out"), F.coalesce(one("enter"), F.lit(False)).alias("one_in")))
     marks = (
         steps.join(degrees, "kmer")
         .select("row_key", (F.col("at").cast("long") * 4 + F.col("one_out").cast("int") * 2 + F.col("one_in").cast("int")).alias("mark"))
@@ -150,7 +151,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     checked = stash(
         docs.select("row_key", "text").join(marks, "row_key")
         .mapInArrow(_candidates(k, window), "row_key long, window long, first int, stop int"))
-    again = checked.filter("window is not null").groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+    again = stash(checked.filter("window is not null").groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window"))
     hits = checked.filter("window is not null").join(again, "window").select("row_key", "first", "stop")
     spans = checked.filter("window is null").select("row_key", "first", "stop").unionByName(hits)
     return spans.groupBy("row_key").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
