@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -102,14 +103,17 @@ class Skipped:
         self.open: list[tuple[str, int, int, int]] = []  # name, kind, position in the page, `chars` at the start
         self.closed = self.chars = 0  # links and elements of kind 2 that are open; characters
         self.sizes: list[tuple[int, int]] = []  # position and characters of elements of kind 1
+        self.names: Counter[str] = Counter()  # of the open elements
 
     def push(self, name: str, kind: int, at: int) -> None:
         self.open.append((name, kind, at, self.chars))
+        self.names[name] += 1
         self.closed += kind == 2 or name == "a"
 
     def pop(self, to: int) -> None:
         while len(self.open) > to:
             name, kind, at, before = self.open.pop()
+            self.names[name] -= 1
             self.closed -= kind == 2 or name == "a"
             if kind == 1:
                 self.sizes.append((at, self.chars - before))
@@ -119,13 +123,17 @@ class Skipped:
             self.chars += len("".join(html.unescape(text).split()))
 
     def last(self, name: str) -> int:
+        if not self.names[name]:
+            return -1
         return next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == name), -1)
 
 
 def parse(page: str, stay: frozenset[int] = frozenset()) -> tuple[Node, Skipped]:
     """The element tree without unwanted elements, but for those at the positions `stay`, and what was skipped; unclosed and stray
-    tags are mended as the HTML standard does for common cases."""
+    tags are mended as the HTML standard does for common cases. Names of open elements are counted, so that a stray tag does not look
+    through all of them."""
     root = node = Node("html", None)
+    names: Counter[str] = Counter()
     skip = Skipped()
     at, end = 0, len(page)
     while at < end:
@@ -150,11 +158,8 @@ def parse(page: str, stay: frozenset[int] = frozenset()) -> tuple[Node, Skipped]
                     skip.pop(0)  # an unclosed unwanted element ends with what it stands in
                 if skip.open or name not in ("article", "main", "body", "html"):
                     continue
-            up = node
-            while up is not None and up.name != name:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if names[name]:
+                node = _closed(node, name, names)
             elif name == "br":
                 node.children.append("\n")
             continue
@@ -170,7 +175,7 @@ def parse(page: str, stay: frozenset[int] = frozenset()) -> tuple[Node, Skipped]
                 skip.push(name, _unwanted(name, token.group(3)), token.start())
             continue
         if name in CLOSES_P or name in ENDS_WITH_NEXT:
-            node = _close_implied(node, name)
+            node = _close_implied(node, name, names)
         kind = _unwanted(name, token.group(3))
         if kind == 2 or kind and token.start() not in stay:
             if name not in VOID:
@@ -182,21 +187,38 @@ def parse(page: str, stay: frozenset[int] = frozenset()) -> tuple[Node, Skipped]
         node.children.append(child)
         if name not in VOID and not (token.group(3).endswith("/") and name not in BLOCKS):
             node = child
+            names[name] += 1
     skip.pop(0)
     return root, skip
 
 
-def _close_implied(node: Node, name: str) -> Node:
+def _closed(node: Node, name: str, names: Counter[str]) -> Node:
+    """The node around the innermost open element of this name; it and all inside it are open no more."""
+    while True:
+        names[node.name] -= 1
+        if node.name == name:
+            return node.parent
+        node = node.parent
+
+
+def _close_implied(node: Node, name: str, names: Counter[str]) -> Node:
     """The node that an element of this name is put into: an open paragraph, item or cell ends before it."""
     ends, scope = ENDS_WITH_NEXT.get(name, frozenset()), SCOPES.get(name, frozenset(["table"]))
     up, found = node, None
-    while up.parent is not None:
+    left = sum(names[n] for n in ends) + (names["p"] if name in CLOSES_P and "p" not in ends else 0)
+    while up.parent is not None and left:
         if up.name == "p" and name in CLOSES_P or up.name in ends:
             found = up
+            left -= 1
         if up.name in scope and ends or up.name in ("table", "td", "th", "article", "section", "div", "blockquote") and up.name not in ends:
             break
         up = up.parent
-    return found.parent if found else node
+    if not found:
+        return node
+    while node is not found.parent:
+        names[node.name] -= 1
+        node = node.parent
+    return node
 
 
 def _order(root: Node) -> list[Node]:

@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from aisleframe.llm.extraction import extract_pages, main_text
+from aisleframe.llm.extraction import extract_pages, main_text, parse
 
 PARAGRAPHS = [
     "This is the first paragraph of the story, with enough words to be one.",
@@ -105,3 +107,12 @@ def test_forms_around_the_page():
     for inside in (f"{controls}<div><h1>Title</h1>{BODY}</div>", f"<fieldset class=widget><div><h1>Title</h1>{BODY}</div>{controls}</fieldset>"):
         assert main_text(f"<body><form id=aspnetForm method=post><div class=nav><a>Home</a></div>{inside}</form>{small}</body>").split("\n") == LINES
     assert main_text("<form><nav>a b c</nav></form>") == ""
+
+
+@pytest.mark.parametrize("many", ["<b>{}</i>", "<nav><b>{}</i>", "<b>{}<p>x"])
+def test_many_stray_tags(many):
+    opened, stray = many.split("{}")
+    page = f"<div>{opened * 200_000}{stray * 200_000}</div>"
+    began = time.perf_counter()
+    parse(page)
+    assert time.perf_counter() - began < 20  # the square of the number would take hours
