@@ -27,6 +27,7 @@ from aisleframe.llm.shared import stash
 
 DISCOUNT = 0.75
 HEAD = 1 << 16
+EXACT = 1 << 12
 FLUSH = 400_000
 LOG10 = math.log(10)
 
@@ -124,6 +125,20 @@ def _by_head(head):
     return run
 
 
+def _least_count(words: DataFrame, head: int) -> int:
+    """The smallest count that at most `head` words reach. Counts from EXACT on are looked at in steps of 1/256 of a doubling, so
+    the histogram has a fixed number of rows, and a word table of any size sends no more than that to the driver."""
+    fine = F.floor(F.log2(F.col("n").cast("double") / EXACT) * 256).cast("int") + EXACT
+    steps = words.select(F.when(F.col("n") < EXACT, F.col("n").cast("int")).otherwise(fine).alias("step"), "n")
+    room, least = head, None
+    for row in steps.groupBy("step").agg(F.count("*").alias("k"), F.min("n").alias("n")).orderBy(F.desc("step")).collect():
+        room -= row["k"]
+        if room < 0:
+            break
+        least = row["n"]
+    return (1 << 62) if least is None else least
+
+
 def score_texts(
     docs: DataFrame, held: Column | None = None, vocabulary: str = VOCABULARY, discount: float = DISCOUNT, head: int = HEAD,
 ) -> DataFrame:
@@ -152,7 +167,7 @@ def score_texts(
     model = F.when(c > 0, F.log10(own + backed)).otherwise((F.col("lattice") + free) / LOG10)
     words = stash(counts.mapInArrow(_lattice(pieces), "word string, n long, lattice double").select(
         "word", "n", F.log10((c + 1) / float(total + distinct + 1)).alias("b"), model.alias("m")))
-    top = words.orderBy(F.desc("n"), "word").limit(head).collect()  # a fixed number of rows
+    top = words.filter(F.col("n") >= _least_count(words, head)).collect()  # at most `head` rows
     frequent = spark.sparkContext.broadcast({r["word"].encode(): (r["b"], r["m"], r["n"] > 0) for r in top})
     end_base = math.log10((ends + 1) / (total + distinct + 1))
     # a text's end is no marked word: its lattice probability is 0, unless nothing was seen at all

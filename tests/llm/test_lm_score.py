@@ -96,3 +96,16 @@ def test_without_training_rows(docs_of):
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in found) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     assert all(r["score"] <= 0 for r in found)
     assert L.score_texts(docs_of([])).collect() == []
+
+
+def test_least_count(spark):
+    counts = [9, 9, 7, 5, 5, 5, 1, 0, 70_000, 70_001, 900_000]
+    words = spark.createDataFrame([(str(i), n) for i, n in enumerate(counts)], "word string, n long")
+    for head in range(len(counts) + 2):
+        least = L._least_count(words, head)
+        taken = [n for n in counts if n >= least]
+        assert len(taken) <= head
+        if head >= len(counts):
+            assert len(taken) == len(counts)
+    assert L._least_count(words, 5) == 9  # the three 5s and the 7 do not fit below 900000, 70001, 70000, 9, 9
+    assert L._least_count(words.filter("n < 0"), 5) > 1 << 60
