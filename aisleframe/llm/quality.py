@@ -160,9 +160,10 @@ def estimates(vectors: DataFrame, h: float = H, steps: int = STEPS) -> DataFrame
     """Mean and inverse covariance of each group of vectors (group, v_*), one row per group."""
     model = stash(_start(vectors))
     for _ in range(steps):
-        last = stash(_quantile_tier(vectors, model, h))
-        inner = vectors.join(model.join(last, "group"), "group").filter(_tier() <= F.col("last")).select("group", *NAMES)
-        sizes = model.select("group", F.col("rows").alias("all_rows"))
+        # written with its limits: the size of a join of two tables is taken to be their product, and the vectors would be shuffled
+        limits = stash(model.join(_quantile_tier(vectors, model, h), "group"))
+        inner = vectors.join(limits, "group").filter(_tier() <= F.col("last")).select("group", *NAMES)
+        sizes = limits.select("group", F.col("rows").alias("all_rows"))
         model = stash(_moments(inner).join(sizes, "group").withColumn("rows", F.col("all_rows")).drop("all_rows"))
     middle = _quantile_tier(vectors, model, 0.5)
     # never narrower than estimated: a group of nearly equal texts keeps its floors
