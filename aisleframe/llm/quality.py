@@ -27,6 +27,8 @@ H = 0.75
 STEPS = 4
 CUT = 0.9999999
 LEAST_ROWS = 100
+SENT_BYTES = 8 << 20  # of models; more are joined by a shuffle
+SALT = 64
 TIERS = 32  # histogram steps for each factor e of a squared distance
 #: Statistic vector and the smallest standard deviation each part is taken to have: deviations below are no evidence.
 VECTOR = {"v_length": 0.15, "v_symbols": 0.5, "v_dup_lines": 0.5, "v_repeats": 0.6, "v_upper": 0.5, "v_points": 0.4}
@@ -146,9 +148,23 @@ def _start(rows: DataFrame) -> DataFrame:
     return q.select("group", "rows", *cols)
 
 
-def _quantile_tier(rows: DataFrame, model: DataFrame, share: float) -> DataFrame:
+def _few(model: DataFrame) -> bool:
+    """Whether the rows of a model, one for each group, take at most SENT_BYTES."""
+    return (model.agg(F.sum(F.octet_length("group") + 8 * len(_MODEL))).first()[0] or 0) <= SENT_BYTES
+
+
+def _with_model(rows: DataFrame, model: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """Rows with their group's model. Few groups go to every task; else a group's rows are dealt over SALT tasks. The rows are the same."""
+    if few:
+        return rows.join(F.broadcast(model), "group", how)
+    dealt = rows.withColumn("salt", F.pmod(F.hash(*NAMES), F.lit(SALT)))
+    each = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return dealt.join(each, ["group", "salt"], how).drop("salt")
+
+
+def _quantile_tier(rows: DataFrame, model: DataFrame, share: float, few: bool) -> DataFrame:
     """(group, tier): the histogram tier up to which the given share of the group's rows lies."""
-    tiers = rows.join(model, "group").select("group", _tier().alias("tier")).groupBy("group", "tier").agg(F.count("*").alias("k"))
+    tiers = _with_model(rows, model, few).select("group", _tier().alias("tier")).groupBy("group", "tier").agg(F.count("*").alias("k"))
     order = Window.partitionBy("group").orderBy("tier")
     whole = Window.partitionBy("group")
     below = F.sum("k").over(order) - F.col("k")
@@ -159,13 +175,13 @@ def _quantile_tier(rows: DataFrame, model: DataFrame, share: float) -> DataFrame
 def estimates(vectors: DataFrame, h: float = H, steps: int = STEPS) -> DataFrame:
     """Mean and inverse covariance of each group of vectors (group, v_*), one row per group."""
     model = stash(_start(vectors))
+    few = _few(model)
     for _ in range(steps):
-        # written with its limits: the size of a join of two tables is taken to be their product, and the vectors would be shuffled
-        limits = stash(model.join(_quantile_tier(vectors, model, h), "group"))
-        inner = vectors.join(limits, "group").filter(_tier() <= F.col("last")).select("group", *NAMES)
+        limits = stash(model.join(_quantile_tier(vectors, model, h, few), "group"))
+        inner = _with_model(vectors, limits, few).filter(_tier() <= F.col("last")).select("group", *NAMES)
         sizes = limits.select("group", F.col("rows").alias("all_rows"))
         model = stash(_moments(inner).join(sizes, "group").withColumn("rows", F.col("all_rows")).drop("all_rows"))
-    middle = _quantile_tier(vectors, model, 0.5)
+    middle = _quantile_tier(vectors, model, 0.5, few)
     # never narrower than estimated: a group of nearly equal texts keeps its floors
     factor = F.greatest(F.exp((F.col("last") + 0.5) / TIERS) / chi_square(0.5, D), F.lit(1.0))
     scaled = [(F.col(f"s_{i}_{j}") / factor).alias(f"s_{i}_{j}") for i, j in PAIRS]
@@ -193,11 +209,12 @@ def quality_verdicts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), cut:
     plain = stash(plain.withColumn("base_failed", failed))
     vectors = plain.filter("not base_failed").select(F.explode(F.array(*_groups())).alias("group"), *_vectors())
     models = estimates(vectors).filter(F.col("rows") >= F.when(F.col("group") == "0", 1).otherwise(least_rows))
+    few = _few(models)
     judged = plain.select("*", *_vectors())
     options = []
     for i, group in enumerate(_groups()):
         model = models.filter(F.col("group").startswith(str(2 - i)))
-        judged = judged.withColumn("group", group).join(model, "group", "left")
+        judged = _with_model(judged.withColumn("group", group), model, few, "left")
         judged = judged.withColumn(f"d_{i}", _distance()).drop(*_MODEL)
         options.append(F.col(f"d_{i}"))
     distance = F.when(~F.col("base_failed"), F.coalesce(*options))

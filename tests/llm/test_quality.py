@@ -103,3 +103,11 @@ def test_empty_table(docs_of):
 
 def test_quantiles():
     assert Q.chi_square(0.95, 6) == pytest.approx(12.59, rel=0.01) and Q.chi_square(0.5, 6) == pytest.approx(5.348, rel=0.01)
+
+
+def test_many_groups_are_dealt(docs_of, monkeypatch):
+    shape = lambda: sorted(
+        (str(r["doc_id"]), r["n_words"], r["kept"], round(r["distance"] or 0.0, 6)) for r in Q.quality_verdicts(docs_of(corpus())).collect())
+    sent = shape()
+    monkeypatch.setattr(Q, "SENT_BYTES", -1)
+    assert shape() == sent
