@@ -1,16 +1,17 @@
 """License notices in texts by conditional compression.
 
-Around each cue word, windows little longer than each notice are compared word by word with it, across lines and paragraphs:
-every notice whose wording is there, but for a few words that do not name the license, is a finding, however much text stands
-before and after it and wherever its lines are broken. Candidate blocks, for notices with more words put in between, are lines
-with a cue word, and paragraphs with cue words on several lines. Each is compressed by zstandard alone and once with every
-notice as a raw dictionary: the more the size falls, the more of its wording the notice explains. All notices that explain
-enough are compared word by word with the block.
+A candidate window is a cue word with as many words on both sides as a notice may take, across lines and paragraphs. It is
+compressed by zstandard alone and with the notice as a raw dictionary. The bytes saved, against those that the dictionary saves
+on the notice itself, say how much of the notice the window holds, however much other text stands around it. Notices are
+ranked by this gain; those that explain enough are compared word by word with the window, best first, and the exact differences
+decide. Lines with a cue word, and paragraphs with cue words on several lines, are candidates too, for notices with more words
+put in between; there the share of the block's size counts.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 from itertools import islice
@@ -20,7 +21,12 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from aisleframe.llm.hashing import chunked
-
+# Names of licenses as tags write them, and as notices do.
+TAGGED = (
+    ("Apache-2.0", "Apache License 2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL v3"), ("GPL-2.0", "GPL v2"), ("LGPL-3.0", "LGPL v3"),
+    ("AGPL-3.0", "AGPL v3"), ("MPL-2.0", "MPL 2.0"), ("BSD-3-Clause", "BSD 3-Clause"), ("BSD-2-Clause", "BSD 2-Clause"),
+    ("ISC", "ISC"), ("CC-BY-4.0", "CC BY 4.0"), ("CC-BY-SA-4.0", "CC BY-SA 4.0"), ("CC0-1.0", "CC0 1.0"))
+FORMS = ("SPDX-License-Identifier: {tag}", "License: {tag}", "License: {name}", "available under the {name} licence")
 # Public wordings of license notices.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -31,6 +37,12 @@ NOTICES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
      "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
      "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("MIT", "MIT License"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+     "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+     "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    ("GPL-3.0", "GNU GPL v3"),
+    ("GPL-2.0", "GNU GPL v2"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
      "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
@@ -56,15 +68,21 @@ NOTICES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+TAGS = tuple(
+    dict.fromkeys((license_, form.format(tag=license_, name=name)) for form in FORMS for license_, name in TAGGED))
 _GAP = rb"[\s*#/;%!|<>-]+"  # a line may end between two words
 CUES = re.compile(
-    rb"licen[sc]|copyright|public" + _GAP + rb"domain|creative" + _GAP + rb"commons|permission|redistribut|free" + _GAP + rb"software", re.I)
+    rb"licen[sc]|gnu" + _GAP + rb"gpl|copyright|public" + _GAP + rb"domain|unencumbered|creative" + _GAP + rb"commons|permission|"
+    rb"redistribut|binary" + _GAP + rb"forms|code" + _GAP + rb"form|free" + _GAP + rb"software|under" + _GAP + rb"law|neighbou?ring", re.I)
 
-RANKED = len(NOTICES)  # notices whose wording is compared, those that explain most: all that explain enough
+LEAST_GAIN = 0.3  # of the bytes that a notice saves on itself
+LEAST_OWN = 16  # bytes; zstandard saves next to nothing on shorter notices, which are compared word by word at every cue
 LEAST_SHARE = 0.2  # of a block's compressed size
 SPARE = 10  # one word in so many of a notice may be missing or different
 BETWEEN = 4  # words that a window holds beside the notice's own, and one more for so many of these
+SHORT = 4  # notices of at most so many words have none in between
 LEVEL = 3
+FINE_LEVEL = 13  # of windows, where matches of few bytes tell notices apart
 
 _WORD = re.compile(r"[^\s]+")
 _BYTE_WORD = re.compile(rb"[^\s]+")
@@ -81,7 +99,13 @@ def _words(text: str) -> list[str]:
 # Words that tell licenses apart, beside all words with a digit.
 _NAMING = frozenset(
     "apache mit gnu general lesser affero mozilla bsd isc creative commons attribution attribution-sharealike attribution-noncommercial "
-    "attribution-noderivatives attribution-noncommercial-sharealike cc by by-sa by-nc by-nc-sa by-nd by-nc-nd unencumbered waived".split())
+    "attribution-noderivatives attribution-noncommercial-sharealike gpl lgpl agpl mpl cc by by-sa by-nc by-nc-sa by-nd by-nc-nd unencumbered waived".split())
+
+
+# Words that take a notice back where one of the others follows at once or after one word.
+_DENYING = frozenset("not never isn't aren't neither nor".split())
+_GRANTING = frozenset("licensed released available covered distributed published offered under".split())
+DENIED = 8  # words from there on, in the same sentence, at which no notice begins
 
 
 def naming(word: str) -> bool:
@@ -156,22 +180,29 @@ def _differences(have: list[str], want: list[str]) -> tuple[int, list[str], bool
     return changed, shown, named, equal[0][0], equal[-1][1]
 
 
+def _compressors(notices, level: int) -> tuple[zstandard.ZstdCompressor, list[zstandard.ZstdCompressor]]:
+    """One without and one with each notice as a raw dictionary."""
+    raw = [zstandard.ZstdCompressionDict(n.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for _, n in notices]
+    return zstandard.ZstdCompressor(level=level), [zstandard.ZstdCompressor(level=level, dict_data=d) for d in raw]
+
+
 class Scanner:
-    def __init__(self, notices=NOTICES):
+    def __init__(self, notices=NOTICES + TAGS):
         self.notices = notices
-        self.alone = zstandard.ZstdCompressor(level=LEVEL)
-        self.given = [  # notices and blocks are compressed in lower case, with single spaces
-            zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(n.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-            for _, n in notices]
+        # notices and blocks are compressed in lower case, with single spaces
+        self.alone, self.given = _compressors(notices, LEVEL)
+        self.alone_fine, self.given_fine = _compressors(notices, FINE_LEVEL)
         self.wants = [_words(n) for _, n in notices]
         self.needs = [(frozenset(w), frozenset(filter(naming, w)), len(w) // SPARE) for w in self.wants]
-        self.widths = [len(w) + BETWEEN + len(w) // BETWEEN for w in self.wants]
+        self.widths = [len(w) + (BETWEEN + len(w) // BETWEEN if len(w) > SHORT else 0) for w in self.wants]
         self.reach = max(self.widths)
+        self.ranked: dict[tuple[int, str], list[tuple[int, int, int]]] = {}
+        self.own = [self._bytes_saved(" ".join(n.lower().split()).encode(), k) for k, (_, n) in enumerate(notices)]
         self.seen: dict[bytes, list[tuple]] = {}
 
     def scan(self, block: bytes) -> tuple[str, float, int, str] | None:
-        """The finding of in_block with the fewest changed words, or None."""
-        return min(self.in_block(block), key=lambda hit: hit[2], default=None)
+        """The finding with the fewest changed words, or None."""
+        return min((hit[1:] for hit in self.findings(block)), key=lambda hit: hit[2], default=None)
 
     def in_block(self, block: bytes) -> list[tuple[str, float, int, str]]:
         """(license, share of the size that its notice saves, changed words, differences) of a block, one per license."""
@@ -185,12 +216,16 @@ class Scanner:
         text = block.decode(errors="replace")
         plain = " ".join(text.lower().split()).encode()
         size = len(self.alone.compress(plain))
-        saved = [(1 - len(c.compress(plain)) / size, -k) for k, c in enumerate(self.given)]
+        written = [t.lower() for t in _WORD.findall(text) if _word(t)]
+        words, denied = _words(text), [*_denials(written), False]
+        saved = [(1 - len(c.compress(plain)) / size, -k) for k, c in enumerate(self.given) if len(self.wants[k]) > SHORT]
         found: dict[str, tuple] = {}
-        for share, k in sorted(saved, reverse=True)[:RANKED]:
+        for share, k in sorted(saved, reverse=True):
             if share < LEAST_SHARE:
                 break
             license_, notice = self.notices[-k]
+            if denied[_differences(words, self.wants[-k])[3]]:
+                continue
             changed, shown, named = differences(text, notice)
             if not named and changed * SPARE <= len(_words(notice)) and (license_ not in found or changed < found[license_][2]):
                 found[license_] = (license_, share, changed, "; ".join(shown))
@@ -224,7 +259,7 @@ class Scanner:
                     words.append(word)
                     lines.append(line)
             taken: list[tuple[str, int, int]] = []
-            for changed, _, first, end, k, shown in sorted(self._wordings(words)):
+            for changed, _, first, end, k, shown in sorted(set(self._confirmed(words, written))):
                 license_ = self.notices[k][0]
                 if any(other == license_ and first < e and f < end for other, f, e in taken):
                     continue
@@ -235,23 +270,74 @@ class Scanner:
                     found[lines[first], license_] = (share, changed, shown)
         return [(*key, *value) for key, value in sorted(found.items())]
 
-    def _wordings(self, words: list[str]) -> Iterator[tuple[int, int, int, int, int, str]]:
-        """(changed words, minus length, first word, end, notice, differences) of windows that hold the wording of a notice."""
-        have = set(words)
-        for k, want in enumerate(self.wants):
-            needed, names, spare = self.needs[k]
-            if len(needed - have) > spare or not names <= have:
+    def _bytes_saved(self, plain: bytes, k: int) -> int:
+        return len(self.alone_fine.compress(plain)) - len(self.given_fine[k].compress(plain))
+
+    def ranking(self, written: list[str], at: int) -> list[tuple[float, int, int, int]]:
+        """(gain, notice, first word, end) of the windows around the cue word at `at`, one for each notice, largest gain first."""
+        alone: dict[int, tuple[bytes, int]] = {}
+        ranked = []
+        for k, width in enumerate(self.widths):
+            first, end = max(at - width, 0), at + width + 1
+            if width not in alone:
+                plain = " ".join(written[first: end]).encode()
+                alone[width] = plain, len(self.alone_fine.compress(plain))
+            plain, size = alone[width]
+            ranked.append(((size - len(self.given_fine[k].compress(plain))) / max(self.own[k], 1), k, first, end))
+        return sorted(ranked, key=lambda r: (-r[0], r[1]))
+
+    def _confirmed(self, words: list[str], written: list[str]) -> Iterator[tuple[int, int, int, int, int, str]]:
+        """(changed words, minus length, first word, end, notice, differences) of the wordings in windows whose gain is large enough."""
+        denied = _denials(written)
+        for at in cue_words(written):
+            key = min(at, self.reach), " ".join(written[max(at - self.reach, 0): at + self.reach + 1])
+            if key not in self.ranked:  # boilerplate repeats
+                if len(self.ranked) >= 10_000:
+                    self.ranked.clear()
+                self.ranked[key] = [
+                    (k, first - at, end - at) for gain, k, first, end in self.ranking(written, at) if gain >= LEAST_GAIN or self.own[k] < LEAST_OWN]
+            for k, first, end in self.ranked[key]:
+                yield from self.wordings(words, denied, k, at + first, at + end)
+
+    def wordings(self, words: list[str], denied: list[bool], k: int, low: int, high: int) -> Iterator[tuple[int, int, int, int, int, str]]:
+        """The same of the wordings of one notice between two words, by exact comparison alone."""
+        want, (needed, names, spare) = self.wants[k], self.needs[k]
+        have = set(words[low: high])
+        if len(needed - have) > spare or not names <= have:
+            return
+        starts, width = frozenset(want[:spare + 1]), self.widths[k]  # one of these words is unchanged
+        for p in range(low, min(high, len(words))):
+            if words[p] not in starts:
                 continue
-            starts, width = frozenset(want[:spare + 1]), self.widths[k]  # one of these words is unchanged
-            for p, word in enumerate(words):
-                if word not in starts:
-                    continue
-                window = words[p: p + width]
-                if len(needed.difference(window)) > spare or not names.issubset(window):
-                    continue
-                changed, shown, named, first, end = _differences(window, want)
-                if not named and changed <= spare:
-                    yield changed, first - end, p + first, p + end, k, "; ".join(shown)
+            window = words[p: min(p + width, high)]
+            if len(needed.difference(window)) > spare or not names.issubset(window):
+                continue
+            changed, shown, named, first, end = _differences(window, want)
+            if not named and changed <= spare and not denied[p + first]:
+                yield changed, first - end, p + first, p + end, k, "; ".join(shown)
+
+
+def _denials(written: list[str]) -> list[bool]:
+    """Whether a notice that begins at the word would be a denied one."""
+    denied, left = [], 0
+    for at, token in enumerate(written):
+        left = max(left - 1, 0)
+        if _word(token) in _DENYING and not _GRANTING.isdisjoint(map(_word, written[at + 1: at + 3])):
+            left = DENIED
+        denied.append(left > 0)
+        if token[-1] in ".;:!?":
+            left = 0
+    return denied
+
+
+def cue_words(written: list[str]) -> list[int]:
+    """Where the words with which a cue begins stand."""
+    text = " ".join(written).encode()
+    starts, at = [], 0
+    for word in written:
+        starts.append(at)
+        at += len(word.encode()) + 1
+    return sorted({bisect_right(starts, cue.start()) - 1 for cue in CUES.finditer(text)})
 
 
 def _scan(keep: list[str]):
@@ -277,7 +363,7 @@ def license_findings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Da
     line is the line on which the notice begins, from 0, or the first cue line of the paragraph for a notice with so many words
     put in between that no window holds it. A line has one row for each license whose notices begin on it, and a text any number
     of findings; null and empty texts, and texts without a notice, have none. Among notices of a license that explain a block
-    equally well the first listed wins. saved is the share of the line's compressed size, or of the notice's own stretch where
+    equally well the first listed wins. A notice whose sentence denies it is none. saved is the share of the line's compressed size, or of the notice's own stretch where
     it is found by a window. Rows that repeat give repeated rows. Other columns of docs are not looked at.
     """
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
