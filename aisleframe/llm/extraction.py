@@ -4,6 +4,8 @@ The page becomes a tree of elements. For every node the characters and tags belo
 its density is characters per tag, adjusted by how much of the text is link text and by the page's own ratio. A node's
 density sum adds the densities of its children. The node with the largest sum marks the body: the smallest density on
 its path to the root is the threshold, and the subtrees beside the path that are as dense are main text as well, in page order.
+Where the body lies in an article or main element, the path ends there: what is beside it stays out, but for articles of like
+density, and divisions inside that do not reach the threshold go.
 Elements that carry no text of their own by their kind or name (menus, forms, notices, comments, ...) are left out of
 the tree before the counts, and so are the subtrees of the main node that hold mostly link text. A form, and an element left
 out for its name only, stays if it holds most of the page's text outside links; its controls go.
@@ -54,6 +56,7 @@ _NEVER = re.compile(
 _WRAPPERS = frozenset("form fieldset".split())
 
 HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+DIVISIONS = frozenset("div section".split())
 SHORTER = 8  # so many times less text per tag has a block of paragraphs that still belongs to the body
 
 _TOKEN = re.compile(
@@ -270,12 +273,17 @@ def _main(nodes: list[Node]) -> tuple[Node, dict[Node, list[Node | str]]]:
     while around is not None and around.name not in ("article", "main"):
         around = around.parent
     if around is not None:
-        return around, {}
+        whole, shown = _inside(around, body, best)
+        beside = [a for a in articles if around.name == "article" and a.parent is around.parent and (a is around or _as_long(a, around))]
+        if len(beside) < 2:
+            return whole, shown
+        return around.parent, {**shown, around.parent: beside}
     inner = [a for a in articles if _within(a, body)]
     if inner:
         largest = max(inner, key=lambda n: n.chars)
-        if largest.chars * 2 > body.chars:
-            return largest, {}
+        beside = [a for a in inner if a is largest or a.parent is largest.parent and _as_long(a, largest)]
+        if sum(a.chars for a in beside) * 2 > body.chars:
+            return (largest, {}) if len(beside) < 2 else (largest.parent, {largest.parent: beside})
     path = [body]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
@@ -303,6 +311,30 @@ def _main(nodes: list[Node]) -> tuple[Node, dict[Node, list[Node | str]]]:
         top = up
 
 
+def _inside(around: Node, body: Node, best: Node) -> tuple[Node, dict[Node, list[Node | str]]]:
+    """The element that bounds the main text, without the divisions beside the body's path that are not as dense as the path.
+
+    A division of paragraphs or headings may have shorter ones; where the body has neither, divisions are its paragraphs."""
+    if not _paragraphs(body):
+        return around, {}
+    path = [body]
+    while path[-1] is not around:
+        path.append(path[-1].parent)
+    density, per_tag = min(n.density for n in (best, *path)), min(map(_per_tag, path))
+    stays = lambda c: isinstance(c, str) or c.name not in DIVISIONS or _mostly_plain(c) and (
+        _as_dense(c, density, per_tag) or _paragraphs(c) > 0 and _per_tag(c) * SHORTER >= per_tag)
+    return around, {up: [c for c in up.children if c is on or stays(c)] for on, up in zip(path, path[1:], strict=False)}
+
+
+def _paragraphs(node: Node) -> int:
+    return sum(n.name in HEADINGS and _mostly_plain(n) for n in _order(node))
+
+
+def _as_long(article: Node, largest: Node) -> bool:
+    """Whether an article beside the largest is another part of the text: its paragraphs are at least half as long."""
+    return _mostly_plain(article) and _paragraphs(article) > 1 and _per_tag(article) * 2 >= _per_tag(largest)
+
+
 def _per_tag(node: Node) -> float:
     return (node.chars - node.link_chars) / max(node.tags, 1)
 
@@ -318,7 +350,7 @@ def _as_dense(node: Node, density: float, per_tag: float) -> bool:
         return False
     if node.density >= density or _per_tag(node) >= per_tag:
         return True
-    return _per_tag(node) * SHORTER >= per_tag and sum(n.name in HEADINGS and _mostly_plain(n) for n in _order(node)) > 1
+    return _per_tag(node) * SHORTER >= per_tag and _paragraphs(node) > 1
 
 
 def _within(node: Node | None, of: Node) -> bool:

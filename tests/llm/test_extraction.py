@@ -101,6 +101,34 @@ def test_names_around_the_article(attributes, inner):
     assert main_text(page).split("\n") == LINES
 
 
+@pytest.mark.parametrize("around", ["main", "article", "div"])
+def test_divisions_in_the_article_are_judged_by_density(around):
+    texts = paragraphs("p", 5, 40)
+    inner = "".join(f"<p>{t}</p>" for t in texts)
+    extra = "<div><a href=1>Home</a> <a href=2>News</a></div>", "<div>Sign up for our letter!</div>"
+    page = f"<body><{around}>{extra[0]}<div><h1>Title</h1>{inner}</div>{extra[1]}</{around}><footer>f</footer></body>"
+    assert main_text(page).split("\n") == ["Title", *texts]
+
+
+def test_divisions_of_the_article_stay():
+    texts = paragraphs("p", 5, 40)
+    inner = "".join(f"<p>{t}</p>" for t in texts)
+    for tag in ("article", "main"):
+        page = f"<{tag}><h1>Title</h1><div>{inner}</div><ul><li>one<li>two</ul><section><h2>End</h2><p>A last remark of a few words here.</p></section></{tag}>"
+        assert main_text(page).split("\n") == ["Title", *texts, "one", "two", "End", "A last remark of a few words here."]
+        page = f"<{tag}>" + "".join(f"<div>{t}</div>" for t in (*texts, "Short <b>one</b>.")) + f"</{tag}>"
+        assert main_text(page).split("\n") == [*texts, "Short one."]
+
+
+@pytest.mark.parametrize("around", ["main", "div"])
+def test_two_articles(around):
+    first, second = paragraphs("a", 4, 50), paragraphs("b", 3, 45)
+    article = lambda ts: "<article>" + "".join(f"<p>{t}</p>" for t in ts) + "</article>"
+    teasers = "<article><h3>Other story</h3><p>Some words of it.</p></article>" * 2
+    page = f"<nav>n</nav><{around}>{article(first)}{article(second)}{teasers}</{around}><footer>f</footer>"
+    assert main_text(page).split("\n") == [*first, *second]
+
+
 def test_forms_around_the_page():
     controls = "<input name=q><select><option>One<option>Two</select><button>Search now</button><label>Your name</label><textarea>t</textarea>"
     small = "<form><input><p>Subscribe now</p></form>"
