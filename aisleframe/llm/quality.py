@@ -3,7 +3,8 @@
 Each text that passes the plain rules gives a vector of transformed statistics. For every language and source (and every
 language, and all texts, for groups that are too small) a minimum-covariance-determinant estimate is found: start from
 medians and quartiles, keep the share H of rows with the smallest distances, take mean and covariance of those, and
-repeat. A last step scales the covariance so that the median distance is that of a chi-square. Texts whose squared
+repeat until no group's determinant falls any more; of all steps the smallest determinant counts. A variance is raised to its
+floor only where the group's own is below it. A last step scales the covariance so that the median distance is that of a chi-square. Texts whose squared
 Mahalanobis distance is beyond the chi-square quantile CUT are rejected.
 
 The rows are never gathered: a step is one histogram of distances and one set of moment sums per group, both
@@ -24,14 +25,17 @@ from aisleframe.llm.hashing import Texts, as_bytes, chunked, mix
 from aisleframe.llm.shared import stash
 
 H = 0.75
-STEPS = 4
+STEPS = 30  # at most; some ten are usual
+FALLS = 1e-3  # of the determinant's logarithm: a smaller fall is the end
 CUT = 0.9999999
 LEAST_ROWS = 100
 SENT_BYTES = 8 << 20  # of models; more are joined by a shuffle
 SALT = 64
 TIERS = 32  # histogram steps for each factor e of a squared distance
-#: Statistic vector and the smallest standard deviation each part is taken to have: deviations below are no evidence.
-VECTOR = {"v_length": 0.15, "v_symbols": 0.5, "v_dup_lines": 0.5, "v_repeats": 0.6, "v_upper": 0.5, "v_points": 0.4}
+#: Statistic vector and the smallest standard deviation each part is taken to have where a group has hardly any spread. With CUT, from a
+#: median of 0, some 7 symbols in 100 words are then too many. A line that stands twice raises two parts, whose floors are larger:
+#: one such line in a short text is no junk.
+VECTOR = {"v_length": 0.15, "v_symbols": 0.3, "v_dup_lines": 0.5, "v_repeats": 0.6, "v_upper": 0.35, "v_points": 0.35}
 NAMES = list(VECTOR)
 D = len(NAMES)
 PAIRS = [(i, j) for i in range(D) for j in range(i, D)]
@@ -111,7 +115,7 @@ def _tier() -> Column:
     return F.floor(F.log(F.greatest(_distance(), F.lit(1e-9))) * TIERS).cast("int")
 
 
-_MODEL = ["group", "rows", *[f"m_{i}" for i in range(D)], *[f"s_{i}_{j}" for i, j in PAIRS]]
+_MODEL = ["group", "rows", "det", *[f"m_{i}" for i in range(D)], *[f"s_{i}_{j}" for i, j in PAIRS]]
 _MODEL_TYPES = ", ".join(f"`{n}` " + ("string" if n == "group" else "bigint" if n == "rows" else "double") for n in _MODEL)
 
 
@@ -124,9 +128,9 @@ def _invert(pdfs):
             cov = np.empty((D, D))
             for i, j in PAIRS:
                 cov[i, j] = cov[j, i] = getattr(r, f"u_{i}_{j}") / r.rows - mean[i] * mean[j]
-            cov += np.diag([s * s for s in VECTOR.values()])
+            cov += np.diag([max(s * s - cov[i, i], 0.0) for i, s in enumerate(VECTOR.values())])
             inverse = np.linalg.inv(cov)
-            rows.append((r.group, r.rows, *mean.tolist(), *[float(inverse[i, j]) for i, j in PAIRS]))
+            rows.append((r.group, r.rows, float(np.linalg.slogdet(cov)[1]), *mean.tolist(), *[float(inverse[i, j]) for i, j in PAIRS]))
         yield type(pdf)(rows, columns=_MODEL)
 
 
@@ -143,9 +147,9 @@ def _start(rows: DataFrame) -> DataFrame:
     cols = [F.col(n)[1].alias(f"m_{i}") for i, n in enumerate(NAMES)]
     for i, j in PAIRS:
         spread = (F.col(NAMES[i])[2] - F.col(NAMES[i])[0]) / 1.349
-        value = 1 / (spread * spread + VECTOR[NAMES[i]] ** 2) if i == j else F.lit(0.0)
+        value = 1 / F.greatest(spread * spread, F.lit(VECTOR[NAMES[i]] ** 2)) if i == j else F.lit(0.0)
         cols.append(value.alias(f"s_{i}_{j}"))
-    return q.select("group", "rows", *cols)
+    return q.select("group", "rows", F.lit(float("inf")).alias("det"), *cols)
 
 
 def _few(model: DataFrame) -> bool:
@@ -179,13 +183,19 @@ def estimates(vectors: DataFrame, h: float = H, steps: int = STEPS) -> DataFrame
     for _ in range(steps):
         limits = stash(model.join(_quantile_tier(vectors, model, h, few), "group"))
         inner = _with_model(vectors, limits, few).filter(_tier() <= F.col("last")).select("group", *NAMES)
-        sizes = limits.select("group", F.col("rows").alias("all_rows"))
-        model = stash(_moments(inner).join(sizes, "group").withColumn("rows", F.col("all_rows")).drop("all_rows"))
+        step = _moments(inner).select("group", F.struct(*_MODEL[2:]).alias("new"))
+        falls = F.col("new.det") < F.col("det") - FALLS
+        better = [F.when(falls, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in _MODEL[2:]]
+        model = stash(model.join(step, "group").select("group", "rows", *better, falls.alias("fell")))
+        fell = model.filter("fell").limit(1).count()
+        model = model.drop("fell")
+        if not fell:
+            break
     middle = _quantile_tier(vectors, model, 0.5, few)
     # never narrower than estimated: a group of nearly equal texts keeps its floors
     factor = F.greatest(F.exp((F.col("last") + 0.5) / TIERS) / chi_square(0.5, D), F.lit(1.0))
     scaled = [(F.col(f"s_{i}_{j}") / factor).alias(f"s_{i}_{j}") for i, j in PAIRS]
-    return stash(model.join(middle, "group").select("group", "rows", *[f"m_{i}" for i in range(D)], *scaled))
+    return stash(model.join(middle, "group").select("group", "rows", "det", *[f"m_{i}" for i in range(D)], *scaled))
 
 
 def _groups() -> list[Column]:

@@ -64,11 +64,12 @@ def test_clean_texts_stay_and_junk_goes(judged):
 
 
 def brute_distances(x):
-    """The same estimate with numpy on one group: quartiles, steps on whole histogram tiers, scale by the median tier."""
+    """The same estimate with numpy on one group: quartiles, steps on whole histogram tiers while the determinant falls, scale by the
+    median tier."""
     n, floors = len(x), np.array(list(Q.VECTOR.values()))
     order = np.sort(x, axis=0)
     at = lambda p: order[max(math.ceil(p * n) - 1, 0)]
-    mean, inverse = at(0.5), np.diag(1 / (((at(0.75) - at(0.25)) / 1.349) ** 2 + floors ** 2))
+    mean, inverse = at(0.5), np.diag(1 / np.maximum(((at(0.75) - at(0.25)) / 1.349) ** 2, floors ** 2))
     square = lambda: np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
     tier = lambda: np.floor(np.log(np.maximum(square(), 1e-9)) * Q.TIERS).astype(int)
 
@@ -76,10 +77,15 @@ def brute_distances(x):
         t = tier()
         return max(v for v in set(t.tolist()) if (t < v).sum() < n * share)
 
-    for _ in range(Q.STEPS):
+    det = math.inf
+    while True:
         inner = x[tier() <= last(Q.H)]
-        mean = inner.mean(axis=0)
-        inverse = np.linalg.inv(inner.T @ inner / len(inner) - np.outer(mean, mean) + np.diag(floors ** 2))
+        cov = inner.T @ inner / len(inner) - np.outer(inner.mean(axis=0), inner.mean(axis=0))
+        np.fill_diagonal(cov, np.maximum(np.diag(cov), floors ** 2))
+        new = np.linalg.slogdet(cov)[1]
+        if new >= det - Q.FALLS:
+            break
+        det, mean, inverse = new, inner.mean(axis=0), np.linalg.inv(cov)
     factor = max(math.exp((last(0.5) + 0.5) / Q.TIERS) / Q.chi_square(0.5, Q.D), 1.0)
     return square() / factor
 
@@ -97,6 +103,35 @@ def test_estimate_against_numpy(spark):
         assert [have[tuple(map(float, r))] for r in own] == pytest.approx(brute_distances(own).tolist(), rel=1e-6)
 
 
+def test_determinant_falls_with_the_steps(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, Q.D)) @ rng.normal(size=(Q.D, Q.D))
+    x[:140] = x[:140] * 0.2 + 9
+    df = spark.createDataFrame([("g", *map(float, r)) for r in x], ["group", *Q.NAMES])
+    dets = [Q.estimates(df, steps=k).first()["det"] for k in (1, 2, 4, Q.STEPS)]
+    assert all(b <= a for a, b in zip(dets, dets[1:], strict=False)) and dets[-1] < dets[0]
+
+
+def test_moderate_outliers(docs_of):
+    """Symbols count by what the others of a source have: 10 to 25 in 100 words stay where all have them, and go where none has."""
+    rng = random.Random(11)
+
+    def marked(share):
+        return " ".join(w + "#" * (rng.random() < share) for w in clean(rng, rng.randint(150, 300)).split())
+
+    rows = [(i, clean(rng, rng.randint(60, 300)), "en", "plain") for i in range(300)]
+    rows += [(1000 + i, marked(rng.uniform(0.1, 0.25)), "en", "marked") for i in range(300)]
+    rows += [(2000 + i, marked(rng.uniform(0.15, 0.25)), "en", "plain") for i in range(8)]
+    found = {r["doc_id"]: r["kept"] for r in Q.quality_verdicts(docs_of(rows)).collect()}
+    assert all(kept for k, kept in found.items() if k < 2000) and not any(kept for k, kept in found.items() if k >= 2000)
+
+
+def test_null_language_and_source_are_told_apart(docs_of):
+    rng = random.Random(12)
+    rows = [(i, clean(rng, 80), *(("x", None), (None, "x"))[i % 2]) for i in range(240)]
+    assert all(r["kept"] for r in Q.quality_verdicts(docs_of(rows)).collect())
+
+
 def test_empty_table(docs_of):
     assert Q.quality_verdicts(docs_of([])).collect() == []
 
