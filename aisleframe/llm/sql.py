@@ -31,6 +31,19 @@ root AS (SELECT node, min(other) AS other FROM reach GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(root.other, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root ON root.node = d.doc_id"""
 
+_LEVEL = """
+c{d} AS MATERIALIZED (SELECT host, coalesce(array_to_string(ts, '/'), '') AS above, toks[{d}] AS token, CAST(count(*) AS DOUBLE) AS n,
+  CAST(sum(a) AS DOUBLE) AS a, CAST(sum(b) AS DOUBLE) AS b FROM s{e} WHERE len(toks) >= {d} GROUP BY ALL),
+p{d} AS MATERIALIZED (SELECT host, above, sum(n) AS m, sum(n * n) AS q, count(*) FILTER (a + b > 0) AS k,
+  (sum(b) + 0.5) / (sum(a) + sum(b) + 1) AS s FROM c{d} GROUP BY ALL),
+w{d} AS MATERIALIZED (SELECT host, above, token, m * m >= q * 8 AND n * 20 < m AS rare,
+  k > 1 AND a + b > 0 AND (b / greatest(a + b, 1) - s) * (b / greatest(a + b, 1) - s) * (a + b) <= s * (1 - s) * CAST(3.84 AS DOUBLE) AS branch
+  FROM c{d} JOIN p{d} USING (host, above)),
+s{d} AS MATERIALIZED (SELECT s.host, s.path, toks, a, b, CASE WHEN len(toks) < {d} THEN ts
+    ELSE list_append(ts, CASE WHEN rare OR branch AND len(toks) > {d} THEN '*' ELSE toks[{d}] END) END AS ts
+  FROM s{e} s LEFT JOIN w{d} w ON w.host = s.host AND w.above = coalesce(array_to_string(s.ts, '/'), '') AND w.token = s.toks[{d}]),"""
+_LEVELS = "".join(_LEVEL.format(d=d, e=d - 1) for d in range(1, 9))
+
 URL_FILTER = r"""
 WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
 hp AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -40,18 +53,11 @@ rules(rh, rp, says) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'b
 fits AS (SELECT page_id, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(says, len(rh || rp)) AS says
   FROM hp JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
 urls AS (SELECT hp.*, rule, says FROM hp LEFT JOIN fits USING (page_id)),
-paths AS (SELECT host, path, count(*) AS n, count(*) FILTER (says = 'allow') AS a, count(*) FILTER (says = 'block') AS b,
-  list_transform(string_split(path, '/')[2:6], lambda s: regexp_replace(s, '[0-9]+', '<n>', 'g'))
-    || CASE WHEN len(string_split(path, '/')) > 6 THEN ['**'] ELSE CAST([] AS VARCHAR[]) END AS ts FROM urls GROUP BY host, path),
-seg AS (SELECT host, path, n, d, ts[d + 1] AS token, array_to_string(ts[1:d], '/') AS above
-  FROM (SELECT *, unnest(range(len(ts))) AS d FROM paths)),
-child AS (SELECT host, d, above, token, sum(n) AS n FROM seg GROUP BY ALL),
-variable AS (SELECT host, d, above, sum(n) AS m FROM child GROUP BY ALL HAVING count(*) >= 8 AND sum(n) < 4 * count(*)),
-rare AS (SELECT host, d, above, token FROM child JOIN variable USING (host, d, above) WHERE n * 20 < m),
-gen AS (SELECT s.host, s.path, list(CASE WHEN r.token IS NULL THEN s.token ELSE '*' END ORDER BY s.d) AS g
-  FROM seg s LEFT JOIN rare r ON r.host = s.host AND r.d = s.d AND r.above = s.above AND r.token = s.token GROUP BY ALL),
-leaf AS (SELECT host, path, a, b, coalesce(array_to_string(g[1:len(g) - 1], '/'), '') AS parent, coalesce(g[len(g)], '') AS last
-  FROM paths LEFT JOIN gen USING (host, path)),
+cuts AS (SELECT host, path, max(CASE WHEN says = 'allow' THEN 1 ELSE 0 END) AS a, max(CASE WHEN says = 'block' THEN 1 ELSE 0 END) AS b,
+  list_transform(string_split(path, '/')[2:], lambda s: regexp_replace(s, '[0-9]+', '<n>', 'g')) AS c FROM urls GROUP BY host, path),
+s0 AS MATERIALIZED (SELECT host, path, a, b, CASE WHEN len(c) > 8 THEN list_append(c[1:7], array_to_string(c[8:], '/')) ELSE c END AS toks,
+  CAST([] AS VARCHAR[]) AS ts FROM cuts),""" + _LEVELS + r"""
+leaf AS (SELECT host, path, a, b, coalesce(array_to_string(ts[1:len(ts) - 1], '/'), '') AS parent, coalesce(ts[len(ts)], '') AS last FROM s8),
 sib AS (SELECT host, parent, last, sum(a) AS a, sum(b) AS b FROM leaf GROUP BY ALL),
 pool AS (SELECT host, parent, (CAST(sum(b) AS DOUBLE) + 0.5) / CAST(sum(a) + sum(b) + 1 AS DOUBLE) AS s FROM sib GROUP BY ALL),
 dev AS (SELECT *, CAST(a + b AS DOUBLE) AS n, CAST(b AS DOUBLE) / CAST(greatest(a + b, 1) AS DOUBLE) - s AS o FROM sib JOIN pool USING (host, parent)),

@@ -1,12 +1,15 @@
 """URL verdicts from host rules and, where none fits, from a tree of path templates learned on the ruled URLs.
 
-Per host, paths are cut into segments. Runs of digits are one wildcard from the start; a position with many different
-segments, few URLs each, is variable, and its rare segments become `*`; what lies below DEPTH segments is one `**`.
-Templates under the same parent whose share of blocked URLs does not differ from their common share beyond chance are
-merged. The share of blocked among ruled URLs of a template is smoothed by that of its host, which is smoothed by that of
-the template over all hosts, and that by the share over all; templates with a share of half or more are rejected.
-
-The tree is made of grouped tables: URLs are counted per host and path first, so a hot host adds one row per distinct path.
+Per host, paths are cut into segments; runs of digits are one wildcard from the start. The tree is generalised level by level,
+each below the already generalised segments above: a position whose segments are spread as evenly as VARIETY equally frequent
+ones is variable, and its rare segments become `*`; so do branches whose share of blocked URLs does not differ from that of all
+branches beside them beyond chance. What lies below DEPTH segments is one segment as it stands. Templates under the same parent
+are merged in the same way at the last segment, there also those without any ruled URL. The share of blocked among ruled URLs
+of a template is smoothed by that of its host, which is smoothed by that of the template over all hosts, and that by the share
+over all; templates with a share of half or more are rejected.
+
+Each distinct host and path counts once, so a table that repeats its URLs gets the same verdicts and a hot host adds one row per
+distinct path. All steps are grouped tables.
 """
 
 from __future__ import annotations
@@ -20,10 +23,9 @@ from aisleframe.llm.shared import stash
 RULES = (
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-DEPTH = 5
-CHILDREN = 8  # a position with fewer different segments is not variable
-PER_CHILD = 4  # nor is one with this many URLs for each
-RARE = 20  # of a variable position, segments with less than 1/RARE of its URLs become `*`
+DEPTH = 8
+VARIETY = 8  # a position is variable from this many segments on, counted by the chance that two of its paths agree
+RARE = 20  # of a variable position, segments with less than 1/RARE of its paths become `*`
 SMOOTHING = 5
 CHANCE = 3.84
 
@@ -50,24 +52,45 @@ def _ruled(rules) -> tuple[Column, Column]:
 
 def _tokens() -> Column:
     parts = F.split("path", "/")
-    cut = F.transform(F.slice(parts, 2, DEPTH), lambda s: F.regexp_replace(s, "[0-9]+", "<n>"))
-    return F.when(F.size(parts) > DEPTH + 1, F.concat(cut, F.array(F.lit("**")))).otherwise(cut)
+    cut = F.transform(F.slice(parts, 2, F.size(parts)), lambda s: F.regexp_replace(s, "[0-9]+", "<n>"))
+    rest = F.array_join(F.slice(cut, DEPTH, F.size(parts)), "/")
+    return F.when(F.size(cut) > DEPTH, F.concat(F.slice(cut, 1, DEPTH - 1), F.array(rest))).otherwise(cut)
+
+
+def _alike(a: str, b: str, pa: str, pb: str) -> Column:
+    """Whether a share of blocked URLs does not differ from the common one beyond chance."""
+    share = (F.col(pb) + 0.5) / (F.col(pa) + F.col(pb) + 1)
+    n = F.col(a) + F.col(b)
+    off = F.col(b) / F.greatest(n, F.lit(1)) - share
+    return off * off * n <= share * (1 - share) * CHANCE
+
+
+def _generalised(paths: DataFrame) -> DataFrame:
+    """Paths (host, path, a, b, tokens) with ts, their segments from the first level to the last with wildcards."""
+    deepest = paths.agg(F.max(F.size("tokens"))).first()[0] or 0  # at most DEPTH
+    state = paths.withColumn("ts", F.array().cast("array<string>"))
+    for d in range(1, deepest + 1):
+        state = state.withColumns({"above": F.array_join("ts", "/"), "token": F.try_element_at("tokens", F.lit(d))})
+        children = stash(state.filter("token is not null").groupBy("host", "above", "token").agg(
+            F.count("*").alias("n"), F.sum("a").alias("ca"), F.sum("b").alias("cb")))
+        n = F.col("n").cast("double")
+        places = stash(children.groupBy("host", "above").agg(
+            F.sum(n).alias("m"), F.sum(n * n).alias("q"), F.sum("ca").alias("pa"), F.sum("cb").alias("pb"),
+            F.count(F.when(F.col("ca") + F.col("cb") > 0, 1)).alias("ruled")))
+        rare = (F.col("m") * F.col("m") >= F.col("q") * VARIETY) & (F.col("n") * RARE < F.col("m"))
+        branch = (F.col("ruled") > 1) & (F.col("ca") + F.col("cb") > 0) & _alike("ca", "cb", "pa", "pb")
+        marks = stash(children.join(places, ["host", "above"]).select(
+            "host", "above", "token", rare.alias("rare"), branch.alias("branch")).filter("rare or branch"))
+        wild = F.coalesce(F.col("rare") | F.col("branch") & (F.size("tokens") > d), F.lit(False))
+        more = F.concat("ts", F.array(F.when(wild, "*").otherwise(F.col("token"))))
+        state = stash(state.join(marks, ["host", "above", "token"], "left").select(
+            "host", "path", "a", "b", "tokens", F.when(F.col("token").isNull(), F.col("ts")).otherwise(more).alias("ts")))
+    return state
 
 
 def _templates(paths: DataFrame) -> DataFrame:
-    """(host, path, a, b, parent, last): each path's template, cut before its last token."""
-    segments = stash(paths.select("host", "path", "n", "tokens", F.posexplode("tokens").alias("d", "token")).select(
-        "host", "path", "n", "d", "token", F.expr("array_join(slice(tokens, 1, d), '/')").alias("above")))
-    place = ["host", "d", "above"]
-    children = segments.groupBy(*place, "token").agg(F.sum("n").alias("n"))
-    variable = stash(
-        children.groupBy(*place).agg(F.count("*").alias("k"), F.sum("n").alias("m"))
-        .filter((F.col("k") >= CHILDREN) & (F.col("m") < F.col("k") * PER_CHILD)))
-    rare = stash(children.join(variable, place).filter(F.col("n") * RARE < F.col("m")).select(*place, "token", F.lit("*").alias("wild")))
-    general = segments.join(rare, [*place, "token"], "left").groupBy("host", "path").agg(
-        F.sort_array(F.collect_list(F.struct("d", F.coalesce("wild", "token").alias("t")))).alias("ts"))
-    ts = F.coalesce(F.transform("ts", lambda x: x["t"]), F.array().cast("array<string>"))
-    return paths.join(stash(general), ["host", "path"], "left").select("host", "path", "a", "b", ts.alias("ts")).select(
+    """(host, path, a, b, parent, last): each path's template, cut before its last segment."""
+    return _generalised(paths).select(
         "host", "path", "a", "b", F.expr("array_join(slice(ts, 1, greatest(size(ts) - 1, 0)), '/')").alias("parent"),
         F.coalesce(F.try_element_at("ts", F.lit(-1)), F.lit("")).alias("last"))
 
@@ -81,17 +104,13 @@ def learned_verdicts(urls: DataFrame) -> DataFrame:
 
     purity is the smoothed share of blocked URLs of the path's template, 0 where no URL at all has a verdict.
     """
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).alias
-    paths = stash(urls.groupBy("host", "path").agg(
-        F.count("*").alias("n"), count(F.col("verdict") == "allow")("a"), count(F.col("verdict") == "block")("b"))
+    says = lambda v: F.max(F.when(F.col("verdict") == v, 1).otherwise(0)).cast("long")
+    paths = stash(urls.groupBy("host", "path").agg(says("allow").alias("a"), says("block").alias("b"))
         .withColumn("tokens", _tokens()))
     leaves = stash(_templates(paths))
     siblings = leaves.groupBy("host", "parent", "last").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     pooled = stash(siblings.groupBy("host", "parent").agg(F.sum("a").alias("pa"), F.sum("b").alias("pb")))
-    share = (F.col("pb") + 0.5) / (F.col("pa") + F.col("pb") + 1)
-    n = F.col("a") + F.col("b")
-    off = F.col("b") / F.greatest(n, F.lit(1)) - share
-    alike = (n == 0) | (off * off * n <= share * (1 - share) * CHANCE)
+    alike = (F.col("a") + F.col("b") == 0) | _alike("a", "b", "pa", "pb")
     merged = stash(siblings.join(pooled, ["host", "parent"]).select(
         "host", "parent", "last", "a", "b", F.concat("parent", F.lit("/"), F.when(alike, "*").otherwise(F.col("last"))).alias("template")))
     whole = merged.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()  # one row

@@ -56,6 +56,53 @@ def test_variable_segments_and_merging(spark):
     assert {r["template"] for r in found if r["page_id"] < 99} == {"de/*"}
 
 
+def templates(spark, urls):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    return {u: r for u, r in zip(urls, sorted(judge_urls(pages).collect(), key=lambda r: r["page_id"]), strict=True)}
+
+
+def test_repeated_urls_change_nothing(spark):
+    once = [u for u in dict.fromkeys(urls()) if u is not None]
+    first = templates(spark, once)
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(once * 4)], "page_id long, url string")
+    for r in judge_urls(pages).collect():
+        assert tuple(r)[1:] == tuple(first[once[r["page_id"] % len(once)]])[1:]
+
+
+def test_levels_below_a_wildcard(spark):
+    """Many names with many titles each: both are variable, also where each name has more paths than names are needed."""
+    named = [f"http://b.net/u/{chr(97 + i % 26)}{chr(97 + i // 26)}x/{chr(97 + k)}{chr(98 + i % 7)}y" for i in range(60) for k in range(12)]
+    found = templates(spark, [*named, "http://b.net/about/us/now"])
+    assert {found[u]["template"] for u in named} == {"u/*/*"}
+
+
+def test_inner_branches_are_merged_by_their_share(spark):
+    rules = (("c.net", "/good", "allow"), ("c.net", "/bad", "block"))
+    paths = [f"http://c.net/{kind}{x}/list/{i}" for kind, names in (("good", "abc"), ("bad", "de")) for x in names for i in ("k", "l", "m", "n")]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*paths, "http://c.net/other/list/k"])], "page_id long, url string")
+    found = {r["path"]: r for r in judge_urls(pages, rules=rules).collect()}
+    assert all(found[u[12:]]["verdict"] == ("block" if "/bad" in u else "allow") for u in paths)
+    assert len({found[u[12:]]["template"] for u in paths if "/bad" in u} & {found[u[12:]]["template"] for u in paths if "/good" in u}) == 0
+    alike = (("e.net", "/", "allow"),)
+    pages = spark.createDataFrame([(i, f"http://e.net/{x}/{y}/z") for i, (x, y) in enumerate(zip("abcabc", "kkkmmm", strict=True))], "page_id long, url string")
+    assert {r["template"] for r in judge_urls(pages, rules=alike).collect()} == {"*/*/*"}
+
+
+def test_deep_and_very_long_paths(spark):
+    deep = ["http://d.net/" + "/".join("abcdefghijk") + f"/{x}" for x in ("p", "q")] + ["http://d.net/" + "x/" * 50_000 + "y" * 100_000]
+    rules = (("d.net", "/a/b/c/d/e/f/g/h/i/j/k/p", "block"), ("d.net", "/a/b/c/d/e/f/g/h/i/j/k/q", "allow"))
+    rows = [u + f"/{k}" for u in deep for k in range(30)]
+    found = sorted(judge_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules=rules).collect())
+    assert [r["verdict"] for r in found[:60]] == ["block"] * 30 + ["allow"] * 30 and len(found) == 90
+    assert found[0]["template"] != found[30]["template"] and found[0]["purity"] > found[30]["purity"]
+
+
+def test_extra_columns_with_names_in_use(spark):
+    rows = [(i, u, "t", 1, 2, "v") for i, u in enumerate(urls())]
+    pages = spark.createDataFrame(rows, "page_id long, url string, token string, a int, n int, verdict string")
+    assert sorted(map(str, judge_urls(pages).collect())) == sorted(map(str, judge_urls(pages.select("page_id", "url")).collect()))
+
+
 def test_empty_and_unruled(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
     found = judge_urls(spark.createDataFrame([(1, "http://a.net/b")], "page_id long, url string"), rules=()).collect()
