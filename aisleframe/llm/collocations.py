@@ -28,7 +28,7 @@ TOP = 2000
 SAMPLE_EVERY = 16
 WITHIN_PERCENT = 50
 BITMAP_BITS = 1 << 26
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 _BUCKET = 1 << 15
 _PUNCTUATION = b".,;:!?"
 _TO_SPACE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -92,7 +92,7 @@ def _due(key: np.ndarray, at: np.ndarray, now: np.ndarray, before: np.ndarray |
 
 
 class _Counts:
-    """Counts of phrases, added up in memory and given out a million keys at a time."""
+    """Counts of phrases, added up in memory and given out about BUFFER keys at a time."""
 
     def __init__(self):
         self.parts, self.size = [], 0
