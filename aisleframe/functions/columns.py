@@ -11,6 +11,25 @@ def date_key(day: Column | str) -> Column:
     return (F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
+ROWS_OF_A_TASK = 500_000
+
+
+def tasks_for(*tables: DataFrame) -> int:
+    """How many tasks the rows of written tables are dealt out to: more with more rows, so that a task's rows stay few."""
+    rows = sum(t.count() for t in tables)  # from the footers of the files
+    return max(int(tables[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_OF_A_TASK))
+
+
+def by_month(rows: DataFrame, month: Column, keys: list[str], tasks: int) -> DataFrame:
+    """Rows dealt out by month and slice of their keys, with both as columns ``_month`` and ``_slice``.
+
+    The rows of a key and month meet in one task and a task has few months, so a fact can be written by month as it comes.
+    """
+    slices = -(-tasks // 16)
+    part = F.pmod(F.hash(*keys), F.lit(slices))
+    return rows.withColumns({"_month": month.cast("int"), "_slice": part}).repartition(tasks, "_month", "_slice")
+
+
 def listed(df: DataFrame, column: str, most: int = 20) -> str:
     """The distinct values of a column for a message: the first ones by name, and how many more there are."""
     values = df.select(F.col(column).cast("string").alias("v")).distinct()

@@ -24,11 +24,14 @@ class Warehouse:
     """Tables of one build. ``inputs`` offers the raw files and master data as DataFrames, one method each."""
 
     # cheap or read once: kept as a plan
-    UNWRITTEN = {"selected_stores", "national_holidays", "region", "state_region", "stg_item"}
+    UNWRITTEN = {"store_day", "stg_store_day", "national_holidays", "region", "state_region", "stg_item"}
 
     # one folder per month, sorted by day inside each file: a report over a few days opens the files of their months
     BY_DATE = {"fact_sales", "fact_store_day", "fact_stockout_risk"}
 
+    # facts whose own shuffle has brought the rows of a month together
+    BY_MONTH = {"fact_store_day"}
+
     # read by several windows over the same keys: bucketed by them, so that no window shuffles the table again
     BUCKETED = {"series": (["store_nbr", "item_nbr"], "date")}
 
@@ -59,7 +62,8 @@ class Warehouse:
         path = f"{self.folder}/{name}"
         if name in self.BY_DATE:
             # rebalancing gives every month few files of a fit size, and splits a month that holds too much for one
-            plan = plan.withColumn(FACT_MONTH, F.expr("cast(date_key div 100 as int)")).hint("rebalance", FACT_MONTH)
+            plan = plan.withColumn(FACT_MONTH, F.expr("cast(date_key div 100 as int)"))
+            plan = plan if name in self.BY_MONTH else plan.hint("rebalance", FACT_MONTH)
             plan.sortWithinPartitions(FACT_MONTH, "date_key").write.mode("overwrite").partitionBy(FACT_MONTH).parquet(path)
         else:
             plan.write.mode("overwrite").parquet(path)

@@ -247,10 +247,10 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY coalesce(n, 0) DESC, store
 SALES_SPEC = "date:d store_nbr:i item_nbr:i units:2 return_units:2 on_promo:b"
 for _tag, _grain in (("", FINE), ("_by_brand", MID)):
     add(f"p2_clean_sales{_tag}", _grain,
-        lambda s: silver.clean_sales(s.feed.train(), s.feed.stores().select("store_nbr"), s.cfg), SALES_SPEC,
+        lambda s: silver.clean_sales(s.feed.train(), s.t("selected_stores"), s.cfg), SALES_SPEC,
         "SELECT * FROM sales")
 add("p3_store_day", FINE,
-    lambda s: silver.store_day(s.feed.transactions(), s.feed.stores().select("store_nbr"), s.cfg),
+    lambda s: silver.store_day(s.feed.transactions(), s.t("selected_stores"), s.cfg),
     "date:d store_nbr:i receipts:i", "SELECT * FROM tx")
 add("p4_national_holidays", FINE, lambda s: silver.national_holidays(s.feed.holidays_events()), "date:d", "SELECT * FROM hol")
 add("p5_stg_item", FINE, lambda s: silver.stg_item(s.feed.items()),
