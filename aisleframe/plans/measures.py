@@ -286,9 +286,12 @@ def target_block(star, group, cells, parts):
     plain = Grouping(group.date, group.store, ())
 
     def daily(fact, of, columns, item, amount, name):
-        """Sums per store and day; only these meet the date cells, of which a day may be in many."""
+        """Amounts of stores by month. Where a day may be in many date cells, sums per store and day; only these meet the cells."""
+        if cells is None or (cells.per_date == 1 and not cells.runs):
+            rows = _fact_rows(star, fact, of, cells, columns, item=item, copies={"s_key": "store_key"})
+            return rows.select(*dims, *of.item, "s_key", month, amount.alias(name))
         rows = _fact_rows(star, fact, of, None, columns, item=item, copies={"s_key": "store_key"})
-        rows = cells.narrowed(rows, "date_key") if cells is not None else rows
+        rows = cells.narrowed(rows, "date_key")
         days = rows.groupBy("date_key", "s_key", *of.store, *of.item).agg(F.sum(amount).alias(name))
         return _join_cells(days, cells, "date_key").select(*dims, *of.item, "s_key", month, name)
 
