@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from aisleframe.config import BuildConfig
 from aisleframe.operators import conform, deepdive, gold, silver, targets
+from aisleframe.session import starting_partitions
 
 #: The partition column of facts: the month of their day, as year * 100 + month.
 FACT_MONTH = "fact_month"
@@ -72,7 +73,7 @@ class Warehouse:
     def _bucketed(self, name: str, plan: DataFrame) -> DataFrame:
         """The table in as many buckets as a shuffle has partitions, each one file sorted by keys and day."""
         keys, day = self.BUCKETED[name]
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = starting_partitions(self.spark)
         table = f"{name}_{hashlib.sha1(self.folder.encode()).hexdigest()[:12]}"
         plan.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys, day).option(
             "path", f"{self.folder}/{name}").saveAsTable(table)

@@ -32,12 +32,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
+#: Partitions that a shuffle starts with; AQE joins the small ones.
+STARTING_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def apply_settings(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if partitions:
+        spark.conf.set(STARTING_PARTITIONS, str(partitions))
     return spark
 
 
+def starting_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get(STARTING_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def work_folder(spark: SparkSession) -> str:
     """Where written tables go: the folder in spark.checkpoint.dir or given to setCheckpointDir, which all executors share.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aisleframe.functions.columns import tasks_for
 from aisleframe.plans.star import Star
 from aisleframe.plans.warehouse import Warehouse
 from aisleframe.session import apply_settings, work_folder
@@ -33,6 +34,8 @@ class Stage:
         self.warehouse = Warehouse(
             spark, self.feed, self.folder, self.cfg, DOMAIN, access_since=ACCESS_SINCE)
         self._scratch = 0
+        # a task of a grouping holds its groups: with more lines there must be more tasks
+        self.partitions = tasks_for(self.feed.raw("lineitem"))
 
     def t(self, name: str) -> DataFrame:
         return self.warehouse.table(name)
@@ -56,6 +59,7 @@ def stage(spark: SparkSession, sf_dir: str, grain: str) -> Stage:
     key = (spark.sparkContext.applicationId, sf_dir, grain)
     if key not in _stages:
         _stages[key] = Stage(spark, sf_dir, grain)
+    apply_settings(spark, _stages[key].partitions)
     return _stages[key]
 
 

@@ -103,3 +103,17 @@ def test_months_with_targets_are_found_without_sums_per_day(spark):
     figures = measures.target_block(of, group, None, ["covered"])
     assert not any("date_key" in keys for keys in exchanges(figures))
     assert [tuple(r) for r in figures.collect()] == [("N", 10.0, 3.0)]
+
+
+def test_shuffles_start_with_more_partitions_for_more_lines(spark, tmp_path):
+    from aisleframe.session import STARTING_PARTITIONS
+    from queries.stage import FINE, stage
+
+    kept = spark.conf.get(STARTING_PARTITIONS, None)
+    try:
+        for rows, partitions in ((1_000, 8), (6_000_000, 12)):
+            spark.range(rows).selectExpr("id l_orderkey").write.parquet(f"{tmp_path}/{rows}/lineitem.parquet")
+            stage(spark, f"{tmp_path}/{rows}", FINE)
+            assert spark.conf.get(STARTING_PARTITIONS) == str(partitions)
+    finally:
+        spark.conf.unset(STARTING_PARTITIONS) if kept is None else spark.conf.set(STARTING_PARTITIONS, kept)
