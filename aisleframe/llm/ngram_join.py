@@ -13,7 +13,8 @@ sets have there, and the partial counts are summed per pair. Candidates are of t
 * Other pairs share only common grams, so their overlap is at most the smaller number of common grams. First each class
   meets the pivots of a few of its common grams: the class with the largest common part, which is the middle of a group of near
   copies, at the grams that most classes share. Classes that linked are one group; at the end the pairs of different groups that still share a common gram
-  and whose common parts are large enough are counted. Groups of near copies are so never expanded into all their pairs.
+  and whose common parts are large enough are counted. Such a pair is made where it first meets, if what both have from there on
+  can reach the threshold, and not again at each further gram. Groups of near copies are so never expanded into all their pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ FRAGMENTS = 4
 ROUNDS = 3
 #: Grams of each class at which it meets a pivot in a round. A round only finds groups early; the pairs it leaves out meet at the end.
 MEETINGS = 4
+#: Grams before each one of a class by which most later meetings of a pair are known; a pair that meets again farther on is only made again.
+BEFORE = 16
 PASSES = 4
 LARGELY = 4
 
@@ -201,7 +204,7 @@ def _least_overlap(percent: int):
 # Grouped sides of joins are written first: a join of two plain shuffles is one whose hot keys Spark can split.
 def _open(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Entries of the grams that still join classes of different groups."""
-    entries = entries.select("gram", "cls", "n", "rare")
+    entries = entries.drop("is_common", "root", "k")
     if groups is None:
         entries = entries.withColumn("root", F.col("cls"))
     else:
@@ -210,8 +213,8 @@ def _open(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
     return stash(entries.join(stash(apart), "gram"))
 
 
-def _side(entries: DataFrame, x: str) -> DataFrame:
-    return entries.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "rare", "root")])
+def _side(entries: DataFrame, x: str, *more: str) -> DataFrame:
+    return entries.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "rare", "root", *more)])
 
 
 def _met(entries: DataFrame, other: DataFrame, percent: int, once: bool = False) -> DataFrame:
@@ -230,10 +233,29 @@ def _met(entries: DataFrame, other: DataFrame, percent: int, once: bool = False)
     return pairs.filter((F.col("root_x") != F.col("root_y")) & sizes).select(*pick("cls", ""), *pick("n", "n"), *pick("rare", "r"))
 
 
-def _by_common(entries: DataFrame, other: DataFrame, percent: int, once: bool = False) -> DataFrame:
+def _by_common(entries: DataFrame, other: DataFrame, percent: int) -> DataFrame:
     """Of the pairs that meet at common grams, those whose common parts alone can reach the threshold."""
     small = F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
-    return _met(entries, other, percent, once).filter(small >= _least_overlap(percent)).select("a", "b", "na", "nb").distinct()
+    return _met(entries, other, percent).filter(small >= _least_overlap(percent)).select("a", "b", "na", "nb").distinct()
+
+
+def _first_meetings(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share common grams only, where these can reach the threshold, made at the first gram they share.
+
+    entries have all grams of each class that classes of different groups share, and their places ``at`` in the class's
+    order, which is the same for all. No shared gram lies before the first one, so the overlap is at most what the class with less has
+    from there on; at a later gram that is still less. A gram is a later one where the pair shares one of the few before it.
+    """
+    few = Window.partitionBy("cls").orderBy("at").rowsBetween(-BEFORE, -1)
+    entries = stash(entries.withColumn("before", F.collect_list("gram").over(few)))
+    side = lambda x: _side(entries, x, "at", "before")
+    na, nb = F.col("n_x"), F.col("n_y")
+    left = F.least(na - F.col("at_x"), nb - F.col("at_y"))
+    reach = left >= F.ceil((na + nb) * percent / (100 + percent) - 1e-9)
+    again = F.arrays_overlap("before_x", "before_y")
+    pairs = side("x").join(side("y"), "gram").filter(F.col("cls_x") < F.col("cls_y"))
+    return pairs.filter((F.col("root_x") != F.col("root_y")) & (F.least(na, nb) * 100 >= percent * F.greatest(na, nb)) & reach & ~again).select(
+        F.col("cls_x").alias("a"), F.col("cls_y").alias("b"), na.alias("na"), nb.alias("nb"))
 
 
 def _pivots(entries: DataFrame, salt: int) -> DataFrame:
@@ -283,7 +305,7 @@ def _grouped(rare: DataFrame, common: DataFrame, pieces_of, percent: int, rounds
         take(_by_common(_meetings(common, salt), _pivots(common, salt), percent))
     take(_by_rare(_open(rare, groups), percent))
     common = _open(common, groups)
-    take(_by_common(common, common, percent, once=True))
+    take(_first_meetings(common, percent).distinct())
     return groups
 
 
@@ -307,7 +329,8 @@ def near_duplicate_groups(
     classes = stash(base.filter("n > 0").groupBy("one", "two").agg(
         F.min("row_key").alias("cls"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("rare").alias("rare"),
         F.min("doc_id").alias("first_id")))
-    prefixes = classes.select("cls", F.posexplode("prefix").alias("at", "gram"), "rare").select("gram", "cls", (F.col("at") >= F.col("rare")).alias("is_common"))
+    prefixes = classes.select("cls", F.posexplode("prefix").alias("at", "gram"), "rare").select(
+        "gram", "cls", (F.col("at") >= F.col("rare")).alias("is_common"), F.when(F.col("at") >= F.col("rare"), F.col("at")).alias("at"))
     shared = stash(prefixes.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"))
     entries = stash(prefixes.join(shared, "gram").join(classes.select("cls", "n", "rare"), "cls"))
 
@@ -321,7 +344,7 @@ def near_duplicate_groups(
         pieces = texts.mapInArrow(_pieces(n, bitmap, fragments, wanted), "row_key long, fragment int, grams array<long>")
         return stash(pieces.join(needed, "row_key", "left_semi").dropDuplicates(["row_key", "fragment"]))
 
-    groups = _grouped(entries.filter("not is_common"), entries.filter("is_common"), pieces_of, percent, rounds)
+    groups = _grouped(entries.filter("not is_common").drop("at"), entries.filter("is_common"), pieces_of, percent, rounds)
     return _result(spark, base, classes, groups)
 
 

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from aisleframe.llm import ngram_join
 from aisleframe.llm.components import components
 from aisleframe.llm.ngram_join import near_duplicate_groups
 
@@ -74,3 +75,17 @@ def test_components_of_long_chains_and_loops(spark):
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
     own = {r["node"]: r["root"] for r in found}
     assert own == {**{i: 40 for i in range(100, 161)}, 40: 40, 7: 7, 2: 2, 3: 2, 9: 2}
+
+
+def test_a_pair_that_shares_many_common_grams_is_made_once(spark):
+    rows = [(g, c, 60, 0, g, c % 2) for c in range(20) for g in range(12)]
+    entries = spark.createDataFrame(rows, "gram long, cls long, n long, rare long, at int, root long")
+    made = ngram_join._first_meetings(entries, 80)
+    assert made.count() == made.distinct().count() == 100  # of 1,200 meetings
+
+
+def test_a_pair_is_not_made_where_too_little_follows_its_first_common_gram(spark):
+    kind = "gram long, cls long, n long, rare long, at int, root long"
+    for place, n in ((6, 1), (7, 0)):  # 60 grams each: 54 of them must be shared
+        entries = spark.createDataFrame([(5, 1, 60, 0, 0, 1), (5, 2, 60, 0, place, 2)], kind)
+        assert ngram_join._first_meetings(entries, 80).count() == n
