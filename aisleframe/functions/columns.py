@@ -14,9 +14,12 @@ def date_key(day: Column | str) -> Column:
 ROWS_OF_A_TASK = 500_000
 
 
-def tasks_for(*tables: DataFrame) -> int:
-    """How many tasks the rows of written tables are dealt out to: more with more rows, so that a task's rows stay few."""
-    rows = sum(t.count() for t in tables)  # from the footers of the files
+def tasks_for(*tables: DataFrame, more: int = 0) -> int:
+    """How many tasks the rows of written tables are dealt out to: more with more rows, so that a task's rows stay few.
+
+    ``more`` rows are made inside the tasks.
+    """
+    rows = more + sum(t.count() for t in tables)  # from the footers of the files
     return max(int(tables[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_OF_A_TASK))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aisleframe.functions.columns import by_month, date_key, listed, tasks_for
+from aisleframe.operators.targets import days_of, month_shares
 
 
 def dim_item(staged: DataFrame, prices: DataFrame) -> DataFrame:
@@ -23,21 +24,27 @@ def dim_store(staged: DataFrame, profiles: DataFrame, regions_of_state: DataFram
 
 
 def fact_store_day(receipts: DataFrame, targets: DataFrame, dates: DataFrame, stores: DataFrame,
-                   weather: DataFrame) -> DataFrame:
+                   weather: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """Receipts and targets by store and day, whichever side has the day, with the city's weather.
 
     Days outside the calendar and stores outside this build drop out; the full outer join is written as a
-    union with one grouping. Its one shuffle deals out the months in slices of stores: a store's days of a month stay side
-    by side, where they take little room, and the rows come out by month, as facts are stored.
+    union with one grouping. Its shuffle deals out the months in slices of stores: a store's days of a month stay side
+    by side, where they take little room, and the rows come out by month, as facts are stored. With weekday ``weights`` the
+    targets are monthly ones: both sides are dealt out alike and the days are made where their month has come to.
     """
-    planned = targets.select(
-        date_key("target_date").alias("date_key"), F.col("store_nbr").alias("store_key"), "target_value")
-    both = receipts.select("date_key", "store_key", "receipts").unionByName(planned, allowMissingColumns=True)
-    lo, hi = (dates.agg(f("date_key").alias("k")).scalar() for f in (F.min, F.max))
-    dealt = by_month(
-        both.filter(F.col("date_key").between(lo, hi)), F.expr("date_key div 100"), ["store_key"], tasks_for(receipts, targets))
+    month, rows = F.expr("date_key div 100"), _on_calendar(receipts.select("date_key", "store_key", "receipts"), dates)
+    if weights is None:
+        planned = _on_calendar(_target_days(targets), dates)
+        both = by_month(
+            rows.unionByName(planned, allowMissingColumns=True), month, ["store_key"], tasks_for(receipts, targets))
+    else:
+        tasks = tasks_for(receipts, more=31 * targets.count())
+        months = by_month(
+            month_shares(targets, weights), F.expr("year(month_start) * 100 + month(month_start)"), ["store_nbr"], tasks)
+        planned = _on_calendar(_target_days(days_of(months, "_month", "_slice"), "_month", "_slice"), dates)
+        both = by_month(rows, month, ["store_key"], tasks).unionByName(planned, allowMissingColumns=True)
     days = (
-        dealt.groupBy("_month", "_slice", "date_key", "store_key")
+        both.groupBy("_month", "_slice", "date_key", "store_key")
         .agg(F.sum("receipts").alias("receipts"), F.sum("target_value").alias("target_value"))
     )
     sky = weather.select("city", date_key("weather_date").alias("date_key"), "rain_mm", "temp_max_c")
@@ -51,6 +58,16 @@ def fact_store_day(receipts: DataFrame, targets: DataFrame, dates: DataFrame, st
     )
 
 
+def _target_days(targets: DataFrame, *kept: str) -> DataFrame:
+    return targets.select(
+        date_key("target_date").alias("date_key"), F.col("store_nbr").alias("store_key"), "target_value", *kept)
+
+
+def _on_calendar(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    lo, hi = (dates.agg(f("date_key").alias("k")).scalar() for f in (F.min, F.max))
+    return rows.filter(F.col("date_key").between(lo, hi))
+
+
 def scoped_access(access: DataFrame, stores: DataFrame) -> DataFrame:
     """Access rows of this build's stores."""
     return access.join(stores.select("store_key"), "store_key", "left_semi").select(

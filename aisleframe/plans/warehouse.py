@@ -179,8 +179,8 @@ class Warehouse:
 
     def _fact_store_day(self):
         return conform.fact_store_day(
-            self.table("stg_store_day"), self.table("sales_target_day"), self.table("dim_date"),
-            self.table("stg_store"), self.table("weather_daily"))
+            self.table("stg_store_day"), self.table("sales_target_month"), self.table("dim_date"),
+            self.table("stg_store"), self.table("weather_daily"), self.table("weekday_weight"))
 
     # --- deep dive ---
 

@@ -329,7 +329,8 @@ DAY_SQL = "SELECT *, strftime(date, '%Y%m%d')::INT AS date_key FROM day"
 
 def _store_day(s: Stage) -> DataFrame:
     return conform.fact_store_day(
-        s.t("stg_store_day"), s.t("sales_target_day"), s.t("dim_date"), s.t("stg_store"), s.t("weather_daily"))
+        s.t("stg_store_day"), s.t("sales_target_month"), s.t("dim_date"), s.t("stg_store"), s.t("weather_daily"),
+        s.t("weekday_weight"))
 
 
 for _tag, _grain in (("", FINE), ("_by_nation", MID)):

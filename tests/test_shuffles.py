@@ -57,6 +57,21 @@ def test_store_days_are_dealt_out_once_and_by_month(spark, full):
     assert made.count() == made.select("date_key", "store_key").distinct().count()
 
 
+def test_days_of_monthly_targets_are_made_where_their_month_has_come_to(spark, full):
+    wanted = spark.sql("""select store_nbr, month_start, cast(100.01 * store_nbr as decimal(14,2)) target_value from (select explode(array(1L, 2L, 9L)) store_nbr)
+        cross join (select explode(sequence(date'2015-12-01', date'2016-05-01', interval 1 month)) month_start)""")
+    weights = spark.sql("select store_key, cast(d as int) weekday_num, d / 28D weight from values (1L), (2L), (9L) s(store_key) cross join (select explode(sequence(1, 7)) d)")
+    sky = spark.sql("select 'Quito' city, date'2016-01-05' weather_date, 2.5 rain_mm, 20.0 temp_max_c")
+    tables = full.table("dim_date"), full.table("stg_store"), sky
+    made = conform.fact_store_day(full.table("stg_store_day"), wanted, *tables, weights)
+    # both sides are dealt out alike, before the days are made; the grouping takes them as they come
+    before, after = plan(made).split("Generate explode(sequence(month_start")
+    assert all(side.count("Exchange hashpartitioning(_month") == 1 for side in (before, after))
+    assert not any("date_key" in keys and "store_key" in keys for keys in exchanges(made))
+    of_days = conform.fact_store_day(full.table("stg_store_day"), targets.daily_targets(wanted, weights), *tables)
+    assert sorted(map(str, made.collect())) == sorted(map(str, of_days.collect()))
+
+
 def test_facts_dealt_out_by_month_are_not_shuffled_again(spark, full, tmp_path):
     class Written(Warehouse):
         def _fact_store_day(self):
