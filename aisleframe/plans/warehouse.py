@@ -31,7 +31,7 @@ class Warehouse:
     BY_DATE = {"fact_sales", "fact_store_day", "fact_stockout_risk"}
 
     # facts whose own shuffle has brought the rows of a month together
-    BY_MONTH = {"fact_store_day"}
+    BY_MONTH = {"fact_sales", "fact_store_day"}
 
     # read by several windows over the same keys: bucketed by them, so that no window shuffles the table again
     BUCKETED = {"series": (["store_nbr", "item_nbr"], "date")}

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 
 from aisleframe.functions.columns import tasks_for
-from aisleframe.operators import conform, targets
+from aisleframe.operators import conform, gold, targets
 from aisleframe.plans import measures, star
 from aisleframe.plans.warehouse import FACT_MONTH, Warehouse
 
@@ -85,6 +85,20 @@ def test_facts_dealt_out_by_month_are_not_shuffled_again(spark, full, tmp_path):
     assert len(files) == spark.sparkContext.defaultParallelism  # as the tasks were; rebalanced rows would be one file
 
 
+def test_sales_meet_their_trading_days_where_they_are_dealt_out_by_month(spark, full):
+    sales, trading = full.table("sales"), full.table("trading")
+    fact = gold.fact_sales(sales, trading, full.cfg)
+    dealt = [keys for keys in exchanges(fact) if "date" in keys or "_month" in keys]
+    assert len(dealt) == 1 and "_month" in dealt[0] and "Join" not in plan(fact)
+    assert "fact_sales" in Warehouse.BY_MONTH and fact.count() == sales.count()
+    # a day without trading has no baseline; trading days without sales add no rows
+    closed = gold.fact_sales(sales, trading.filter("store_nbr <> 1"), full.cfg)
+    assert closed.count() == sales.count()
+    baseline = "baseline_units is not null"
+    assert fact.filter(baseline).filter("store_key = 1").count() > 0 == closed.filter(baseline).filter("store_key = 1").count()
+    assert sorted(map(str, closed.filter("store_key <> 1").collect())) == sorted(map(str, fact.filter("store_key <> 1").collect()))
+
+
 def test_more_rows_have_more_tasks(spark):
     assert tasks_for(spark.range(10)) == 8
     assert tasks_for(spark.range(5_000_000), spark.range(4_500_001)) == 20
