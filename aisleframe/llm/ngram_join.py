@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from aisleframe.llm.components import components
 from aisleframe.llm.hashing import Texts, chunked, mix, signed, windows
-from aisleframe.llm.shared import stash
+from aisleframe.llm.shared import bound_batches, stash
 
 N = 5
 PERCENT = 80
@@ -321,6 +321,7 @@ def near_duplicate_groups(
     that repeat an id are rows of their own with that id. Other columns of docs are not looked at. An empty table gives none.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     bitmap = _common_grams(rows, n, percent, common, bitmap_bits)

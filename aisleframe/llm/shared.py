@@ -10,6 +10,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Spark ends an Arrow batch by its rows alone (10,000), which may be all texts of a task; memory outside the heap follows it.
+BATCH = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,6 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches end at some bytes too; a bound that the user has set stays. A longer row goes alone."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(BATCH))
+
+
 def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
 

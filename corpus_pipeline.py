@@ -17,7 +17,7 @@ from aisleframe.llm.decontamination import leaks
 from aisleframe.llm.encoding import encode
 from aisleframe.llm.ngram_join import near_duplicate_groups
 from aisleframe.llm.quality import quality_verdicts
-from aisleframe.llm.shared import drop_stashes, part, stash
+from aisleframe.llm.shared import bound_batches, drop_stashes, part, stash
 from aisleframe.llm.substring_dedup import repeated_spans, strip_spans
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -44,6 +44,7 @@ def _stage(work):
     """The stage with its intermediate tables in a part of the shared folder that only the stage at work uses."""
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
         drop_stashes(spark, STAGE_TABLES)
         with part(STAGE_TABLES):
             return work(spark, docs, sf_dir)

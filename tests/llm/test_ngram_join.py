@@ -1,8 +1,9 @@
 import random
 
+import pyarrow as pa
 import pytest
 
-from aisleframe.llm import ngram_join
+from aisleframe.llm import ngram_join, shared
 from aisleframe.llm.components import components
 from aisleframe.llm.ngram_join import near_duplicate_groups
 
@@ -89,3 +90,19 @@ def test_a_pair_is_not_made_where_too_little_follows_its_first_common_gram(spark
     for place, n in ((6, 1), (7, 0)):  # 60 grams each: 54 of them must be shared
         entries = spark.createDataFrame([(5, 1, 60, 0, 0, 1), (5, 2, 60, 0, place, 2)], kind)
         assert ngram_join._first_meetings(entries, 80).count() == n
+
+
+def test_a_task_gets_its_texts_in_batches_of_bounded_size(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(shared, "BATCH", 1 << 16)
+    before = spark.conf.get(shared.BATCH_BYTES, None)
+    spark.conf.unset(shared.BATCH_BYTES)
+    try:
+        near_duplicate_groups(docs_of(["a b c d e f"]))
+        texts = spark.range(0, 900, 1, 1).selectExpr("repeat('x', 1000) AS text")
+        sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+        assert len(sizes) > 9 and max(r["n"] for r in sizes) < 1 << 17
+        spark.conf.set(shared.BATCH_BYTES, "12345")
+        near_duplicate_groups(docs_of(["a b c d e f"]))
+        assert spark.conf.get(shared.BATCH_BYTES) == "12345"
+    finally:
+        spark.conf.set(shared.BATCH_BYTES, before) if before else spark.conf.unset(shared.BATCH_BYTES)
